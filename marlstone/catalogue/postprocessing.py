@@ -359,7 +359,7 @@ def rolling(t: Tables) -> DataFrame:
     MONTHLY
     + """
     SELECT month, flag, CASE WHEN count(qty) OVER r >= 1 THEN round(avg(qty) OVER r, 6) END AS mean,
-      round(corr(qty, price) OVER r, 6) AS corr FROM m
+      CASE WHEN isnan(corr(qty, price) OVER r) THEN NULL ELSE round(corr(qty, price) OVER r, 6) END AS corr FROM m
     WINDOW r AS (PARTITION BY flag ORDER BY month ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING)
     """,
 )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,8 +184,6 @@ def two_sided_p(t: float | None, freedom: float | None) -> float | None:
 
 def p_value(t: Column, freedom: Column) -> Column:
     """p-values of a few aggregated rows (one per compared series)."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def compute(ts: pd.Series, fs: pd.Series) -> pd.Series:
         return pd.Series([two_sided_p(None if pd.isna(a) else a, None if pd.isna(b) else b) for a, b in zip(ts, fs)])

@@ -91,14 +91,12 @@ def forecast(
         )
     step = GRAIN_STEP[time_grain]
     amount, unit = step.split()
-    future_points = F.transform(
-        F.sequence(F.lit(1), F.lit(periods)),
-        lambda i: F.timestamp_add(unit.rstrip("s").upper(), (i * int(amount)).cast("int"), hi),
-    )
     both = history
     if periods:
         series = history.select(*[col(k) for k in keys]).distinct() if keys else solved.select()
-        future = series.select(*[col(k) for k in keys], F.explode(future_points).alias(index))
+        steps = series.select(*[col(k) for k in keys], F.explode(F.sequence(F.lit(1), F.lit(periods))).alias("__i"))
+        moved = F.timestamp_add(unit.rstrip("s").upper(), (F.col("__i") * int(amount)).cast("int"), hi)
+        future = steps.select(*[col(k) for k in keys], moved.alias(index))
         both = history.unionByName(future, allowMissingColumns=True)
     if keys:
         joined = null_safe_join(both, solved, list(keys))

@@ -112,7 +112,7 @@ def point_clusters(df: DataFrame, longitude: str, latitude: str, value: str, zoo
         F.col(longitude).alias("__lon"), F.col(latitude).alias("__lat"), F.col(value).cast("double").alias("__v"),
         x.alias("__x"), y.alias("__y"), F.explode(F.array(*[F.lit(z) for z in zooms])).alias("zoom"),
     )
-    scale = F.shiftleft(F.lit(1).cast("long"), F.col("zoom"))
+    scale = F.pow(F.lit(2.0), F.col("zoom"))
     cells = based.groupBy(
         "zoom",
         F.floor(F.col("__x") * scale).cast("long").alias("tile_x"),

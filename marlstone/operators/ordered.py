@@ -155,8 +155,8 @@ def running(
     totals = base.groupBy(*keys, CHUNK).agg(*[v.alias(k) for k, v in partials.items()])
     by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = by_key.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = [F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")]
-    prefix.append(F.sum("__n").over(by_key).alias("__total"))
+    prefix = [F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__rows_before")]
+    prefix.append(F.sum("__n").over(by_key).alias("__rows_total"))
     for name in partials:
         if name == "__n":
             continue
@@ -180,7 +180,7 @@ def running(
     added = []
     for out, spec in results.items():
         c = F.col(f"`{spec.column}`") if spec.column else None
-        rows_before = F.col("__before")
+        rows_before = F.col("__rows_before")
         if spec.kind == "row_number":
             value = rows_before + F.row_number().over(inside)
         elif spec.kind == "rank":
@@ -189,13 +189,13 @@ def running(
             value = F.coalesce(F.col("__distinct"), zero) + F.dense_rank().over(inside)
         elif spec.kind == "percent_rank":
             position = (rows_before + F.rank().over(inside) - 1).cast("double")
-            value = F.when(F.col("__total") > 1, position / (F.col("__total") - 1)).otherwise(F.lit(0.0))
+            value = F.when(F.col("__rows_total") > 1, position / (F.col("__rows_total") - 1)).otherwise(F.lit(0.0))
         elif spec.kind == "cume_dist":
-            value = (rows_before + F.count(F.lit(1)).over(peers)).cast("double") / F.col("__total")
+            value = (rows_before + F.count(F.lit(1)).over(peers)).cast("double") / F.col("__rows_total")
         elif spec.kind == "ntile":
             place = rows_before + F.row_number().over(inside)
-            small = F.floor(F.col("__total") / spec.n)
-            extra = F.col("__total") % spec.n
+            small = F.floor(F.col("__rows_total") / spec.n)
+            extra = F.col("__rows_total") % spec.n
             cut = extra * (small + 1)
             value = F.when(place <= cut, F.floor((place - 1) / (small + 1)) + 1).otherwise(
                 extra + F.floor((place - cut - 1) / F.greatest(small, F.lit(1))) + 1

@@ -415,7 +415,8 @@ def rolling_value(rolling_type: str, c: Column, frame, options: dict, other: Col
         both = c.isNotNull() & other.isNotNull()
         pair = (F.when(both, c), F.when(both, other))
         if rolling_type == "corr":
-            return F.corr(*pair).over(frame)
+            spread = F.sqrt(F.var_pop(pair[0]).over(frame) * F.var_pop(pair[1]).over(frame))
+            return F.try_divide(F.covar_pop(*pair).over(frame), spread)
         return F.covar_samp(*pair).over(frame)
     raise OperatorError(f"unknown rolling type: {rolling_type}")
 
