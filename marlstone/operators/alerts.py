@@ -75,7 +75,7 @@ def run_rules(df: DataFrame, rules: dict[str, tuple[Column, str, float]]) -> Dat
 def append_log(results: DataFrame, path: str, at: Column) -> None:
     """Append the states of one execution."""
     state = F.when(F.col("triggered"), F.lit("Triggered")).otherwise(F.lit("Not triggered"))
-    results.select("rule", "value", state.alias("state"), at.alias("at")).write.mode("append").parquet(path)
+    results.select("rule", "value", state.alias("state"), at.alias("run_at")).write.mode("append").parquet(path)
 
 
 def log_states(log: DataFrame, keys: Sequence[str], at: str, state: str, grace_seconds: int) -> DataFrame:
