@@ -164,14 +164,16 @@ def boxplot_query(t: Tables) -> DataFrame:
 @query(
     "bubble",
     """
-    SELECT p_brand, p_type, round(avg(l_extendedprice), 4) AS x, round(avg(l_quantity), 6) AS y, count(*)::BIGINT AS size
+    SELECT p_brand, p_type, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE / count(*) AS x, sum(l_quantity) / count(*) AS y, count(*)::BIGINT AS size
     FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2
     """,
 )
 def bubble(t: Tables) -> DataFrame:
     joined = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     return joined.groupBy("p_brand", "p_type").agg(
-        F.round(F.avg("l_extendedprice"), 4).alias("x"), F.round(F.avg("l_quantity"), 6).alias("y"), F.count(F.lit(1)).alias("size")
+        (F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("x"),
+        (F.sum("l_quantity") / F.count(F.lit(1))).alias("y"),
+        F.count(F.lit(1)).alias("size"),
     )
 
 

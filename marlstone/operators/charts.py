@@ -226,27 +226,26 @@ def event_paths(df: DataFrame, entity: str, event: str, time: str, tie: str, min
         [(time, True), (tie, True)],
         {"place": Running("row_number")},
     ).select("entity", "event", "place")
-    steps = materialise(placed, "event-steps")
-    walkers = steps.filter("place = 1").select("entity", F.col("event").alias("path"))
-    levels, depth = [], 1
-    while True:
+    # sorted by place, so a level reads only the row groups of its own step
+    steps = materialise(placed.repartitionByRange("place").sortWithinPartitions("place"), "event-steps")
+
+    def frequent(walkers: DataFrame, depth: int) -> DataFrame:
         counts = walkers.groupBy("path").agg(F.count(F.lit(1)).alias("entities")).filter(F.col("entities") >= minimum)
-        level = materialise(counts.withColumn("depth", F.lit(depth)), f"paths-{depth}")
-        if level.isEmpty():
-            break
-        levels.append(level)
-        alive = walkers.join(level.select("path"), "path", "left_semi")
+        return materialise(walkers.join(counts, "path").withColumn("depth", F.lit(depth)), f"paths-{depth}")
+
+    depth = 1
+    alive = frequent(steps.filter("place = 1").select("entity", F.col("event").alias("path")), depth)
+    levels = [alive]
+    while not alive.isEmpty():
         depth += 1
         following = steps.filter(F.col("place") == depth).select("entity", "event")
-        walkers = materialise(
-            alive.join(following, "entity").select("entity", F.concat_ws(" > ", "path", "event").alias("path")),
-            f"walkers-{depth}",
-        )
-    if not levels:
-        return walkers.select("path", F.lit(0).cast("long").alias("entities"), F.lit(0).alias("depth")).limit(0)
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
+        walkers = alive.join(following, "entity").select("entity", F.concat_ws(" > ", "path", "event").alias("path"))
+        alive = frequent(walkers, depth)
+        levels.append(alive)
+    out = None
+    for level in levels:
+        paths = level.groupBy("path").agg(F.any_value("entities").alias("entities"), F.any_value("depth").alias("depth"))
+        out = paths if out is None else out.unionByName(paths)
     return out
 
 

@@ -13,6 +13,11 @@ small per-chunk totals carry results from one chunk to the next:
 Both are exact.  The split points come from one sketch over the order column
 (a single row of at most ``chunks`` numbers); ties of the leading order column
 always share a chunk, which keeps ranks right.
+
+Three shuffles instead of one only pay when some key is large, so the largest
+key is counted first (keys only, combined before the shuffle): up to
+``PLAIN_ROWS`` rows per key the plain window runs, beyond it the chunks.
+Passing ``chunks`` skips the count and forces the chunks.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+PLAIN_ROWS = 1_000_000
+
 CHUNK = "__chunk"
 POSITION = "__position"
 BLOCK = "__block"
@@ -49,6 +56,18 @@ def order_number(df: DataFrame, name: str) -> Column:
     return col.cast("double")
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest key (of the whole frame without keys)."""
+    if not keys:
+        return df.count()
+    sizes = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n").alias("m")).first()["m"] or 0
+
+
+def has_small_groups(df: DataFrame, keys: Sequence[str]) -> bool:
+    return largest_group(df, keys) <= PLAIN_ROWS
+
+
 def default_chunks(df: DataFrame) -> int:
     wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(8, min(256, wanted))
@@ -109,6 +128,30 @@ class Running:
     n: int = 0
 
 
+def _plain(spec: Running, window) -> Column:
+    """The same result over one window per key."""
+    c = F.col(f"`{spec.column}`") if spec.column else None
+    to_here = window.rowsBetween(Window.unboundedPreceding, 0)
+    ranks = {
+        "row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank, "percent_rank": F.percent_rank,
+        "cume_dist": F.cume_dist,
+    }
+    if spec.kind in ranks:
+        value = ranks[spec.kind]().over(window)
+        return value if spec.kind in ("percent_rank", "cume_dist") else value.cast("long")
+    if spec.kind == "ntile":
+        return F.ntile(spec.n).over(window).cast("long")
+    if spec.kind == "count":
+        return F.count(c if c is not None else F.lit(1)).over(to_here)
+    if spec.kind == "fill_forward":
+        return F.last(c, ignorenulls=True).over(to_here)
+    if spec.kind == "first_value":
+        return F.first(c).over(to_here)
+    if spec.kind in ("sum", "avg", "min", "max", "product"):
+        return getattr(F, spec.kind)(c).over(to_here)
+    raise ValueError(f"unknown running result {spec.kind}")
+
+
 _RANKS = {"row_number", "rank", "dense_rank", "percent_rank", "cume_dist", "ntile"}
 
 
@@ -118,9 +161,18 @@ def running(
     order: Order,
     results: dict[str, Running],
     chunks: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Add running results per ``keys`` in ``order``; safe for a hot key."""
+    """Add running results per ``keys`` in ``order``; safe for a hot key.
+
+    ``small`` passes on what the caller has already counted.
+    """
     keys = list(keys)
+    if chunks is None and (has_small_groups(df, keys) if small is None else small):
+        window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*sort_columns(order))
+        added = {out: _plain(spec, window) for out, spec in results.items()}
+        kept = [F.col(f"`{c}`") for c in df.columns if c not in results]
+        return df.select(*kept, *[c.alias(out) for out, c in added.items()])
     base = with_chunks(df, order, chunks)
     sort = sort_columns(order)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*sort)
@@ -141,7 +193,7 @@ def running(
             partials[f"__{spec.kind}_{out}"] = getattr(F, spec.kind)(c)
         elif spec.kind == "product":
             partials[f"__prod_{out}"] = F.product(c)
-        elif spec.kind in ("fill_forward", "last_value", "first_value"):
+        elif spec.kind in ("fill_forward", "first_value"):
             # order as a sortable struct; only ascending order reaches here
             place = F.struct(*[F.col(f"`{n}`") for n, _ in order])
             picked = F.struct(c.alias("v"))
@@ -215,11 +267,9 @@ def running(
             value = F.coalesce(F.col(f"`__prod_{out}`"), F.lit(1.0)) * F.product(c).over(to_here)
         elif spec.kind == "fill_forward":
             value = F.coalesce(F.last(c, ignorenulls=True).over(to_here), F.col(f"`__fill_{out}`"))
-        elif spec.kind == "first_value":
+        else:
             earlier = F.col(f"`__first_{out}`")
             value = F.when(rows_before > 0, earlier.getField("v")).otherwise(F.first(c).over(to_here))
-        else:
-            value = c
         added.append(value.alias(out))
     keep = [F.col(f"`{c}`") for c in df.columns if c not in results]
     return joined.select(*keep, *added)
@@ -268,6 +318,13 @@ def sliding(
     position: str | None = None,
 ) -> DataFrame:
     """Add ``make[name](window)`` columns block by block; ``position`` keeps the row number."""
+    if chunks is None and has_small_groups(df, keys):
+        plain = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*sort_columns(order))
+        added = [build(plain).alias(name) for name, build in make.items()]
+        if position:
+            added.append(F.row_number().over(plain).cast("long").alias(position))
+        return df.select("*", *added)
+    chunks = chunks or default_chunks(df)
     spread, window = blocked(df, keys, order, before, after, block_rows, chunks)
     out = spread.select("*", *[build(window).alias(name) for name, build in make.items()])
     out = out.filter(F.col(OWN))

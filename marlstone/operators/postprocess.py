@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import geohash as geo
 from ..functions.labels import flatten as flat_label
-from .ordered import Running, null_safe_join, running, sliding, sort_columns
+from .ordered import Running, has_small_groups, null_safe_join, running, sliding, sort_columns
 from .quantiles import exact_quantiles
 
 
@@ -116,24 +116,29 @@ def aggregate(
             if expression is None:
                 raise OperatorError(f"operator {operator} is not an aggregate")
             plain[label] = expression
+    small = bool(ranked or positioned) and has_small_groups(df, groupby)
     frame = df
     if positioned:
-        frame = running(df, groupby, _order(order), {"__place": Running("row_number")})
+        frame = running(df, groupby, _order(order), {"__place": Running("row_number")}, small=small)
         for label, (name, operator) in positioned.items():
             place = F.struct(col(name).alias("v"), (-F.col("__place")).alias("p"))
             if operator == "argmin":
                 place = F.struct(col(name).alias("v"), F.col("__place").alias("p"))
             best = (F.min if operator == "argmin" else F.max)(F.when(col(name).isNotNull(), place))
             plain[label] = F.coalesce(F.abs(best.getField("p")) - 1, F.lit(-1))
+    if small:
+        for label, (name, q, _) in ranked.items():
+            plain[label] = F.percentile(col(name).cast("double"), F.lit(float(q)))
     helpers = {f"__nulls_{label}": F.count_if(col(name).isNull()) for label, (name, _, strict) in ranked.items() if strict}
     out = frame.groupBy(*groupby).agg(
         *[c.alias(n) for n, c in {**plain, **helpers, "__rows": F.count(F.lit(1))}.items()]
     )
     by_column: dict[str, dict[str, float]] = {}
     for label, (name, q, _) in ranked.items():
-        by_column.setdefault(name, {})[label] = q
+        if not small:
+            by_column.setdefault(name, {})[label] = q
     for name, wanted in by_column.items():
-        found = exact_quantiles(df, groupby, name, wanted)
+        found = exact_quantiles(df, groupby, name, wanted, small=False)
         if groupby:
             out = null_safe_join(out, found, groupby)
         else:

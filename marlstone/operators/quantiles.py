@@ -2,7 +2,7 @@
 
 Equal values are counted first, the counts are prefixed chunk by chunk, and the
 values standing at the wanted ranks are picked by a filter.  A group may hold
-any share of the table.
+any share of the table; small groups take the built-in ``percentile``.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import Running, null_safe_join, running
+from .ordered import Running, has_small_groups, null_safe_join, running
 
 
 def rank_counts(df: DataFrame, keys: Sequence[str], value: str, chunks: int | None = None) -> DataFrame:
@@ -45,12 +45,16 @@ def exact_quantiles(
     probabilities: dict[str, float],
     method: str = "linear",
     chunks: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """One row per group with a column per named probability.
 
     ``linear`` interpolates between the two neighbouring ranks, ``midpoint``
     takes their mean, ``lower`` and ``higher`` take one of them.
     """
+    keys = list(keys)
+    if chunks is None and (has_small_groups(df, keys) if small is None else small):
+        return _within_groups(df, keys, value, probabilities, method)
     ranks = rank_counts(df, keys, value, chunks)
 
     def at(rank: Column) -> Column:
@@ -66,18 +70,35 @@ def exact_quantiles(
             F.max(exact - F.floor(exact)).alias(f"__part{i}"),
         ]
     grouped = ranks.groupBy(*keys).agg(*picks)
-    outs = []
-    for i, name in enumerate(probabilities):
-        low, high, part = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__part{i}")
-        if method == "linear":
-            result = low + (high - low) * part
-        elif method == "midpoint":
-            result = (low + high) / 2
-        elif method == "lower":
-            result = low
-        elif method == "higher":
-            result = high
-        else:
-            raise ValueError(f"unknown quantile method {method}")
-        outs.append(result.alias(name))
+    outs = [
+        _between(F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__part{i}"), method).alias(name)
+        for i, name in enumerate(probabilities)
+    ]
     return grouped.select(*[F.col(f"`{k}`") for k in keys], *outs)
+
+
+def _between(low: Column, high: Column, part: Column, method: str) -> Column:
+    ways = {"linear": low + (high - low) * part, "midpoint": (low + high) / 2, "lower": low, "higher": high}
+    if method not in ways:
+        raise ValueError(f"unknown quantile method {method}")
+    return ways[method]
+
+
+def _within_groups(
+    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], method: str
+) -> DataFrame:
+    """One aggregation, for groups whose size has been checked."""
+    names = [F.col(f"`{k}`") for k in keys]
+    v = F.col(f"`{value}`").cast("double")
+    grouped = df.filter(F.col(f"`{value}`").isNotNull()).groupBy(*names)
+    if method == "linear":
+        wanted = F.array(*[F.lit(float(p)) for p in probabilities.values()])
+        found = grouped.agg(F.percentile(v, wanted).alias("__q"))
+        return found.select(*names, *[F.get("__q", F.lit(i)).alias(n) for i, n in enumerate(probabilities)])
+    held = grouped.agg(F.array_sort(F.collect_list(v)).alias("__v"))
+    outs = []
+    for name, p in probabilities.items():
+        place = (F.size("__v") - 1) * F.lit(float(p))
+        low, high = F.get("__v", F.floor(place).cast("int")), F.get("__v", F.ceil(place).cast("int"))
+        outs.append(_between(low, high, place - F.floor(place), method).alias(name))
+    return held.select(*names, *outs)
