@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "8")
+    session = build_session("tests", "8", **{"spark.sql.shuffle.partitions": "4", "spark.sql.maxMetadataStringLength": "1000"})
     yield session
     session.stop()
 
