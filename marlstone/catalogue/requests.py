@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -65,7 +66,9 @@ def flagship_revenue(t: Tables) -> DataFrame:
         time_offsets=["1 year ago"],
     )
     df = builder.compile_request(lineitem(t), request, NOW)
-    df = contribution(df.withColumn("share", F.col("revenue")), "column", ["share"])
+    # the total comes from the range itself, whose shuffle is reused
+    actual = builder.compile_request(lineitem(t), replace(request, time_offsets=()), NOW)
+    df = contribution(df, "column", ["revenue"], rename_columns=["share"], totals_of=actual)
     return df.select(
         "month",
         "l_returnflag",

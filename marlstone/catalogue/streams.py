@@ -74,6 +74,30 @@ def stream_sessions(t: Tables) -> DataFrame:
     return runner.wall_window(out).withColumn("duration", F.round("duration", 3))
 
 
+@query(
+    "stream_session_updates",
+    """
+    WITH o AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 6 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS first
+               FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    s AS (SELECT user_id, ts, sum(first) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM o),
+    g AS (SELECT user_id, id, max(id) OVER (PARTITION BY user_id) AS top, min(ts) AS a, max(ts) AS b, count(*)::BIGINT AS events FROM s GROUP BY 1, 2)
+    SELECT user_id, events, round((epoch_us(b) - epoch_us(a)) / 1e6, 3) AS duration FROM g
+    WHERE id < top OR b + INTERVAL 6 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)
+    """,
+)
+def stream_session_updates(t: Tables) -> DataFrame:
+    """Sessions as a stateful operator reports them; the closed ones are kept."""
+    path = scratch_path(t.spark, "session-updates")
+    updates = jobs.session_updates(events(t), "ts", "user_id", 6 * 3600, "1 hour")
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    runner.run_batches(updates, each, "session-updates", "update")
+    closed = t.spark.read.parquet(path).filter("expired")
+    return closed.select("user_id", "events", F.round("duration", 3).alias("duration"))
+
+
 @query(
     "stream_state_by_key",
     "SELECT user_id, (sum(event_id % 10) + 100)::BIGINT AS total FROM events GROUP BY 1",

@@ -22,6 +22,10 @@ from .ordered import Running, has_small_groups, null_safe_join, running, sliding
 from .quantiles import exact_quantiles
 
 
+# Longest time axis that is held as one list.
+MAX_TIMES = 100_000
+
+
 class OperatorError(ValueError):
     """The operator cannot be applied to this frame."""
 
@@ -280,8 +284,13 @@ def contribution(
     columns: Sequence[str] | None = None,
     time_shifts: Sequence[str] = (),
     rename_columns: Sequence[str] | None = None,
+    totals_of: DataFrame | None = None,
 ) -> DataFrame:
-    """Share of the row or column total; 0/0 gives null."""
+    """Share of the row or column total; 0/0 gives null.
+
+    ``totals_of`` is a frame with the same column totals that is cheaper to
+    compute, such as the one before a left join.
+    """
     chosen = list(columns) if columns else _numeric(df)
     require(df, chosen)
     names = list(rename_columns) if rename_columns else chosen
@@ -290,7 +299,8 @@ def contribution(
     shares: dict[str, Column] = {}
     if orientation == "column":
         zero = {c: F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in chosen}
-        sums = total_row(df, {f"s{i}": F.sum(zero[c]) for i, c in enumerate(chosen)})
+        whole = df if totals_of is None else totals_of
+        sums = total_row(whole, {f"s{i}": F.sum(zero[c]) for i, c in enumerate(chosen)})
         for i, c in enumerate(chosen):
             shares[c] = F.try_divide(zero[c], sums.getField(f"s{i}"))
     elif orientation == "row":
@@ -568,17 +578,14 @@ def resample(
         marked = df.select(*keys, time, *chosen, F.lit(False).alias("__grid")).unionByName(
             grid.withColumn("__grid", F.lit(True)), allowMissingColumns=True
         )
-        # a grid point comes after (ffill) or before (bfill) the row of the same time
-        mark = F.col("__grid").asc() if method == "ffill" else F.col("__grid").desc()
-        window = Window.partitionBy(*[col(k) for k in keys]).orderBy(col(time), mark)
-        if method == "ffill":
-            frame, pick = window.rowsBetween(Window.unboundedPreceding, 0), F.last
-        else:
-            frame, pick = window.rowsBetween(0, Window.unboundedFollowing), F.first
-        filled = marked.select(
-            *keys, time, "__grid", *[pick(col(c), ignorenulls=True).over(frame).alias(c) for c in chosen]
+        # rows before grid points of the same time, forwards or backwards in time
+        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), col(time))
+        placed = marked.withColumns(
+            {"__at": micros if method == "ffill" else -micros, "__mark": F.col("__grid").cast("int")}
         )
-        return filled.filter("__grid").drop("__grid")
+        order = [("__at", True), ("__mark", True)]
+        filled = running(placed, keys, order, {c: Running("fill_forward", c) for c in chosen})
+        return filled.filter("__grid").select(*keys, time, *chosen)
     joined = null_safe_join(grid, df.select(*keys, time, *chosen), [*keys, time])
     if method == "asfreq":
         if fill_value is None:
@@ -616,7 +623,13 @@ def _bucket_from(c: Column, origin: Column, amount: int, unit: str) -> Column:
 
 
 def densify(df: DataFrame, time: str, keys: Sequence[str], fill: dict | None = None) -> DataFrame:
-    """Give every series a row at every time that occurs in the frame."""
+    """Give every series a row at every time that occurs in the frame.
+
+    Meant for bucketed frames: the list of times is one value, so its length is
+    checked first.
+    """
+    if df.select(col(time)).distinct().limit(MAX_TIMES + 1).count() > MAX_TIMES:
+        raise OperatorError("too many times; bucket them by a grain first")
     times = df.agg(F.array_sort(F.collect_set(col(time))).alias("t")).scalar()
     grid = df.select(*keys).distinct().select(*[col(k) for k in keys], F.explode(times).alias(time))
     out = null_safe_join(grid, df, [*keys, time])

@@ -5,10 +5,12 @@ The same functions work on batch DataFrames, which is how results are checked.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .runner import run_batches
 
@@ -30,7 +32,12 @@ def window_reduce(df: DataFrame, time: str, keys: Sequence[str], length: str, sl
 
 
 def sessions(df: DataFrame, time: str, keys: Sequence[str], gap: str) -> DataFrame:
-    """Sessions closed by silence: number of events and duration in seconds."""
+    """Sessions closed by silence: number of events and duration in seconds.
+
+    Sessions are merged inside every partition before the shuffle, so a busy
+    key sends its sessions and not its events.
+    """
+    df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     grouped = df.groupBy(F.session_window(time, gap), *keys).agg(
         F.count(F.lit(1)).alias("events"), F.min(time).alias("__first"), F.max(time).alias("__last")
     )
@@ -87,14 +94,89 @@ def sql_per_batch(stream: DataFrame, view: str, text: str, path: str, label: str
 def join_within(
     left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, seconds: int, how: str = "inner"
 ) -> DataFrame:
-    """Join two streams on a key where the right event follows within ``seconds``."""
+    """Join two streams on a key where the right event follows within ``seconds``.
+
+    Both sides are also cut into time slices of that length (a right event meets
+    its own slice and the one before), so one busy key is spread over its slices.
+    """
+    if how not in ("inner", "left_outer"):
+        raise ValueError(f"unknown way to join within a time: {how}")
+
+    def slice_of(time: str) -> Column:
+        return F.floor(F.unix_seconds(F.col(time)) / seconds)
+
+    sliced = left.withColumn("__slice", slice_of(left_time)).alias("l")
+    doubled = right.withColumn(
+        "__slice", F.explode(F.array(slice_of(right_time), slice_of(right_time) - 1))
+    ).alias("r")
     bound = F.expr(f"interval {seconds} seconds")
     match = (
         (F.col(f"l.{key}") == F.col(f"r.{key}"))
+        & (F.col("l.__slice") == F.col("r.__slice"))
         & (F.col(f"r.{right_time}") >= F.col(f"l.{left_time}"))
         & (F.col(f"r.{right_time}") <= F.col(f"l.{left_time}") + bound)
     )
-    return left.alias("l").join(right.alias("r"), match, how)
+    return sliced.join(doubled, match, how)
+
+
+def session_updates(df: DataFrame, time: str, key: str, gap: int, delay: str) -> DataFrame:
+    """Every change of a key's session, and a last row with ``expired`` when it closes.
+
+    Events of one key less than a gap apart are combined before the shuffle, so
+    a busy key sends one row per gap and batch.
+    """
+    schema = f"{key} long, first timestamp, last timestamp, events long"
+
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            place = pdf[time].astype("int64") // (gap * 1_000_000_000 // _unit(pdf[time]))
+            grouped = pdf.groupby([pdf[key], place])[time].agg(["min", "max", "count"])
+            yield grouped.reset_index(level=0).rename(columns={"min": "first", "max": "last", "count": "events"})
+
+    def advance(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        out = []
+
+        def row(first: pd.Timestamp, last: pd.Timestamp, events: int, expired: bool) -> None:
+            out.append((keys[0], events, (last - first).total_seconds(), expired))
+
+        if state.hasTimedOut:
+            first, last, events = state.get
+            row(pd.Timestamp(first, unit="us"), pd.Timestamp(last, unit="us"), events, True)
+            state.remove()
+        else:
+            pieces = [(r.first, r.last, r.events) for pdf in batches for r in pdf.itertuples(index=False)]
+            if state.exists:
+                first, last, events = state.get
+                pieces.append((pd.Timestamp(first, unit="us"), pd.Timestamp(last, unit="us"), events))
+            merged: list[list] = []
+            for first, last, events in sorted(pieces):
+                if merged and (first - merged[-1][1]).total_seconds() < gap:
+                    merged[-1][1] = max(merged[-1][1], last)
+                    merged[-1][2] += events
+                else:
+                    merged.append([first, last, events])
+            for first, last, events in merged[:-1]:
+                row(first, last, events, True)
+            first, last, events = merged[-1]
+            row(first, last, events, False)
+            state.update((first.value // 1000, last.value // 1000, events))
+            ends = last.value // 1_000_000 + gap * 1000
+            state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=[key, "events", "duration", "expired"])
+
+    combined = df.select(key, time).mapInPandas(combine, schema).withWatermark("last", delay)
+    return combined.groupBy(key).applyInPandasWithState(
+        advance,
+        f"{key} long, events long, duration double, expired boolean",
+        "first long, last long, events long",
+        "update",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+
+
+def _unit(column: pd.Series) -> int:
+    """Nanoseconds per tick of a datetime column."""
+    return {"ns": 1, "us": 1000, "ms": 1_000_000, "s": 1_000_000_000}[getattr(column.dt, "unit", "ns")]
 
 
 def label_statistics(df: DataFrame, label: str, value: str) -> DataFrame:
