@@ -29,6 +29,16 @@ def per_salt(vertices: DataFrame) -> DataFrame:
     return vertices.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
 
 
+def spread_join(many: DataFrame, few: DataFrame, key: str, other: str, how: str = "inner") -> DataFrame:
+    """Join on ``key`` where ``many`` may hold very many rows of one key.
+
+    Its rows are salted by ``other``; the rows of ``few`` are repeated per salt.
+    """
+    left = many.withColumn("__salt", salt_of(F.col(other)))
+    right = few.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return left.join(right, [key, "__salt"], how).drop("__salt")
+
+
 def out_degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
 
@@ -47,7 +57,7 @@ def pagerank(
     the first round; with ``keep_all`` it stays with the base rank.
     """
     degrees = out_degrees(edges)
-    weighted = edges.join(degrees, F.col("src") == F.col("id")).select(
+    weighted = spread_join(edges.select("src", "dst"), degrees.withColumnRenamed("id", "src"), "src", "dst").select(
         "src", "dst", (F.lit(1.0) / F.col("degree")).alias("part")
     )
     links = materialise(salted_edges(weighted), "links")
@@ -90,7 +100,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         )
         least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (
-            around.join(least.withColumnRenamed("a", "c"), F.col("a") == F.col("c"))
+            spread_join(around, least, "a", "b")
             .filter(F.col("b") > F.col("a"))
             .select(F.col("b").alias("u"), F.col("m").alias("v"))
             .filter("u <> v")
@@ -100,7 +110,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         # small star: smaller neighbours and the vertex itself move to the smallest one
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(lowest.withColumnRenamed("u", "c"), F.col("u") == F.col("c"))
+            spread_join(large, lowest, "u", "v")
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .filter("u <> v")
@@ -130,7 +140,7 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     degree = plain.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("d"))
     first = degree.select(F.col("id").alias("a"), F.col("d").alias("da"))
     second = degree.select(F.col("id").alias("b"), F.col("d").alias("db"))
-    ranked = plain.join(first, "a").join(second, "b")
+    ranked = spread_join(spread_join(plain, first, "a", "b"), second, "b", "a")
     up = F.struct("da", "a") < F.struct("db", "b")
     arcs = materialise(
         ranked.select(F.when(up, F.col("a")).otherwise(F.col("b")).alias("x"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("y")),
@@ -138,7 +148,7 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     )
     second_arc = arcs.select(F.col("x").alias("y"), F.col("y").alias("z"))
     closing = arcs.select(F.col("x"), F.col("y").alias("z"))
-    found = arcs.join(second_arc, "y").join(closing, ["x", "z"])
+    found = spread_join(arcs, second_arc, "y", "x").join(closing, ["x", "z"])
     corners = found.select(F.explode(F.array("x", "y", "z")).alias("id"))
     counted = corners.groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
     vertices = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
@@ -174,8 +184,7 @@ def transitive_closure(edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     known, fresh = links, links
     for i in range(max_rounds):
         longer = (
-            fresh.select("src", F.col("dst").alias("mid"))
-            .join(links.select(F.col("src").alias("mid"), "dst"), "mid")
+            spread_join(fresh.select("src", F.col("dst").alias("mid")), links.select(F.col("src").alias("mid"), "dst"), "mid", "src")
             .select("src", "dst")
             .distinct()
         )
@@ -190,7 +199,8 @@ def older_neighbours(vertices: DataFrame, edges: DataFrame, age: str = "age") ->
     """Count and mean age of the followers that are older than the vertex itself."""
     a = vertices.select(F.col("id").alias("src"), F.col(age).alias("src_age"))
     b = vertices.select(F.col("id").alias("dst"), F.col(age).alias("dst_age"))
-    sent = edges.join(a, "src").join(b, "dst").filter("src_age > dst_age")
+    ends = spread_join(spread_join(edges.select("src", "dst"), a, "src", "dst"), b, "dst", "src")
+    sent = ends.filter("src_age > dst_age")
     return sent.groupBy(F.col("dst").alias("id")).agg(
         F.count(F.lit(1)).alias("older"), F.avg("src_age").alias("mean_age")
     )
@@ -199,8 +209,8 @@ def older_neighbours(vertices: DataFrame, edges: DataFrame, age: str = "age") ->
 def subgraph(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges whose two ends are among the vertices."""
     ids = vertices.select("id")
-    inside = edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
-    return inside.join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    inside = spread_join(edges, ids.withColumnRenamed("id", "src"), "src", "dst", "left_semi")
+    return spread_join(inside, ids.withColumnRenamed("id", "dst"), "dst", "src", "left_semi")
 
 
 def degrees(edges: DataFrame) -> DataFrame:

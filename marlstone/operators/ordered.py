@@ -74,35 +74,71 @@ def default_chunks(df: DataFrame) -> int:
 
 
 def split_points(df: DataFrame, value: Column, chunks: int) -> list[float]:
-    """At most ``chunks - 1`` distinct cut points of ``value`` (one small row)."""
+    """At most ``chunks - 1`` cut points of ``value`` (one small row); a heavy value repeats."""
     fractions = [i / chunks for i in range(1, chunks)]
     row = df.agg(F.percentile_approx(value, fractions, 10_000).alias("cuts")).first()
-    return sorted(set(row["cuts"] or []))
+    return sorted(row["cuts"] or [])
 
 
-def chunk_of(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of the chunk holding ``value``: 0 for null, then 1 .. len(cuts)+1.
-
-    Written as a balanced tree of comparisons so it stays in generated code.
-    """
-
-    def descend(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low + 1)
-        middle = (low + high) // 2
-        return F.when(value <= F.lit(cuts[middle]), descend(low, middle)).otherwise(descend(middle + 1, high))
-
-    return F.when(value.isNull(), F.lit(0)).otherwise(descend(0, len(cuts)))
+def _descend(value: Column, cuts: Sequence[float], low: int, high: int, leaf) -> Column:
+    """Balanced tree of comparisons (stays in generated code)."""
+    if low == high:
+        return leaf(low)
+    middle = (low + high) // 2
+    return F.when(value <= F.lit(cuts[middle]), _descend(value, cuts, low, middle, leaf)).otherwise(
+        _descend(value, cuts, middle + 1, high, leaf)
+    )
 
 
 def with_chunks(df: DataFrame, order: Order, chunks: int | None = None) -> DataFrame:
+    """Add the chunk number of every row; chunks follow the order.
+
+    A value of the leading column that fills several chunks by itself is cut
+    again by the second order column.
+    """
+    chunks = chunks or default_chunks(df)
     name, ascending = order[0]
     value = order_number(df, name)
-    cuts = split_points(df, value, chunks or default_chunks(df))
-    number = chunk_of(value, cuts)
+    listed = split_points(df, value, chunks)
+    cuts = sorted(set(listed))
+    heavy = [c for c in cuts if listed.count(c) > 1] if len(order) > 1 else []
+    inner: dict[float, list[float]] = {}
+    if heavy:
+        second = order_number(df, order[1][0])
+        row = df.agg(
+            *[
+                F.percentile_approx(
+                    F.when(value == F.lit(h), second), [i / listed.count(h) for i in range(1, listed.count(h))], 10_000
+                ).alias(f"h{i}")
+                for i, h in enumerate(heavy)
+            ]
+        ).first()
+        inner = {h: sorted(set(row[f"h{i}"] or [])) for i, h in enumerate(heavy)}
+    # every value range gets a block of numbers: the range below a cut, then the cut itself when heavy
+    width = 1 + max([len(v) + 2 for v in inner.values()], default=0)
+
+    def leaf(i: int) -> Column:
+        start = 1 + i * width
+        if i < len(cuts) and cuts[i] in inner:
+            inside = _second_chunk(order[1], order_number(df, order[1][0]), inner[cuts[i]])
+            own = F.lit(start + 1) + inside
+            below = F.lit(start)
+            if not ascending:
+                # numbers are negated below, so the inner order is turned around first
+                own = F.lit(start + width - 1) - inside
+            return F.when(value == F.lit(cuts[i]), own).otherwise(below)
+        return F.lit(start)
+
+    number = F.when(value.isNull(), F.lit(0)).otherwise(_descend(value, cuts, 0, len(cuts), leaf))
     return df.withColumn(CHUNK, number if ascending else -number)
 
 
+def _second_chunk(order: tuple[str, bool], value: Column, cuts: Sequence[float]) -> Column:
+    """0 .. len(cuts)+1 in the direction of the second column."""
+    rising = F.when(value.isNull(), F.lit(0)).otherwise(_descend(value, cuts, 0, len(cuts), lambda i: F.lit(i + 1)))
+    return rising if order[1] else F.lit(len(cuts) + 1) - rising
+
+
 def sort_columns(order: Order) -> list[Column]:
     return [F.col(f"`{n}`").asc_nulls_first() if up else F.col(f"`{n}`").desc_nulls_last() for n, up in order]
 
@@ -152,7 +188,32 @@ def _plain(spec: Running, window) -> Column:
     raise ValueError(f"unknown running result {spec.kind}")
 
 
-_RANKS = {"row_number", "rank", "dense_rank", "percent_rank", "cume_dist", "ntile"}
+_PEER_RANKS = {"rank", "dense_rank", "percent_rank", "cume_dist"}
+
+
+def _peer_ranks(df: DataFrame, keys: list[str], order: Order, results: dict[str, Running], chunks: int | None) -> DataFrame:
+    """Ranks that are equal for equal order values: computed once per value and joined back.
+
+    However many rows share one value, it is a single row here.
+    """
+    names = [n for n, _ in order]
+    values = df.groupBy(*[F.col(f"`{n}`") for n in dict.fromkeys([*keys, *names])]).agg(F.count(F.lit(1)).alias("__copies"))
+    placed = running(
+        values, keys, order, {"__upto": Running("sum", "__copies"), "__dense": Running("row_number")}, chunks or default_chunks(df)
+    )
+    sizes = values.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.sum("__copies").alias("__size"))
+    placed = null_safe_join(placed, sizes, keys) if keys else placed.withColumn("__size", sizes.scalar())
+    rank = F.col("__upto") - F.col("__copies") + 1
+    size = F.col("__size")
+    ways = {
+        "rank": rank,
+        "dense_rank": F.col("__dense"),
+        "percent_rank": F.when(size > 1, (rank - 1).cast("double") / (size - 1)).otherwise(F.lit(0.0)),
+        "cume_dist": F.col("__upto").cast("double") / size,
+    }
+    on = list(dict.fromkeys([*keys, *names]))
+    ranked = placed.select(*[F.col(f"`{n}`") for n in on], *[ways[spec.kind].alias(out) for out, spec in results.items()])
+    return null_safe_join(df.drop(*results), ranked, on, "inner")
 
 
 def running(
@@ -173,18 +234,21 @@ def running(
         added = {out: _plain(spec, window) for out, spec in results.items()}
         kept = [F.col(f"`{c}`") for c in df.columns if c not in results]
         return df.select(*kept, *[c.alias(out) for out, c in added.items()])
+    peers_only = {out: spec for out, spec in results.items() if spec.kind in _PEER_RANKS}
+    if peers_only:
+        df = _peer_ranks(df, keys, order, peers_only, chunks)
+        results = {out: spec for out, spec in results.items() if out not in peers_only}
+        if not results:
+            return df
     base = with_chunks(df, order, chunks)
     sort = sort_columns(order)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*sort)
     to_here = inside.rowsBetween(Window.unboundedPreceding, 0)
-    peers = inside.rangeBetween(Window.unboundedPreceding, 0)
 
     partials: dict[str, Column] = {"__n": F.count(F.lit(1))}
     for out, spec in results.items():
         c = F.col(f"`{spec.column}`") if spec.column else None
-        if spec.kind == "dense_rank":
-            partials["__distinct"] = F.count_distinct(F.struct(*[F.col(f"`{n}`") for n, _ in order]))
-        elif spec.kind in ("sum", "avg"):
+        if spec.kind in ("sum", "avg"):
             partials[f"__sum_{out}"] = F.sum(c)
             partials[f"__cnt_{out}"] = F.count(c)
         elif spec.kind == "count":
@@ -201,7 +265,7 @@ def running(
                 partials[f"__fill_{out}"] = F.max_by(picked, F.when(c.isNotNull(), place))
             else:
                 partials[f"__first_{out}"] = F.min_by(picked, place)
-        elif spec.kind not in _RANKS:
+        elif spec.kind not in ("row_number", "ntile"):
             raise ValueError(f"unknown running result {spec.kind}")
 
     totals = base.groupBy(*keys, CHUNK).agg(*[v.alias(k) for k, v in partials.items()])
@@ -213,7 +277,7 @@ def running(
         if name == "__n":
             continue
         source = F.col(f"`{name}`")
-        if name.startswith(("__sum_", "__cnt_", "__distinct")):
+        if name.startswith(("__sum_", "__cnt_")):
             prefix.append(F.sum(source).over(before).alias(name))
         elif name.startswith("__min_"):
             prefix.append(F.min(source).over(before).alias(name))
@@ -235,15 +299,6 @@ def running(
         rows_before = F.col("__rows_before")
         if spec.kind == "row_number":
             value = rows_before + F.row_number().over(inside)
-        elif spec.kind == "rank":
-            value = rows_before + F.rank().over(inside)
-        elif spec.kind == "dense_rank":
-            value = F.coalesce(F.col("__distinct"), zero) + F.dense_rank().over(inside)
-        elif spec.kind == "percent_rank":
-            position = (rows_before + F.rank().over(inside) - 1).cast("double")
-            value = F.when(F.col("__rows_total") > 1, position / (F.col("__rows_total") - 1)).otherwise(F.lit(0.0))
-        elif spec.kind == "cume_dist":
-            value = (rows_before + F.count(F.lit(1)).over(peers)).cast("double") / F.col("__rows_total")
         elif spec.kind == "ntile":
             place = rows_before + F.row_number().over(inside)
             small = F.floor(F.col("__rows_total") / spec.n)

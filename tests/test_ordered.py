@@ -90,3 +90,17 @@ def test_the_largest_key_decides(skewed, monkeypatch):
     monkeypatch.setattr(ordered, "PLAIN_ROWS", 10_000)
     out = running(skewed, ["k"], ORDER, {"rn": Running("row_number")})
     assert ordered.CHUNK not in out._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("up", [True, False])
+@pytest.mark.parametrize("second_up", [True, False])
+def test_one_order_value_holds_a_third(spark, up, second_up):
+    t = F.when(F.col("id") % 3 == 0, F.lit(50)).when(F.col("id") % 17 != 0, F.col("id") % 100)
+    df = spark.range(2000).select((F.col("id") % 2).alias("k"), t.alias("t"), F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("u"), "id")
+    order = [("t", up), ("u", second_up), ("id", True)]
+    specs = {"rn": Running("row_number"), "s": Running("sum", "id")}
+    same(running(df, ["k"], order, specs, chunks=12), running(df, ["k"], order, specs, small=True))
+    sizes = ordered.with_chunks(df, order, 12).groupBy(ordered.CHUNK).count().agg(F.max("count")).first()[0]
+    assert sizes < 2000 / 4
+    ranks = {"r": Running("rank"), "d": Running("dense_rank")}
+    same(running(df, ["k"], [("t", up)], ranks, chunks=12), running(df, ["k"], [("t", up)], ranks, small=True))
