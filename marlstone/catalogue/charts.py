@@ -328,3 +328,30 @@ def partition_levels(t: Tables) -> DataFrame:
 def partition_mean(t: Tables) -> DataFrame:
     src = t("orders").withColumn("year", F.year("o_orderdate"))
     return rounded(ch.partition_levels(src, ["o_orderstatus", "o_orderpriority"], "o_totalprice", "year", "mean"))
+
+
+@query(
+    "plain_charts",
+    """
+    SELECT 'word cloud' AS chart, p_name AS name, count(*)::DOUBLE AS value FROM part GROUP BY 2
+    UNION ALL SELECT 'gauge', p_brand, round(avg(p_retailprice), 4) FROM part GROUP BY 2
+    UNION ALL SELECT 'big total', NULL, round(sum(p_retailprice), 2) FROM part
+    """,
+)
+def plain_charts(t: Tables) -> DataFrame:
+    """Charts that are a grouping and nothing more."""
+    from datetime import datetime
+
+    from ..plans.builder import compile_request
+    from ..plans.request import Dataset, Metric, Request
+
+    data, now = Dataset(t("part")), datetime(2001, 12, 1)
+    cloud = compile_request(data, Request(columns=["p_name"], metrics=[Metric("value", expr="cast(count(*) as double)")]), now)
+    gauge = compile_request(data, Request(columns=["p_brand"], metrics=[Metric("value", expr="round(avg(p_retailprice), 4)")]), now)
+    total = compile_request(data, Request(metrics=[Metric("value", expr="round(sum(p_retailprice), 2)")]), now)
+    parts = [
+        cloud.select(F.lit("word cloud").alias("chart"), F.col("p_name").alias("name"), "value"),
+        gauge.select(F.lit("gauge").alias("chart"), F.col("p_brand").alias("name"), "value"),
+        total.select(F.lit("big total").alias("chart"), F.lit(None).cast("string").alias("name"), "value"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from marlstone.operators import alerts
 from marlstone.session import materialise, scratch_path, shared_dir
-from marlstone.sources import files, jdbc, synthetic
+from marlstone.plans import builder
+from marlstone.sources import datasets, files, jdbc, synthetic
 
 
 def name(label):
@@ -169,3 +170,20 @@ def test_shared_folder_comes_from_the_session(spark):
     assert path.startswith(shared_dir(spark)) and path != scratch_path(spark, "five")
     out = materialise(spark.range(5).filter("id > 1"), "few")
     assert out.count() == 3 and "Range" not in out._jdf.queryExecution().logical().toString()
+
+
+def test_example_datasets(spark, tmp_path):
+    (tmp_path / "ratings.csv").write_text("userId,movieId,rating,timestamp\n1,7,4.5,0\n2,7,bad,86400\n")
+    out = datasets.load_dataset(spark, "ratings", str(tmp_path / "ratings.csv")).orderBy("userId").collect()
+    assert (out[0]["rating"], out[1]["rating"], str(out[1]["timestamp"])) == (4.5, None, "1970-01-02 00:00:00")
+    line = {
+        "ds": "2020-01-02", "ds2": "2020-01-02 03:04:05", "epoch_s": 1577934245, "epoch_ms": 1577934245000, "string0": "2020-01-02 03:04:05",
+        "string1": "2020-01-02", "string2": "20200102030405", "string3": "2020/01/0203:04:05",
+    }
+    (tmp_path / "times.json").write_text(json.dumps(line))
+    df = datasets.load_dataset(spark, "multiformat_time", str(tmp_path / "times.json"), "json")
+    row = builder.normalise(df, {"epoch_s": "epoch_s", "epoch_ms": "epoch_ms", **datasets.TEXT_TIMES}).first()
+    full = [row[c] for c in ("ds2", "epoch_s", "epoch_ms", "string0", "string2", "string3")]
+    assert len(set(full)) == 1 and str(row["string1"]) == "2020-01-02 00:00:00"
+    with pytest.raises(ValueError):
+        datasets.load_dataset(spark, "nope", "x")
