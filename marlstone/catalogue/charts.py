@@ -321,13 +321,13 @@ def partition_levels(t: Tables) -> DataFrame:
     "partition_mean",
     """
     SELECT o_orderstatus, o_orderpriority, (2 - grouping(o_orderstatus) - grouping(o_orderpriority))::INTEGER AS depth,
-      round(sum(o_totalprice) / (SELECT count(DISTINCT year(o_orderdate)) FROM orders), 4) AS value
+      round(sum(o_totalprice) / (SELECT count(DISTINCT year(o_orderdate)) FROM orders), 2) AS value
     FROM orders GROUP BY GROUPING SETS ((o_orderstatus), (o_orderstatus, o_orderpriority))
     """,
 )
 def partition_mean(t: Tables) -> DataFrame:
     src = t("orders").withColumn("year", F.year("o_orderdate"))
-    return rounded(ch.partition_levels(src, ["o_orderstatus", "o_orderpriority"], "o_totalprice", "year", "mean"))
+    return rounded(ch.partition_levels(src, ["o_orderstatus", "o_orderpriority"], "o_totalprice", "year", "mean"), 2)
 
 
 @query(

@@ -65,7 +65,7 @@ def feat_hashed(t: Tables) -> DataFrame:
 @query("feat_word2vec")
 def feat_word2vec(t: Tables) -> DataFrame:
     df = ln.tokens(t("documents").select("text"), "text")
-    parts = max(1, int(t.spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    parts = t.spark.sparkContext.defaultParallelism
     model = mf.Word2Vec(
         vectorSize=16, minCount=5, maxIter=1, numPartitions=parts, seed=3, inputCol="tokens", outputCol="v"
     ).fit(df)

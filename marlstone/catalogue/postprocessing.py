@@ -319,14 +319,14 @@ def resample_linear(t: Tables) -> DataFrame:
             (SELECT date_trunc('hour', max(ts)) FROM events), INTERVAL 1 HOUR)) AS ts FROM k),
     b AS (SELECT event_type AS kind, date_trunc('hour', ts)::TIMESTAMP AS ts, sum(value) AS s, avg(value) AS a,
             quantile_cont(value, 0.5) AS m FROM events GROUP BY 1, 2)
-    SELECT g.kind, g.ts, round(coalesce(s, 0), 4) AS total, round(a, 6) AS mean, round(m, 6) AS median
+    SELECT g.kind, g.ts, round(coalesce(s, 0), 4) AS total, round(a, 9) AS mean, round(m, 6) AS median
     FROM g LEFT JOIN b ON g.kind = b.kind AND g.ts = b.ts
     """,
 )
 def resample_aggregate(t: Tables) -> DataFrame:
     src = t("events").select("ts", F.col("event_type").alias("kind"), F.col("value").alias("v"))
     total = pp.resample(src, "ts", "1h", "sum", ["kind"]).select("kind", "ts", F.round("v", 4).alias("total"))
-    mean = pp.resample(src, "ts", "1h", "mean", ["kind"]).select("kind", "ts", F.round("v", 6).alias("mean"))
+    mean = pp.resample(src, "ts", "1h", "mean", ["kind"]).select("kind", "ts", F.round("v", 9).alias("mean"))
     median = pp.resample(src, "ts", "1h", "median", ["kind"]).select("kind", "ts", F.round("v", 6).alias("median"))
     return total.join(mean, ["kind", "ts"]).join(median, ["kind", "ts"])
 

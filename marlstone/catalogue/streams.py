@@ -63,7 +63,7 @@ def stream_window_count(t: Tables) -> DataFrame:
     s AS (SELECT user_id, ts, sum(first) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM o),
     g AS (SELECT user_id, id, min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS "end", count(*)::BIGINT AS events,
             (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS duration FROM s GROUP BY 1, 2)
-    SELECT start, "end", user_id, events, round(duration, 3) AS duration FROM g
+    SELECT start, "end", user_id, events, duration FROM g
     WHERE "end" <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)
     """,
 )
@@ -71,7 +71,7 @@ def stream_sessions(t: Tables) -> DataFrame:
     """Sessions closed by six silent hours, as the watermark releases them."""
     stream = jobs.sessions(events(t, "1 hour"), "ts", ["user_id"], "6 hours")
     out = t.spark.read.parquet(runner.run_append(stream, "sessions"))
-    return runner.wall_window(out).withColumn("duration", F.round("duration", 3))
+    return runner.wall_window(out)
 
 
 @query(
@@ -81,7 +81,7 @@ def stream_sessions(t: Tables) -> DataFrame:
                FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
     s AS (SELECT user_id, ts, sum(first) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM o),
     g AS (SELECT user_id, id, max(id) OVER (PARTITION BY user_id) AS top, min(ts) AS a, max(ts) AS b, count(*)::BIGINT AS events FROM s GROUP BY 1, 2)
-    SELECT user_id, events, round((epoch_us(b) - epoch_us(a)) / 1e6, 3) AS duration FROM g
+    SELECT user_id, events, (epoch_us(b) - epoch_us(a)) / 1e6 AS duration FROM g
     WHERE id < top OR b + INTERVAL 6 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)
     """,
 )
@@ -95,7 +95,7 @@ def stream_session_updates(t: Tables) -> DataFrame:
 
     runner.run_batches(updates, each, "session-updates", "update")
     closed = t.spark.read.parquet(path).filter("expired")
-    return closed.select("user_id", "events", F.round("duration", 3).alias("duration"))
+    return closed.select("user_id", "events", "duration")
 
 
 @query(

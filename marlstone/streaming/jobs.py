@@ -137,7 +137,7 @@ def session_updates(df: DataFrame, time: str, key: str, gap: int, delay: str) ->
         out = []
 
         def row(first: pd.Timestamp, last: pd.Timestamp, events: int, expired: bool) -> None:
-            out.append((keys[0], events, (last - first).total_seconds(), expired))
+            out.append((keys[0], events, (last.value - first.value) // 1000 / 1e6, expired))
 
         if state.hasTimedOut:
             first, last, events = state.get
