@@ -192,7 +192,7 @@ def feat_vector_index(t: Tables) -> DataFrame:
 
 @query("lsh_near_passages")
 def lsh_near_passages(t: Tables) -> DataFrame:
-    return ln.near_passages(t("documents"), t("benchmark"), "doc_id", "item_id", "text", 0.6)
+    return ln.near_passages(t("documents"), t("benchmark"), "doc_id", "item_id", "text", 0.8)
 
 
 @query("lsh_nearest")
