@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -273,9 +273,3 @@ def stream_regression(
 def seeds(df: DataFrame, column: str, order: str, k: int) -> list[list[float]]:
     """First ``k`` vectors in key order (bounded by k)."""
     return [[float(v) for v in r[column]] for r in df.orderBy(order).limit(k).select(column).collect()]
-
-
-def vector_rows(df: DataFrame, column: str, out: str) -> DataFrame:
-    return df.withColumn(out, vector_to_array(column))
-
-

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
-from datetime import datetime
 
 from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -202,7 +201,3 @@ def capped(limit: int | None, default: int = ROW_LIMIT, samples: bool = False) -
     """The row cap of a result: the wish, the default of its kind, the hard limit."""
     top = min(SAMPLES_LIMIT, HARD_LIMIT) if samples else HARD_LIMIT
     return min(limit or (SAMPLES_LIMIT if samples else default), top)
-
-
-def utc(text: str) -> datetime:
-    return datetime.fromisoformat(text)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,7 +62,3 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.exists(path)
