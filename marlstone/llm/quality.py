@@ -97,17 +97,20 @@ def _left(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, "")).cast("long")
 
 
-def figures(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def figures(docs: DataFrame, id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
     """The counts that the rules look at, one row per document.
 
     Null and empty texts have zero everywhere.  Repeated rows give repeated
     results; only ``id`` and ``text`` of the input are read, so other columns
-    may have any name.
+    may have any name.  With ``carry`` the whole row comes along as the struct
+    ``row``.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    split = docs.select(F.col(id).alias("doc_id"), body.alias("__text"), words_of(F.col(text)).alias("__words"))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    split = docs.select(F.col(id).alias("doc_id"), body.alias("__text"), words_of(F.col(text)).alias("__words"), *row)
     lines = F.filter(F.split(F.col("__text"), "\n"), lambda x: x.rlike(WORD))
     both = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), F.size(F.array_distinct(x)).cast("long").alias("distinct")))
+    found = lambda pattern: _left(F.regexp_replace("__text", pattern, "\u0001"), "[^\u0001]+")
     out = split.select(
         "doc_id",
         F.size("__words").cast("long").alias("n_words"),
@@ -116,9 +119,10 @@ def figures(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         both.alias("__lines"),
         repeated_words(F.col("__words")).alias("n_repeat_words"),
         _left(F.col("__text"), r"[^A-ZÀ-ÖØ-Þ]+").alias("n_capitals"),
-        # A run of marks becomes one character that no text keeps otherwise.
-        _left(F.regexp_replace("__text", r"[!#*$%&|<>?]{2,}|(?<=\x20)\|(?=\x20)", "\u0001"), "[^\u0001]+").alias("n_mark_runs"),
-        _left(F.regexp_replace("__text", r"[.!?;:](?=[\x20\x09-\x0D]|$)", "\u0001"), "[^\u0001]+").alias("n_stops"),
+        # Runs of marks, and bars that stand alone; then words that end with a stop.
+        found(rf"[!#*$%&|<>?]{{2,}}|(?<!{WORD})\|(?!{WORD})").alias("n_mark_runs"),
+        found(rf"[.!?;:](?!{WORD})").alias("n_stops"),
+        *(["row"] if carry else []),
     )
     return out.select("*", F.col("__lines.n").alias("n_lines"), (F.col("__lines.n") - F.col("__lines.distinct")).alias("n_dup_lines")).drop("__lines")
 
@@ -185,8 +189,39 @@ def probability(model: dict[str, object]) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
-def judge(docs: DataFrame, id: str = "doc_id", text: str = "text", rules: Sequence[Rule] = RULES, least: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
+def judge(docs: DataFrame, id: str = "doc_id", text: str = "text", rules: Sequence[Rule] = RULES, least: float = 0.5, rounds: int = ROUNDS, carry: bool = False) -> DataFrame:
     """Figures, votes, ``quality`` (posterior) and ``good`` (``quality >= least``) of each document."""
-    voted = keep_on_disk(vote(figures(docs, id, text), rules), "quality-votes")
+    voted = keep_on_disk(vote(figures(docs, id, text, carry), rules), "quality-votes")
     model = fit(voted, rules, rounds)
     return voted.select("*", probability(model).alias("quality")).select("*", (F.col("quality") >= least).alias("good"))
+
+
+def fit_sql(patterns: str, rules: Sequence[Rule] = RULES, rounds: int = ROUNDS) -> str:
+    """The same fit as a chain of SQL steps over the table ``patterns`` (votes and ``n``); ends with the one-row table ``model``."""
+    steps, names = [], [r.name for r in rules]
+    start = ", ".join(f"{START[v][c]} AS {k}_{n}" for n in names for v, c, k in _PARTS)
+    steps.append(f"model0 AS MATERIALIZED (SELECT {GOOD} AS good, {start})")
+    for i in range(rounds):
+        last = "model" if i + 1 == rounds else f"model{i + 1}"
+        steps.append(f"share{i} AS MATERIALIZED (SELECT p.*, {posterior_sql(rules)} AS q FROM {patterns} p, model{i})")
+        fitted = ", ".join(
+            f"(coalesce(sum(n * {q}) FILTER (vote_{n} = {v}), 0) + {WEIGHT * START[v][c]}) / (sum(n * {q}) + {WEIGHT}) AS {k}_{n}"
+            for n in names
+            for v, c, k in _PARTS
+            for q in ["q" if c == 0 else "(1 - q)"]
+        )
+        steps.append(f"{last} AS MATERIALIZED (SELECT (sum(n * q) + {WEIGHT * GOOD}) / (sum(n) + {WEIGHT}) AS good, {fitted} FROM share{i})")
+    return ",\n".join(steps)
+
+
+#: Vote, class and column prefix of the fitted shares that the posterior needs.
+_PARTS = ((1, 0, "good_if_good"), (1, 1, "good_if_bad"), (-1, 0, "bad_if_good"), (-1, 1, "bad_if_bad"))
+
+
+def posterior_sql(rules: Sequence[Rule] = RULES) -> str:
+    """Posterior of a row with votes, beside the columns of a model."""
+    terms = [
+        f"CASE vote_{r.name} WHEN 1 THEN greatest(ln(good_if_good_{r.name} / good_if_bad_{r.name}), 0) WHEN -1 THEN least(ln(bad_if_good_{r.name} / bad_if_bad_{r.name}), 0) ELSE 0 END"
+        for r in rules
+    ]
+    return f"1 / (1 + exp(-(ln(good / (1 - good)) + {' + '.join(terms)})))"

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe, language, line_dedup, near_dedup, packing, quality, secrets, token_counts, url_filter
 from . import fingerprints as fp
-from . import quality, secrets
-from .common import documents
+from .common import documents, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +21,26 @@ def query(fn):
     return fn
 
 
+@query
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier line, nearly or exactly."""
+    docs = documents(spark, folder)
+    n_lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines")
+    return line_dedup.clean(docs.select("doc_id", "text", n_lines), count="n_removed")
+
+
+@query
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of each text by the multilingual ranks, and the bytes that they decode to."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(documents(spark, folder), path, offsets=False)
+    facts = encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids"
+    )
+    decoded = bpe.decode(facts, path, text=False)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash of each text, of its edited text and of the next document.
@@ -55,6 +76,13 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of each text as the library counts them."""
+    counted = token_counts.count(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, the fixed base rule and the verdict of the weighted rules."""
@@ -67,6 +95,38 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in bins of 2,048 words, no bin with two of a source or two copies of a text."""
+    docs = documents(spark, folder)
+    return packing.pack(docs.select("doc_id", F.size(words_of(F.col("text"))).alias("length"), "source", F.xxhash64("text").alias("cluster")))
+
+
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of each text, by a network that has not seen the held-out quarter."""
+    docs = documents(spark, folder)
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    net = language.fit(docs.where(~held_out).select("text", "lang"))
+    return language.predict(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+#: Fixed by the contract.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The longest rule that fits each page's address, and its verdict."""
+    return url_filter.judge(spark.read.parquet(f"{folder.rstrip('/')}/pages.parquet"), url_filter.publish(spark, URL_RULES))
+
+
+@query
+def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of word pairs are at least 80 % alike."""
+    return near_dedup.groups(documents(spark, folder), width=2)
+
+
 @query
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and digest, and all spans with those found by entropy."""
@@ -80,3 +140,50 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
         secrets.written(F.col("spans")).alias("spans"),
     )
+
+
+_WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES["op5_quality_rules"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, {_WORDS.format(text="text")} AS w FROM documents),
+lines AS (SELECT row, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM docs),
+windows AS (SELECT row, unnest(range(1, len(w) - 1)) AS i, w FROM docs WHERE len(w) > 2),
+repeated AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, w[i], w[i + 1], w[i + 2]) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT row, count(DISTINCT i + j) AS n FROM repeated, (SELECT unnest([0, 1, 2]) AS j) GROUP BY row),
+counted AS (
+  SELECT docs.row, doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+    coalesce(covered.n, 0) AS n_repeat_words, length(regexp_replace(t, '[^A-ZÀ-ÖØ-Þ]+', '', 'g')) AS n_capitals,
+    len(regexp_extract_all(t, '[!#*$%&|<>?]{{2,}}')) + len(list_filter(w, lambda x: x = '|')) AS n_mark_runs,
+    len(list_filter(w, lambda x: regexp_matches(x, '[.!?;:]$'))) AS n_stops
+  FROM docs JOIN lines USING (row) LEFT JOIN covered USING (row)),
+voted AS MATERIALIZED (SELECT *, {", ".join(f"CASE WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END AS vote_{r.name}" for r in quality.RULES)} FROM counted),
+patterns AS MATERIALIZED (SELECT {", ".join(f"vote_{r.name}" for r in quality.RULES)}, count(*) AS n FROM voted GROUP BY ALL),
+{quality.fit_sql("patterns")}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND q >= 0.5 AS kept, {", ".join(f"vote_{r.name}" for r in quality.RULES)}
+FROM (SELECT voted.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {quality.posterior_sql()} AS q FROM voted, model)
+"""
+
+ORACLES["op8_url_filter"] = rf"""
+WITH rules(host, path, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+parts AS (
+  SELECT row_number() OVER () AS row, page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM pages),
+fits AS (
+  SELECT row, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY row)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (row)
+"""
+
+ORACLES["op9_minhash"] = rf"""
+WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(text=f"translate(text, '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b USING (x) WHERE a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM words UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)
+"""

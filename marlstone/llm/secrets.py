@@ -135,14 +135,17 @@ def looks_secret(string: Column) -> Column:
     return F.when(level.isNull() | allowed, F.lit(False)).otherwise(window_entropy(string) >= level)
 
 
-def find(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def find(docs: DataFrame, id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
     """Spans of each document: ``base`` by pattern, ``added`` by entropy, sorted by start and kind.
 
     Null texts count as empty and have no spans.  An added span never overlaps
     a base span.  Repeated rows give repeated results; only ``id`` and ``text``
-    are read, so other columns may have any name.
+    are read, so other columns may have any name.  With ``carry`` the whole row
+    comes along as the struct ``row``.
     """
-    body = docs.select(F.col(id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    body = docs.select(F.col(id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("__text"), *row)
+    more = ["row"] if carry else []
     long_value = lambda m: F.length(F.regexp_extract(m, PATTERNS["assign"], 2)) >= _LEAST_VALUE
     t = F.col("__text")
     base = F.concat(
@@ -150,9 +153,9 @@ def find(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         spans_of(t, _ACCESS, 1),
         spans_of(t, _HEX, 2),
     )
-    found = body.select("doc_id", "__text", F.array_sort(base).alias("base"), spans_of(t, CANDIDATE, 3, looks_secret).alias("__more"))
+    found = body.select("doc_id", *more, F.array_sort(base).alias("base"), spans_of(t, CANDIDATE, 3, looks_secret).alias("__more"))
     free = let(F.col("base"), lambda b: F.filter("__more", lambda m: ~F.exists(b, lambda x: (x["start"] < m["stop"]) & (m["start"] < x["stop"]))))
-    out = found.select("doc_id", "__text", "base", F.when(F.size("__more") == 0, F.col("__more")).otherwise(free).alias("added"))
+    out = found.select("doc_id", *more, "base", F.when(F.size("__more") == 0, F.col("__more")).otherwise(free).alias("added"))
     return out.select("*", F.array_sort(F.concat("base", "added")).alias("spans"))
 
 
