@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, language, line_dedup, near_dedup, packing, quality, secrets, token_counts, url_filter
 from . import fingerprints as fp
-from .common import documents, words_of
+from .common import documents, keep_on_disk, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,15 +52,16 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
     # One copy of the text in, both versions out: the terms of each, told apart by ``__edited``.
-    versions = linked.select("__id", "digest", F.col("text").alias("t0"), edited.alias("t1"))
-    stacked = versions.select("__id", "digest", F.expr("stack(2, false, t0, true, t1) AS (__edited, body)"))
-    prints = fp.fingerprints(stacked, ["__id", "digest", "__edited"], "body").groupBy("__id", "digest").agg(
+    # ``doc_id`` is only named so that this branch and ``facts`` share one shuffle of the texts.
+    versions = linked.select("__id", "doc_id", "digest", F.col("text").alias("t0"), edited.alias("t1"))
+    stacked = versions.select("__id", "doc_id", "digest", F.expr("stack(2, false, t0, true, t1) AS (__edited, body)"))
+    prints = fp.fingerprints(stacked, ["__id", "doc_id", "digest", "__edited"], "body").groupBy("__id", "digest").agg(
         F.max(F.when(~F.col("__edited"), F.col("fingerprint"))).alias("own"),
         F.max(F.when(F.col("__edited"), F.col("fingerprint"))).alias("edited"),
     )
     facts = linked.select("__id", "doc_id", "digest", "next_id", "next_digest", F.length("text").cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"))
     following = prints.select(F.col("__id").alias("next_id"), F.col("digest").alias("next_digest"), F.col("own").alias("following"))
-    whole = facts.join(prints, ["__id", "digest"]).join(following, ["next_id", "next_digest"])
+    whole = keep_on_disk(facts.join(prints, ["__id", "digest"]).join(following, ["next_id", "next_digest"]), "fingerprints")
     copies = whole.groupBy(F.col("own").alias("found")).agg(F.count(F.lit(1)).alias("n"))
     asked = whole.where(F.col("doc_id") % 100 == 0).select(F.col("own").alias("fingerprint"))
     counted = fp.near(asked, whole.select(F.col("own").alias("fingerprint"))).join(copies, "found").groupBy(F.col("query").alias("own")).agg((F.sum("n") - 1).alias("near_docs"))
@@ -147,7 +148,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLES["op5_quality_rules"] = rf"""
 WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, {_WORDS.format(text="text")} AS w FROM documents),
-lines AS (SELECT row, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM docs),
+lines AS (SELECT row, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS l FROM docs),
 windows AS (SELECT row, unnest(range(1, len(w) - 1)) AS i, w FROM docs WHERE len(w) > 2),
 repeated AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, w[i], w[i + 1], w[i + 2]) AS n FROM windows) WHERE n > 1),
 covered AS (SELECT row, count(DISTINCT i + j) AS n FROM repeated, (SELECT unnest([0, 1, 2]) AS j) GROUP BY row),
