@@ -10,14 +10,14 @@ small per-chunk totals carry results from one chunk to the next:
 * ``blocked``  - frames of a fixed number of rows (rolling, lag, lead): blocks
   of consecutive positions, each extended by the neighbour rows it needs.
 
-Both are exact.  The split points come from one sketch over the order column
-(a single row of at most ``chunks`` numbers); ties of the leading order column
-always share a chunk, which keeps ranks right.
-
-Three shuffles instead of one only pay when some key is large, so the largest
-key is counted first (keys only, combined before the shuffle): up to
-``PLAIN_ROWS`` rows per key the plain window runs, beyond it the chunks.
-Passing ``chunks`` skips the count and forces the chunks.
+Both are exact.  The split points come from one pass over the order column;
+ties of the leading order column always share a chunk, which keeps ranks
+right, unless the value fills several chunks by itself.
+
+There is one method for all sizes.  The number of chunks follows the counted
+rows (``CHUNK_ROWS`` each), a small frame has one.  A caller who knows that no
+key is large may ask for the plain window with ``small=True``; the answers,
+and their types, are the same.
 """
 
 from __future__ import annotations
@@ -30,7 +30,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PLAIN_ROWS = 1_000_000
+#: Rows that a chunk should hold.
+CHUNK_ROWS = 1_000_000
+#: Texts drawn per chunk to find split points among real values.
+SAMPLES = 20
 
 CHUNK = "__chunk"
 POSITION = "__position"
@@ -40,8 +43,8 @@ OWN = "__own"
 Order = Sequence[tuple[str, bool]]
 
 
-def order_number(df: DataFrame, name: str) -> Column:
-    """A number that sorts like column ``name`` (ties allowed for long texts)."""
+def order_value(df: DataFrame, name: str) -> Column:
+    """What split points are looked for in: a number that sorts like the column, or its text."""
     dtype = df.schema[name].dataType
     col = F.col(f"`{name}`")
     if isinstance(dtype, T.TimestampNTZType):
@@ -51,36 +54,33 @@ def order_number(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, T.DateType):
         return F.unix_date(col).cast("long")
     if isinstance(dtype, T.StringType):
-        lead = F.hex(F.substring(F.encode(col, "UTF-8"), 1, 7))
-        return F.conv(F.rpad(lead, 14, "0"), 16, 10).cast("long")
+        return col
     return col.cast("double")
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest key (of the whole frame without keys)."""
-    if not keys:
-        return df.count()
-    sizes = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n").alias("m")).first()["m"] or 0
+def split_points(df: DataFrame, name: str, chunks: int | None = None) -> list:
+    """Cut points of the order column ``name``, sorted; a heavy value comes several times.
 
-
-def has_small_groups(df: DataFrame, keys: Sequence[str]) -> bool:
-    return largest_group(df, keys) <= PLAIN_ROWS
-
-
-def default_chunks(df: DataFrame) -> int:
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(256, wanted))
-
-
-def split_points(df: DataFrame, value: Column, chunks: int) -> list[float]:
-    """At most ``chunks - 1`` cut points of ``value`` (one small row); a heavy value repeats."""
-    fractions = [i / chunks for i in range(1, chunks)]
-    row = df.agg(F.percentile_approx(value, fractions, 10_000).alias("cuts")).first()
-    return sorted(row["cuts"] or [])
-
-
-def _descend(value: Column, cuts: Sequence[float], low: int, high: int, leaf) -> Column:
+    One pass over the column: rows are counted and quantiles sketched together.
+    Texts are cut at texts drawn at random, so long common beginnings do no
+    harm; where the cuts lie never changes a result.
+    """
+    value = order_value(df, name)
+    grid = chunks or 4 * max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if isinstance(df.schema[name].dataType, T.StringType):
+        rows = df.count()
+        wanted = chunks or -(-rows // CHUNK_ROWS)
+        share = 1.0 if rows <= SAMPLES * wanted else SAMPLES * wanted / rows
+        drawn = sorted(r[0] for r in df.select(value.alias("v")).sample(share, 17).collect() if r[0] is not None)
+        return [drawn[len(drawn) * i // wanted] for i in range(1, wanted)] if drawn else []
+    fractions = [i / grid for i in range(1, grid)] or [0.5]
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(value, fractions, max(10_000, 10 * grid)).alias("cuts")).first()
+    wanted = chunks or min(grid, -(-row["n"] // CHUNK_ROWS))
+    cuts = sorted(row["cuts"] or [])
+    return [cuts[len(cuts) * i // wanted] for i in range(1, wanted)] if cuts else []
+
+
+def _descend(value: Column, cuts: Sequence, low: int, high: int, leaf) -> Column:
     """Balanced tree of comparisons (stays in generated code)."""
     if low == high:
         return leaf(low)
@@ -96,31 +96,19 @@ def with_chunks(df: DataFrame, order: Order, chunks: int | None = None) -> DataF
     A value of the leading column that fills several chunks by itself is cut
     again by the second order column.
     """
-    chunks = chunks or default_chunks(df)
     name, ascending = order[0]
-    value = order_number(df, name)
-    listed = split_points(df, value, chunks)
+    value = order_value(df, name)
+    listed = split_points(df, name, chunks)
     cuts = sorted(set(listed))
     heavy = [c for c in cuts if listed.count(c) > 1] if len(order) > 1 else []
-    inner: dict[float, list[float]] = {}
-    if heavy:
-        second = order_number(df, order[1][0])
-        row = df.agg(
-            *[
-                F.percentile_approx(
-                    F.when(value == F.lit(h), second), [i / listed.count(h) for i in range(1, listed.count(h))], 10_000
-                ).alias(f"h{i}")
-                for i, h in enumerate(heavy)
-            ]
-        ).first()
-        inner = {h: sorted(set(row[f"h{i}"] or [])) for i, h in enumerate(heavy)}
+    inner: dict = {h: sorted(set(split_points(df.filter(value == F.lit(h)), order[1][0], listed.count(h)))) for h in heavy}
     # every value range gets a block of numbers: the range below a cut, then the cut itself when heavy
     width = 1 + max([len(v) + 2 for v in inner.values()], default=0)
 
     def leaf(i: int) -> Column:
         start = 1 + i * width
         if i < len(cuts) and cuts[i] in inner:
-            inside = _second_chunk(order[1], order_number(df, order[1][0]), inner[cuts[i]])
+            inside = _second_chunk(order[1], order_value(df, order[1][0]), inner[cuts[i]])
             own = F.lit(start + 1) + inside
             below = F.lit(start)
             if not ascending:
@@ -133,7 +121,7 @@ def with_chunks(df: DataFrame, order: Order, chunks: int | None = None) -> DataF
     return df.withColumn(CHUNK, number if ascending else -number)
 
 
-def _second_chunk(order: tuple[str, bool], value: Column, cuts: Sequence[float]) -> Column:
+def _second_chunk(order: tuple[str, bool], value: Column, cuts: Sequence) -> Column:
     """0 .. len(cuts)+1 in the direction of the second column."""
     rising = F.when(value.isNull(), F.lit(0)).otherwise(_descend(value, cuts, 0, len(cuts), lambda i: F.lit(i + 1)))
     return rising if order[1] else F.lit(len(cuts) + 1) - rising
@@ -199,7 +187,7 @@ def _peer_ranks(df: DataFrame, keys: list[str], order: Order, results: dict[str,
     names = [n for n, _ in order]
     values = df.groupBy(*[F.col(f"`{n}`") for n in dict.fromkeys([*keys, *names])]).agg(F.count(F.lit(1)).alias("__copies"))
     placed = running(
-        values, keys, order, {"__upto": Running("sum", "__copies"), "__dense": Running("row_number")}, chunks or default_chunks(df)
+        values, keys, order, {"__upto": Running("sum", "__copies"), "__dense": Running("row_number")}, chunks
     )
     sizes = values.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.sum("__copies").alias("__size"))
     placed = null_safe_join(placed, sizes, keys) if keys else placed.withColumn("__size", sizes.scalar())
@@ -222,15 +210,15 @@ def running(
     order: Order,
     results: dict[str, Running],
     chunks: int | None = None,
-    small: bool | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Add running results per ``keys`` in ``order``; safe for a hot key.
 
-    ``small`` passes on what the caller has already counted.
+    With ``small`` the caller answers for it that no key is large.
     """
     keys = list(keys)
-    if chunks is None and (has_small_groups(df, keys) if small is None else small):
-        window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*sort_columns(order))
+    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*sort_columns(order))
+    if small:
         added = {out: _plain(spec, window) for out, spec in results.items()}
         kept = [F.col(f"`{c}`") for c in df.columns if c not in results]
         return df.select(*kept, *[c.alias(out) for out, c in added.items()])
@@ -243,6 +231,7 @@ def running(
     base = with_chunks(df, order, chunks)
     sort = sort_columns(order)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*sort)
+    plain_types = df.select(*[_plain(spec, window).alias(out) for out, spec in results.items()]).schema
     to_here = inside.rowsBetween(Window.unboundedPreceding, 0)
 
     partials: dict[str, Column] = {"__n": F.count(F.lit(1))}
@@ -258,8 +247,8 @@ def running(
         elif spec.kind == "product":
             partials[f"__prod_{out}"] = F.product(c)
         elif spec.kind in ("fill_forward", "first_value"):
-            # order as a sortable struct; only ascending order reaches here
-            place = F.struct(*[F.col(f"`{n}`") for n, _ in order])
+            # the place in the chunk follows the order, whatever its direction
+            place = F.col("__place")
             picked = F.struct(c.alias("v"))
             if spec.kind == "fill_forward":
                 partials[f"__fill_{out}"] = F.max_by(picked, F.when(c.isNotNull(), place))
@@ -268,7 +257,11 @@ def running(
         elif spec.kind not in ("row_number", "ntile"):
             raise ValueError(f"unknown running result {spec.kind}")
 
-    totals = base.groupBy(*keys, CHUNK).agg(*[v.alias(k) for k, v in partials.items()])
+    if any(spec.kind in ("fill_forward", "first_value") for spec in results.values()):
+        placed = base.withColumn("__place", F.row_number().over(inside))
+    else:
+        placed = base
+    totals = placed.groupBy(*keys, CHUNK).agg(*[v.alias(k) for k, v in partials.items()])
     by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = by_key.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     prefix = [F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__rows_before")]
@@ -311,6 +304,10 @@ def running(
             inner_n = F.coalesce(F.col(f"`__cnt_{out}`"), zero) + F.count(c).over(to_here)
             inner = F.coalesce(F.col(f"`__sum_{out}`"), zero) + F.coalesce(F.sum(c).over(to_here), zero)
             inner = F.when(inner_n > 0, inner)
+            held = df.schema[spec.column].dataType
+            if isinstance(held, T.DecimalType):  # as wide as the sum of one window, so that the mean is rounded once
+                inner = inner.cast(T.DecimalType(min(38, held.precision + 10), held.scale))
+                inner_n = inner_n.cast("decimal(20,0)")
             value = inner if spec.kind == "sum" else F.try_divide(inner, inner_n)
         elif spec.kind == "count":
             value = F.coalesce(F.col(f"`__cnt_{out}`"), zero) + F.count(c if c is not None else F.lit(1)).over(to_here)
@@ -325,7 +322,7 @@ def running(
         else:
             earlier = F.col(f"`__first_{out}`")
             value = F.when(rows_before > 0, earlier.getField("v")).otherwise(F.first(c).over(to_here))
-        added.append(value.alias(out))
+        added.append(value.cast(plain_types[out].dataType).alias(out))
     keep = [F.col(f"`{c}`") for c in df.columns if c not in results]
     return joined.select(*keep, *added)
 
@@ -371,15 +368,15 @@ def sliding(
     block_rows: int = 1_000_000,
     chunks: int | None = None,
     position: str | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Add ``make[name](window)`` columns block by block; ``position`` keeps the row number."""
-    if chunks is None and has_small_groups(df, keys):
+    if small:
         plain = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*sort_columns(order))
         added = [build(plain).alias(name) for name, build in make.items()]
         if position:
             added.append(F.row_number().over(plain).cast("long").alias(position))
         return df.select("*", *added)
-    chunks = chunks or default_chunks(df)
     spread, window = blocked(df, keys, order, before, after, block_rows, chunks)
     out = spread.select("*", *[build(window).alias(name) for name, build in make.items()])
     out = out.filter(F.col(OWN))

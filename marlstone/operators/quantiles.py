@@ -2,7 +2,8 @@
 
 Equal values are counted first, the counts are prefixed chunk by chunk, and the
 values standing at the wanted ranks are picked by a filter.  A group may hold
-any share of the table; small groups take the built-in ``percentile``.
+any share of the table; a caller who knows its groups to be small may take the
+built-in ``percentile`` with ``small=True``.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import Running, has_small_groups, null_safe_join, running
+from .ordered import Running, null_safe_join, running
 
 
 def rank_counts(df: DataFrame, keys: Sequence[str], value: str, chunks: int | None = None) -> DataFrame:
@@ -45,7 +46,7 @@ def exact_quantiles(
     probabilities: dict[str, float],
     method: str = "linear",
     chunks: int | None = None,
-    small: bool | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """One row per group with a column per named probability.
 
@@ -53,7 +54,7 @@ def exact_quantiles(
     takes their mean, ``lower`` and ``higher`` take one of them.
     """
     keys = list(keys)
-    if chunks is None and (has_small_groups(df, keys) if small is None else small):
+    if small:
         return _within_groups(df, keys, value, probabilities, method)
     ranks = rank_counts(df, keys, value, chunks)
 
@@ -87,7 +88,7 @@ def _between(low: Column, high: Column, part: Column, method: str) -> Column:
 def _within_groups(
     df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], method: str
 ) -> DataFrame:
-    """One aggregation, for groups whose size has been checked."""
+    """One aggregation, for groups that the caller knows to be small."""
     names = [F.col(f"`{k}`") for k in keys]
     v = F.col(f"`{value}`").cast("double")
     grouped = df.filter(F.col(f"`{value}`").isNotNull()).groupBy(*names)

@@ -83,13 +83,43 @@ def test_quantiles(skewed, method):
     same(rounded(far), rounded(near))
 
 
-def test_the_largest_key_decides(skewed, monkeypatch):
-    monkeypatch.setattr(ordered, "PLAIN_ROWS", 100)
-    out = running(skewed, ["k"], ORDER, {"rn": Running("row_number")})
-    assert ordered.CHUNK in out._jdf.queryExecution().toString()
-    monkeypatch.setattr(ordered, "PLAIN_ROWS", 10_000)
-    out = running(skewed, ["k"], ORDER, {"rn": Running("row_number")})
-    assert ordered.CHUNK not in out._jdf.queryExecution().toString()
+VALUES = {
+    "integer": "CAST(pmod(xxhash64(id, 2), 50) AS int)",
+    "decimal": "CAST(pmod(xxhash64(id, 3), 5000) / 100 AS decimal(12,2))",
+    "double": "CAST(pmod(xxhash64(id, 4), 64) AS double) / 4",
+    "text": "concat('Customer#0000', pmod(xxhash64(id, 5), 400))",
+}
+
+
+@pytest.mark.parametrize("up", [True, False])
+@pytest.mark.parametrize("second_up", [True, False])
+@pytest.mark.parametrize("kind", VALUES)
+def test_every_result_in_every_direction(spark, kind, up, second_up):
+    """Values, their types and the direction of the order: chunks give what plain windows give."""
+    made = F.expr(VALUES[kind])
+    df = spark.range(900).select("id", (F.col("id") % 3).alias("k"), F.when(F.col("id") % 5 != 0, made).alias("v"), made.alias("o"))
+    kinds = ["row_number", "count", "min", "max", "fill_forward", "first_value", "rank", "dense_rank", "percent_rank", "cume_dist"]
+    kinds += [] if kind == "text" else ["sum", "avg"]
+    specs = {k: Running(k, None if "rank" in k or k in ("row_number", "cume_dist") else "v") for k in kinds} | {"ntile": Running("ntile", n=4)}
+    order = [("o", up), ("id", second_up)]
+    plain = running(df, ["k"], order, specs, small=True)
+    for chunks in (None, 7):
+        chunked = running(df, ["k"], order, specs, chunks=chunks).select(*plain.columns)
+        assert [f.dataType for f in chunked.schema] == [f.dataType for f in plain.schema]
+        same(chunked, plain)
+
+
+def test_long_common_beginnings_spread_over_all_chunks(spark):
+    df = spark.range(3000).select("id", F.format_string("Customer#%09d", "id").alias("name"))
+    sizes = [r["count"] for r in ordered.with_chunks(df, [("name", True)], 16).groupBy(ordered.CHUNK).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3000 / 6
+
+
+def test_chunks_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 100)
+    df = spark.range(1000).select("id", F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
+    for lead in ("id", "name"):
+        assert ordered.with_chunks(df, [(lead, True)]).select(ordered.CHUNK).distinct().count() == 10
 
 
 @pytest.mark.parametrize("up", [True, False])
