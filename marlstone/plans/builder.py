@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions import timerange
 from ..functions.labels import unique
 from .filters import apply_filters, between
-from .request import TIME_LABEL, Dataset, Dim, Metric, Request, RequestError, capped, label_of
+from .request import TIME_LABEL, Dataset, Dim, Metric, Request, RequestError, label_of, page_size
 
 
 def validate(dataset: Dataset, request: Request) -> None:
@@ -122,7 +122,7 @@ def ordered(df: DataFrame, request: Request) -> DataFrame:
     if request.row_offset:
         df = df.offset(request.row_offset)
     if request.row_limit:
-        df = df.limit(capped(request.row_limit))
+        df = df.limit(request.row_limit)
     return df
 
 
@@ -190,7 +190,7 @@ def samples(
     """A page of raw rows; samples ignore the time range, drill-to-detail keeps it."""
     if not sort_key:
         raise RequestError("pages need a sort key")
-    size = capped(per_page, samples=True)
+    size = page_size(per_page)
     df = filtered(dataset, request, now) if drill else filtered(dataset, request, now, span=(None, None))
     return df.orderBy(*[F.col(f"`{k}`").asc_nulls_last() for k in sort_key]).offset((page - 1) * size).limit(size)
 

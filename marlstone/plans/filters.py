@@ -16,6 +16,8 @@ from .request import Dataset, Filter, RequestError
 NULL_TEXT = "<NULL>"
 EMPTY_TEXT = "<empty string>"
 
+TRUE_TEXTS = ("true", "1", "t", "yes")
+
 # Beyond this many values a list becomes a table and the filter a semi join.
 LIST_AS_TABLE = 2_000
 
@@ -28,7 +30,7 @@ def literal(value: object, dtype: T.DataType) -> Column:
             return F.lit(text)
         return F.lit(text).cast(dtype)
     if isinstance(dtype, T.BooleanType) and isinstance(value, str):
-        return F.lit(value.strip().lower() in ("true", "1", "t", "yes"))
+        return F.lit(value.strip().lower() in TRUE_TEXTS)
     return F.lit(value).cast(dtype)
 
 
@@ -134,14 +136,31 @@ def apply_filters(dataset: Dataset, df: DataFrame, filters: Sequence[Filter], no
     return df
 
 
+def _listed(df: DataFrame, dtype: T.DataType, values: list) -> DataFrame:
+    """The values as a table; each kind of value is cast as its literal would be."""
+    kinds: dict[type, list] = {}
+    for v in values:
+        if isinstance(dtype, T.BooleanType) and isinstance(v, str):
+            v = v.strip().lower() in TRUE_TEXTS
+        if isinstance(v, datetime):
+            v = v.isoformat(sep=" ")
+        kinds.setdefault(type(v), []).append((v,))
+    schema = {bool: "boolean", int: "bigint", float: "double", str: "string"}
+    out = df.sparkSession.createDataFrame([], T.StructType([T.StructField("__v", dtype)]))
+    for kind, rows in kinds.items():
+        table = df.sparkSession.createDataFrame(rows, f"v {schema[kind]}" if kind in schema else ["v"])
+        out = out.unionByName(table.select(F.col("v").cast(dtype).alias("__v")))
+    return out
+
+
 def _filter_by_table(df: DataFrame, name: str, dtype: T.DataType, values: list, op: str) -> DataFrame:
-    rows = [(str(v),) for v in values if v is not None]
-    listed = df.sparkSession.createDataFrame(rows, "v string").select(F.col("v").cast(dtype).alias("__v"))
+    listed = _listed(df, dtype, [v for v in values if v is not None])
     column = F.col(f"`{name}`")
     has_null = any(v is None for v in values)
     if op == "IN":
+        listed = listed.filter(F.col("__v").isNotNull())
         if has_null:
-            listed = listed.unionByName(listed.limit(1).select(F.lit(None).cast(dtype).alias("__v")))
+            listed = listed.unionByName(df.sparkSession.range(1).select(F.lit(None).cast(dtype).alias("__v")))
         return df.join(listed.distinct(), column.eqNullSafe(F.col("__v")), "left_semi")
     kept = df.filter(column.isNotNull())
     return kept.join(listed.distinct(), column == F.col("__v"), "left_anti")

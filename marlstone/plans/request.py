@@ -13,9 +13,8 @@ from pyspark.sql import types as T
 
 from ..functions.grains import bucket
 
-ROW_LIMIT = 50_000
+# Page size of raw rows where the caller names none; no other limit is put in.
 SAMPLES_LIMIT = 1_000
-HARD_LIMIT = 100_000
 
 
 class RequestError(ValueError):
@@ -169,7 +168,9 @@ def label_of(item: str | Dim | Metric) -> str:
 
 def sql_aggregate(text: str) -> Column:
     """A free SQL aggregate; subqueries are refused."""
-    if re.search(r"\(\s*select\b", text, re.IGNORECASE):
+    # Comments and quoted texts are taken out first, so that neither hides nor feigns one.
+    bare = re.sub(r"/\*.*?\*/|--[^\n]*|'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`", " ", text, flags=re.DOTALL)
+    if re.search(r"\(\s*(?:select|with|from|table|values)\b", bare, re.IGNORECASE):
         raise RequestError("a metric may not hold a subquery")
     return F.expr(text)
 
@@ -177,12 +178,25 @@ def sql_aggregate(text: str) -> Column:
 def read_only_sql(spark: SparkSession, text: str, args: dict | None = None) -> DataFrame:
     """One SELECT as a subquery; commands, DML and several statements do not parse there."""
     body = text.strip().rstrip(";")
+    if _closes_early(body):
+        raise RequestError("only a single read-only SELECT is allowed")
     try:
         return spark.sql(f"SELECT * FROM (\n{body}\n)", args=args or {})
     except ParseException as error:
         raise RequestError("only a single read-only SELECT is allowed") from error
 
 
+def _closes_early(text: str) -> bool:
+    """Whether a bracket closes that the text itself has not opened."""
+    bare = re.sub(r"/\*.*?\*/|--[^\n]*|'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`", " ", text, flags=re.DOTALL)
+    depth = 0
+    for c in bare:
+        depth += (c == "(") - (c == ")")
+        if depth < 0:
+            return True
+    return depth != 0
+
+
 def security_clauses(rules: Sequence[Rule], roles: Sequence[str]) -> list[str]:
     """Clauses that apply: OR inside a group, AND across groups."""
     held = set(roles)
@@ -197,7 +211,8 @@ def security_clauses(rules: Sequence[Rule], roles: Sequence[str]) -> list[str]:
     return ["(" + " OR ".join(clauses) + ")" for clauses in groups.values()]
 
 
-def capped(limit: int | None, default: int = ROW_LIMIT, samples: bool = False) -> int:
-    """The row cap of a result: the wish, the default of its kind, the hard limit."""
-    top = min(SAMPLES_LIMIT, HARD_LIMIT) if samples else HARD_LIMIT
-    return min(limit or (SAMPLES_LIMIT if samples else default), top)
+def page_size(wanted: int | None) -> int:
+    """Rows of a page: as many as asked for, else ``SAMPLES_LIMIT``."""
+    if wanted is not None and wanted < 1:
+        raise RequestError("a page needs at least one row")
+    return wanted or SAMPLES_LIMIT

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import grains, labels, network, timerange
 from marlstone.functions.timerange import TimeRangeError, resolve
-from marlstone.plans import builder
+from marlstone.plans import builder, filters
 from marlstone.plans.builder import compile_request
-from marlstone.plans.request import Dataset, Dim, Filter, Metric, Request, RequestError, Rule, capped
+from marlstone.plans.request import Dataset, Dim, Filter, Metric, Request, RequestError, Rule, page_size, read_only_sql, sql_aggregate
 from marlstone.plans.result_cache import ResultCache, request_key
 
 NOW = datetime(2016, 11, 7, 9, 30, 10)
@@ -129,8 +129,33 @@ def test_cache(spark, tmp_path):
     assert request_key("a", request, ("r",)) != request_key("a", request)
 
 
-def test_caps():
-    assert capped(None) == 50_000 and capped(10) == 10 and capped(10**9) == 100_000 and capped(None, samples=True) == 1000
+def test_limits_are_those_asked_for(spark):
+    assert page_size(None) == 1000 and page_size(5000) == 5000
+    with pytest.raises(RequestError):
+        page_size(0)
+    wide = Dataset(spark.range(300_500))
+    assert compile_request(wide, Request(columns=["id"], row_limit=300_000), NOW).count() == 300_000
+
+
+def test_no_subquery_in_a_metric_and_no_second_statement(spark):
+    for text in ("max((select 1))", "max(( /* x */ select 1))", "max((--\n select 1))", "max((with a as (select 1) select * from a))"):
+        with pytest.raises(RequestError):
+            sql_aggregate(text)
+    sql_aggregate("count(if(name = '(select', 1, null))")
+    for text in ("SELECT 1 AS a) UNION ALL SELECT * FROM (SELECT 2 AS a", "SELECT 1; SELECT 2"):
+        with pytest.raises(RequestError):
+            read_only_sql(spark, text)
+    assert read_only_sql(spark, "SELECT ')' AS a -- )").first()["a"] == ")"
+
+
+@pytest.mark.parametrize("values, kind", [([0.5, 1.0, 2.0], "bigint"), ([True, 3], "bigint"), ([1, 2.5], "double"), (["3", 4], "string")])
+@pytest.mark.parametrize("op", ["IN", "NOT IN"])
+def test_long_lists_mean_what_short_ones_mean(spark, monkeypatch, values, kind, op):
+    data = Dataset(spark.range(8).select(F.when(F.col("id") < 7, F.col("id")).cast(kind).alias("c")))
+    request = Request(columns=["c"], filters=[Filter("c", op, values)])
+    short = compile_request(data, request, NOW).collect()
+    monkeypatch.setattr(filters, "LIST_AS_TABLE", 0)
+    assert sorted(map(repr, compile_request(data, request, NOW).collect())) == sorted(map(repr, short))
 
 
 def test_labels():
