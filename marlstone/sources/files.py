@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import re
+import csv
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.labels import unique
+from ..operators.ordered import Running, running
 
 
 class TableExists(ValueError):
@@ -78,21 +79,29 @@ def read_upload(
     skip_blank_lines: bool = True,
     index_label: str | None = None,
 ) -> DataFrame:
-    """A delimited file with the options of the upload form."""
+    """A delimited file, or a folder of such files, with the options of the upload form.
+
+    Lines to skip are skipped in each file.  Blank lines never become rows; a
+    line of separators only is a row of nulls.  The index counts from 0 over
+    all files, by name and position, before ``rows`` cuts.
+    """
     if skip_rows:
         df = _after_skipped(spark, path, sep, header, skip_rows, skip_initial_space)
     else:
-        df = (
+        df = _with_place(
             spark.read.option("header", header).option("sep", sep)
             .option("ignoreLeadingWhiteSpace", skip_initial_space).csv(path)
         )
-    df = df.toDF(*unique(df.columns))
-    if skip_blank_lines:
-        df = df.dropna(how="all")
-    if use_columns:
-        df = df.select(*[F.col(f"`{c}`") for c in use_columns])
+    names = [c for c in df.columns if c not in _PLACE]
+    df = df.toDF(*unique(names), *_PLACE)
+    if index_label:
+        df = running(df, [], [(c, True) for c in _PLACE], {"__index": Running("row_number")})
+    df = df.orderBy(*_PLACE).limit(rows) if rows else df
+    index = [(F.col("__index") - 1).alias(index_label)] if index_label else []
+    wanted = use_columns or unique(names)
+    df = df.select(*index, *[F.col(f"`{c}`") for c in wanted])
     if null_values:
-        df = df.select(*[F.when(~F.col(f"`{c}`").isin(*null_values), F.col(f"`{c}`")).alias(c) for c in df.columns])
+        df = df.select(*[F.col(f"`{c}`") if c == index_label else F.when(~F.col(f"`{c}`").isin(*null_values), F.col(f"`{c}`")).alias(c) for c in df.columns])
     changed: dict[str, Column] = {}
     for name, kind in (types or {}).items():
         source = F.col(f"`{name}`")
@@ -106,22 +115,31 @@ def read_upload(
         tries += [F.try_to_timestamp(source, F.lit(p)).cast("timestamp_ntz") for p in first]
         changed[name] = F.coalesce(*tries)
     df = df.withColumns(changed) if changed else df
-    if index_label:
-        df = df.select(F.monotonically_increasing_id().alias(index_label), "*")
-    return df.limit(rows) if rows else df
+    return df
+
+
+#: Where a line stands: its file, the block of the file, its number in the task that reads the block.
+_PLACE = ("__file", "__block", "__line")
+
+
+def _with_place(df: DataFrame) -> DataFrame:
+    return df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__line"))
 
 
 def _after_skipped(spark: SparkSession, path: str, sep: str, header: bool, skip: int, trim: bool) -> DataFrame:
-    """Drop the first lines of one file; they are the first rows of its first split."""
-    lines = spark.read.text(path).withColumn("__n", F.monotonically_increasing_id())
-    top = lines.orderBy("__n").limit(skip + 1).collect()
-    names = top[skip]["value"].split(sep) if len(top) > skip else []
-    if not header:
-        names = [f"_c{i}" for i in range(len(names))]
-    body = lines.filter(F.col("__n") >= skip + (1 if header else 0))
-    schema = ", ".join("`" + n.strip().strip('"') + "` string" for n in names)
+    """The rows of every file after its first ``skip`` lines and, with ``header``, the line of names."""
+    lines = _with_place(spark.read.text(path).filter(F.length(F.trim("value")) > 0))
+    by_file = Window.partitionBy("__file").orderBy("__block", "__line")
+    top = lines.withColumn("__n", F.row_number().over(by_file)).filter(F.col("__n") <= skip + 1)
+    start = top.filter(F.col("__n") == skip + 1).select("__file", F.struct("__block", "__line").alias("__first"), F.col("value").alias("__names"))
+    first = start.orderBy("__file").limit(1).collect()
+    names = next(csv.reader([first[0]["__names"]], delimiter=sep, skipinitialspace=trim)) if first else []
+    names = unique([n or f"_c{i}" for i, n in enumerate(names)]) if header else [f"_c{i}" for i in range(len(names))]
+    place = F.struct("__block", "__line")
+    body = lines.join(start, "__file").filter(place > F.col("__first") if header else place >= F.col("__first"))
+    schema = ", ".join(f"`{n}` string" for n in names)
     options = {"sep": sep, "ignoreLeadingWhiteSpace": str(trim).lower()}
-    return body.select(F.from_csv("value", schema, options).alias("r")).select("r.*")
+    return body.select(F.from_csv("value", schema, options).alias("r"), *_PLACE).select("r.*", *_PLACE)
 
 
 def upload_csv(spark: SparkSession, path: str, table: str, if_exists: str = "fail", location: str | None = None, **options) -> None:
@@ -172,8 +190,11 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], dynamic: bool
 
 
 def write_single_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header; for results that are already small (aggregates, top-n)."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """One CSV file with a header; for results that are already small (aggregates, top-n).
+
+    Only the finished rows go to one task, the work before them does not.
+    """
+    df.repartition(1).write.mode("overwrite").csv(path, header=True)
 
 
 def write_orc(df: DataFrame, path: str, bloom: Sequence[str] = (), dictionary_threshold: float = 1.0) -> None:
@@ -189,19 +210,32 @@ def write_bucketed(
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
 
 
-_RISKY = r'^(?:""|\s+)(?=[\-@+|=%])|^[\-@+|=%]'
+# Fixed by the file format: a cell that begins with one of these is run as a formula.
+FORMULA_STARTS = ("-", "@", "+", "|", "=", "%")
+
+
+def _unpadded(text: Column) -> Column:
+    """The text without what a reader skips at its beginning: an empty pair of quotes, or blanks."""
+    return F.when(F.startswith(text, F.lit('""')), F.substring(text, F.lit(3), F.length(text))).otherwise(F.regexp_replace(text, r"^\s+", ""))
+
+
+def _is_formula(text: Column) -> Column:
+    number = F.startswith(text, F.lit("-")) & (F.length(text) > 1) & (F.translate(F.substring(text, F.lit(2), F.length(text)), "0123456789.", "") == "")
+    return F.substring(_unpadded(text), 1, 1).isin(*FORMULA_STARTS) & ~number
 
 
 def escape_cell(c: Column) -> Column:
     """Guard a text that a spreadsheet would run as a formula; negative numbers stay."""
-    risky = c.rlike(_RISKY) & ~c.rlike(r"^-[0-9.]+$")
-    return F.when(risky, F.concat(F.lit("'"), F.replace(c, F.lit("|"), F.lit("\\|")))).otherwise(c)
+    return F.when(_is_formula(c), F.concat(F.lit("'"), F.replace(c, F.lit("|"), F.lit("\\|")))).otherwise(c)
 
 
 def escape_name(name: str) -> str:
-    if re.match(_RISKY, name) and not re.match(r"^-[0-9.]+$", name):
-        return "'" + name.replace("|", "\\|")
-    return name
+    """The same for the name of a column."""
+    shown = name[2:] if name.startswith('""') else name.lstrip()
+    number = len(name) > 1 and name[0] == "-" and not name[1:].strip("0123456789.")
+    if shown[:1] not in FORMULA_STARTS or number:
+        return name
+    return "'" + name.replace("|", "\\|")
 
 
 def escaped_csv(df: DataFrame) -> DataFrame:
@@ -237,24 +271,33 @@ def sync_partitions(spark: SparkSession, table: str) -> None:
 
 
 def latest_partition(spark: SparkSession, table: str, column: str | None = None) -> str | None:
-    """Value of the newest partition, from the catalogue only; None when unpartitioned."""
+    """Value of ``column`` (the first partition column) in the newest partition; None when unpartitioned."""
+    newest = latest_partitions(spark, table)
+    if not newest:
+        return None
+    return newest[column] if column else next(iter(newest.values()))
+
+
+def latest_partitions(spark: SparkSession, table: str) -> dict[str, str | None]:
+    """All keys of the newest partition, from the catalogue only: newest by the first key, then the next."""
     parted = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if not parted:
-        return None
-    column = column or parted[0]
-    shown = spark.sql(f"SHOW PARTITIONS {table}")
-    value = F.regexp_extract("partition", rf"(?:^|/){column}=([^/]+)", 1)
-    return shown.agg(F.max(value).alias("v")).first()["v"]
+        return {}
+    types = spark.table(table).schema
+    texts = [F.url_decode(F.regexp_extract("partition", rf"(?:^|/){c}=([^/]+)", 1)) for c in parted]
+    texts = [F.when(t != "__HIVE_DEFAULT_PARTITION__", t) for t in texts]
+    # compared as the columns' types, so that hour 10 comes after hour 9
+    newest = F.max_by(F.struct(*[t.alias(c) for t, c in zip(texts, parted)]), F.struct(*[t.cast(types[c].dataType) for t, c in zip(texts, parted)]))
+    found = spark.sql(f"SHOW PARTITIONS {table}").agg(newest.alias("v")).first()["v"]
+    return found.asDict() if found else {}
 
 
 def at_latest_partition(spark: SparkSession, table: str) -> DataFrame:
-    """The table filtered to its newest partition (a literal, so files are pruned)."""
-    value = latest_partition(spark, table)
+    """The table filtered to its newest partition (literals, so files are pruned)."""
     df = spark.table(table)
-    if value is None:
-        return df
-    column = next(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
-    return df.filter(F.col(column) == F.lit(value).cast(df.schema[column].dataType))
+    for column, value in latest_partitions(spark, table).items():
+        df = df.filter(F.col(column).eqNullSafe(F.lit(value).cast(df.schema[column].dataType)))
+    return df
 
 
 def create_as(df: DataFrame, table: str, location: str, style: str = "parquet") -> DataFrame:

@@ -31,6 +31,44 @@ def test_upload_options(spark, tmp_path):
     assert limited.count() == 1 and limited.columns[0] == "i"
 
 
+def test_upload_of_several_files(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k in range(3):
+        (folder / f"f{k}.csv").write_text(f"note {k}\nid,v\n{k}0,a\n{k}1,b\n")
+    df = files.read_upload(spark, str(folder), skip_rows=1, index_label="i")
+    assert [tuple(r) for r in df.orderBy("i").collect()] == [(n, f"{n // 2}{n % 2}", "ab"[n % 2]) for n in range(6)]
+    bare = files.read_upload(spark, str(folder), skip_rows=2, header=False, index_label="i", rows=3)
+    assert [tuple(r) for r in bare.orderBy("i").collect()] == [(0, "00", "a"), (1, "01", "b"), (2, "10", "a")]
+
+
+def test_upload_keeps_rows_of_nulls_and_counts_from_zero(spark, tmp_path):
+    lines = ["a,b"] + [f"{k},x" for k in range(2000)] + [",", ""]
+    (tmp_path / "n.csv").write_text("\n".join(lines) + "\n")
+    df = files.read_upload(spark, str(tmp_path / "n.csv"), index_label="i")
+    assert df.count() == 2001 and df.filter("a IS NULL AND b IS NULL").count() == 1
+    assert df.filter("i <> a").count() == 0 and df.agg(F.max("i")).first()[0] == 2000
+
+
+def test_newest_partition_of_several_keys(spark, tmp_path):
+    table = name("hours")
+    rows = [("2024-01-01", 9), ("2024-01-02", 9), ("2024-01-02", 10)]
+    spark.createDataFrame(rows, "day string, hour int").withColumn("v", F.lit(1)).write.partitionBy("day", "hour").option("path", str(tmp_path / "h")).saveAsTable(table)
+    assert files.latest_partitions(spark, table) == {"day": "2024-01-02", "hour": "10"}
+    assert [(r["day"], r["hour"]) for r in files.at_latest_partition(spark, table).collect()] == [("2024-01-02", 10)]
+
+
+def test_formula_guard(spark):
+    texts = ["=1", " =1", '""=1', "-1.5", "--1", "-1a", "a=1", "|x", " | x", "", None, "-", "%", "  ", "+1"]
+    guarded = ["=1", " =1", '""=1', "--1", "-1a", "|x", " | x", "-", "%", "+1"]
+    out = spark.createDataFrame([(t,) for t in texts], "t string").select("t", files.escape_cell(F.col("t")).alias("e")).collect()
+    for r in out:
+        want = "'" + r["t"].replace("|", "\\|") if r["t"] in guarded else r["t"]
+        assert r["e"] == want
+        if r["t"] is not None:
+            assert files.escape_name(r["t"]) == want
+
+
 def test_repeated_header_names(spark, tmp_path):
     (tmp_path / "d.csv").write_text("a,b,c\n1,2,3\n")
     assert files.read_upload(spark, str(tmp_path / "d.csv"), header=False).columns == ["_c0", "_c1", "_c2"]
