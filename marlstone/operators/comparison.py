@@ -70,12 +70,12 @@ def compare_series(
 
 
 def change(current: Column, previous: Column) -> Column:
-    """Relative change: nothing on both sides is 0, one missing side is plus or minus 1."""
+    """Relative change: nothing on both sides is 0, something new is 1, something gone is -1."""
     a, b = F.coalesce(current, F.lit(0.0)), F.coalesce(previous, F.lit(0.0))
     return (
         F.when((a == 0) & (b == 0), F.lit(0.0))
-        .when(b == 0, F.signum(a))
-        .when(a == 0, F.lit(-1.0) * F.signum(b))
+        .when(b == 0, F.lit(1.0))
+        .when(a == 0, F.lit(-1.0))
         .otherwise(F.try_divide(a - b, F.abs(b)))
     )
 
