@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, keep_on_disk
@@ -53,46 +53,66 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
 
 
 def crowded(buckets: DataFrame) -> DataFrame:
-    """Rows (``key``, ``id``, ``sig``) of keys that hold more than one id."""
-    full = buckets.groupBy("key").agg(F.min("id").alias("__a"), F.max("id").alias("__b")).where(F.col("__a") != F.col("__b")).select("key")
-    return buckets.join(full, "key")
+    """Rows of keys that hold more than one id, keys with the same ids only once.
 
+    ``buckets`` has ``key`` and ``id``, each pair once; other columns belong to
+    the id.  In the result the key stands for the set of its ids.
+    """
+    sets = F.bit_xor(F.xxhash64("id")).alias("__set")
+    full = buckets.groupBy("key").agg(F.min("id").alias("__a"), F.max("id").alias("__b"), sets).where(F.col("__a") != F.col("__b")).select("key", "__set")
+    return buckets.join(full, "key").drop("key").withColumnRenamed("__set", "key").distinct()
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], may: Callable[[Column, Column], Column]) -> DataFrame:
-    """Component labels from the verified links between ids that share a key.
 
-    ``members`` has ``key``, ``id`` and ``sig``, each (key, id) once; ``verify``
-    turns pairs ``a < b`` into ``a``, ``b``, ``ok``; ``may`` is a cheap
-    necessary condition on two ``sig``.
+def linked(members: DataFrame, test: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Component labels from the verified links between ids that share a key.
 
-    Not all pairs of a key are tried.  First every id is tried against the
-    smallest of its key, which settles a group of copies in as many trials as
-    it has members.  Then only keys that still hold more than one component
-    are looked at, and there only pairs from different components.  No link
-    that would join two components is left out.
+    ``members`` has ``key``, ``id`` and ``sig`` (what the test needs of an id),
+    each key and id once.  ``test`` is given rows ``group``, ``id``, ``sig``,
+    ``asks`` and must find, in each group, all links of the ids that ask, among
+    themselves and with those that do not; it returns pairs ``a``, ``b`` that
+    connect what these links connect.
+
+    Not all pairs of a key are tried.  First every id is tried against one head
+    of its key, the id that shares most keys with others; that settles a group
+    of copies in as many trials as it has members.  Then only keys that still
+    hold several components are looked at, and there the ids outside the
+    largest component ask.  No link that would join two components is missed.
     """
-    head = members.groupBy("key").agg(F.min(F.struct("id", "sig")).alias("head"))
-    star = (
-        members.join(head, "key")
-        .where((F.col("id") != F.col("head.id")) & may(F.col("head.sig"), F.col("sig")))
-        .select(F.col("head.id").alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
-    tried = keep_on_disk(verify(star), "tried")
-    found = tried.where("ok").select("a", "b")
+    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    degree = members.join(size, "key").groupBy("id").agg(F.sum("n").alias("degree"))
+    head = members.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id", "sig")).alias("head"))
+    star = members.join(head, "key").where(F.col("id") != F.col("head.id")).select(F.col("head.id").alias("group"), "id", "sig", F.lit(False).alias("asks")).distinct()
+    heads = head.select(F.col("head.id").alias("group"), "head.id", "head.sig", F.lit(True).alias("asks")).distinct()
+    found = keep_on_disk(test(keep_on_disk(star.union(heads), "star")), "found")
     label = components(found)
     placed = members.join(label, "id", "left").select("key", "id", "sig", F.coalesce("label", "id").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    open_keys = mixed.where((F.col("n") > 2) & (F.col("lo") != F.col("hi"))).select("key")
-    rest = keep_on_disk(placed.join(open_keys, "key"), "open")
-    x, y = rest.alias("x"), rest.alias("y")
-    across = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & may(F.col("x.sig"), F.col("y.sig")))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
-        .join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    if rest.isEmpty():
+    counted = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    largest = counted.groupBy("key").agg(F.max(F.struct("n", "comp")).getField("comp").alias("group"), F.count(F.lit(1)).alias("comps"), F.sum("n").alias("n"))
+    # With two ids in a key, the star has tried the only pair.
+    still = placed.join(largest.where("comps > 1 AND n > 2").select("key", "group"), "key")
+    rows = keep_on_disk(still.select("group", "id", "sig", (F.col("comp") != F.col("group")).alias("asks")).distinct(), "open")
+    if rows.isEmpty():
         return label
-    more = verify(across).where("ok").select("a", "b")
-    return components(found.union(more))
+    return components(found.union(test(rows)))
+
+
+def in_blocks(rows: DataFrame, most: int, weight: int) -> DataFrame:
+    """Deal the ids of each group into blocks that together hold every pair with an id that asks.
+
+    ``rows`` has ``group``, ``id``, ``asks`` and ``sig``, its size; the result
+    has ``block`` instead of the size.  An id goes to as many blocks as there are stretches of ``most``
+    ids (or of a total size of ``weight``) on the other side, so what one task
+    holds is bounded whatever the size of a group.
+    """
+    cuts = lambda side: F.greatest(F.ceil(F.count(F.when(side, 1)) / most), F.ceil(F.coalesce(F.sum(F.when(side, F.col("sig"))), F.lit(0)) / weight)).cast("int")
+    count = rows.groupBy("group").agg(cuts(F.col("asks")).alias("__a"), cuts(~F.col("asks")).alias("__b"), F.count(F.when(F.col("asks"), 1)).alias("__n"))
+    dealt = rows.join(count, "group").withColumn("__own", F.pmod(F.xxhash64("id"), F.when(F.col("asks"), F.col("__a")).otherwise(F.col("__b"))).cast("int"))
+    upto = lambda n: F.filter(F.sequence(F.lit(0), n), lambda k: k < n)
+    block = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    own = F.col("__own")
+    across = F.transform(upto(F.col("__b")), lambda k: block("across", own, k))
+    among = F.transform(upto(F.col("__a")), lambda k: block("among", F.least(own, k), F.greatest(own, k)))
+    answers = F.transform(upto(F.col("__a")), lambda k: block("across", k, own))
+    # One id that asks alone, as in a star, has nobody to be tried against on its own side.
+    asked = F.when(F.col("__n") > 1, F.concat(across, among)).otherwise(across)
+    return dealt.select("group", "id", "asks", F.explode(F.when(F.col("asks"), asked).otherwise(answers)).alias("block"))

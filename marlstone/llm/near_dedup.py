@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .common import keep_on_disk
-from .grouping import crowded, linked
+from .grouping import crowded, in_blocks, linked
 
 #: Shingles worked on at a time; fits the processor's cache.
 _STEP = 1 << 15
 _SHIFT = 0x9E3779B1  # by which the circle is turned per coordinate
+#: A block of texts to be compared: texts of one side, and their shingles.
+BLOCK_TEXTS, BLOCK_SHINGLES = 512, 1 << 20
+_COLUMNS = 4096
 
 
 def _permute(x: np.ndarray, a: int, b: int) -> np.ndarray:
@@ -83,6 +86,40 @@ def _distinct(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate([np.zeros(0, np.uint64), *sets]), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
 
 
+def _links_in_block(percent: int):
+    """Links between the texts of one block, as pairs that connect the same texts."""
+
+    def run(block: pa.Table) -> pa.Table:
+        ids, asks = block["id"].to_numpy(), block["asks"].to_numpy()
+        lists = block["members"].combine_chunks()
+        sizes = lists.value_lengths().to_numpy().astype(np.int64)
+        text_of = np.repeat(np.arange(len(ids)), sizes)
+        values, place, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        # Shingles of one text only have no part in any intersection.
+        column = np.cumsum(times > 1) - 1
+        kept = np.flatnonzero((times > 1)[place])
+        kept = kept[np.argsort(column[place[kept]], kind="stable")]
+        rows, columns = text_of[kept], column[place[kept]]
+        common = np.zeros((len(ids), len(ids)))
+        for at in range(0, int((times > 1).sum()), _COLUMNS):
+            lo, hi = np.searchsorted(columns, [at, at + _COLUMNS])
+            part = np.zeros((len(ids), _COLUMNS), dtype=np.float32)
+            part[rows[lo:hi], columns[lo:hi] - at] = 1
+            common += part @ part.T
+        union = sizes[:, None] + sizes[None] - common
+        link = (100 * common >= percent * union) & (asks[:, None] | asks[None])
+        label = np.arange(len(ids))
+        while True:
+            least = np.minimum(label, np.where(link, label[None], len(ids)).min(axis=1))
+            if (least == label).all():
+                break
+            label = least
+        far = np.flatnonzero(label != np.arange(len(ids)))
+        return pa.table({"a": ids[label[far]], "b": ids[far]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return run
+
+
 def _sketcher(width: int, rows: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, one, two, made, bounds in _word_batches(batches, width):
@@ -123,29 +160,24 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int =
     sketch = keep_on_disk(body.mapInArrow(_sketcher(width, rows, bands), schema), "sketch")
     ids = sketch.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("one", "two", "n_shingles")).alias("s"))
     ids = ids.select("doc_id", "s.*")
-    classes = ids.where("n_shingles > 0").groupBy("one", "two").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("sig"))
+    classes = ids.where("n_shingles > 0").groupBy("one", "two").agg(F.min("doc_id").alias("id"))
     classes = keep_on_disk(classes, "classes")
-    heads = classes.select(F.col("id").alias("doc_id"), "one", "two", "sig")
+    heads = classes.select(F.col("id").alias("doc_id"), "one", "two")
     buckets = (
-        sketch.select("doc_id", "one", "two", "bands")
-        .join(heads, ["doc_id", "one", "two"], "left_semi")
-        .join(heads, ["doc_id", "one", "two"])
+        sketch.join(heads, ["doc_id", "one", "two"], "left_semi")
         .dropDuplicates(["doc_id"])
-        .select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"), "sig")
+        .select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("sig"))
     )
     members = keep_on_disk(crowded(buckets), "members")
+    wanted = members.select(F.col("id").alias("doc_id")).distinct()
+    sets = body.join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(width), "doc_id bigint, one bigint, two bigint, members array<bigint>")
+    sets = keep_on_disk(sets.join(heads, ["doc_id", "one", "two"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "members"), "sets")
+
+    def test(rows: DataFrame) -> DataFrame:
+        blocks = in_blocks(rows, BLOCK_TEXTS, BLOCK_SHINGLES).join(sets, "id")
+        return blocks.groupBy("group", "block").applyInArrow(_links_in_block(percent), "a bigint, b bigint")
 
-    def verify(pairs):
-        pairs = keep_on_disk(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        sets = body.join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(width), "doc_id bigint, one bigint, two bigint, members array<bigint>")
-        sets = keep_on_disk(sets.join(heads, ["doc_id", "one", "two"]).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "members"), "sets")
-        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-        common = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("n"), (F.size("x") + F.size("y")).alias("m"))
-        return common.select("a", "b", (100 * F.col("n") >= percent * (F.col("m") - F.col("n"))).alias("ok"))
-
-    near_size = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    label = linked(members, verify, near_size)
+    label = linked(members, test)
     placed = classes.join(label, "id", "left").select("one", "two", F.coalesce("label", "id").alias("component_id"))
     by_id = ids.join(placed, ["one", "two"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     rows_out = sketch.select("doc_id", F.col("n_shingles").alias("__own")).join(by_id, "doc_id", "left")
