@@ -28,7 +28,7 @@ from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
 #: Most pieces and characters that a worker remembers between batches.
-REMEMBER, REMEMBER_CHARS = 1 << 20, 1 << 26
+REMEMBER, REMEMBER_CHARS = 1 << 19, 1 << 24
 
 
 def byte_alphabet() -> list[str]:
@@ -62,12 +62,7 @@ class Coder:
         # A piece that is a token as a whole is taken as it is.
         self.library = Tokenizer(BPE(vocab={spelled[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True))
         self.pattern = regex.compile(pattern)
-        size = max(ranks.values()) + 1
-        by_id = [b""] * size
-        for token, rank in ranks.items():
-            by_id[rank] = token
-        self.token_bytes = pa.array(by_id, pa.large_binary())
-        self.token_length = np.array([len(t) for t in by_id], dtype=np.int64)
+        self.token_length = byte_table(path).length
         self.forget()
 
     def forget(self) -> None:
@@ -104,13 +99,25 @@ class Coder:
         at = np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])
         return self.ids[at], ends[counts]
 
+
+class ByteTable:
+    """The bytes of every id, the byte table reversed."""
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        by_id = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            by_id[rank] = token
+        self.bytes = pa.array(by_id, pa.large_binary())
+        self.length = np.array([len(t) for t in by_id], dtype=np.int64)
+
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
         """Bytes of each stretch of ids."""
-        # take() lays the tokens' bytes side by side, so only the offsets are new
-        joined = self.token_bytes.take(pa.array(ids))
-        ends = np.concatenate([[0], np.cumsum(self.token_length[ids])])[bounds]
         if not len(ids):
             return pa.array([b""] * (len(bounds) - 1), pa.large_binary())
+        # take() lays the tokens' bytes side by side, so only the offsets are new
+        joined = self.bytes.take(pa.array(ids))
+        ends = np.concatenate([[0], np.cumsum(self.length[ids])])[bounds]
         return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(ends.astype(np.int64)), joined.buffers()[2]])
 
 
@@ -120,6 +127,11 @@ def coder(path: str, pattern: str = public_tokenizers.PATTERN) -> Coder:
     return Coder(path, pattern)
 
 
+@cache
+def byte_table(path: str) -> ByteTable:
+    return ByteTable(path)
+
+
 def _char_offsets(texts: list[str], lengths: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and past-the-last character of every token, within its text."""
     data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
@@ -162,9 +174,9 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", p
     return body.mapInArrow(_encoder(path, pattern, "text", offsets), schema)
 
 
-def _decoder(path: str, pattern: str, text: bool, step: int = 512) -> Callable:
+def _decoder(path: str, text: bool, step: int = 512) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
+        own = byte_table(path)
         for whole in batches:
             for at in range(0, whole.num_rows, step):
                 batch = whole.slice(at, step)
@@ -181,7 +193,7 @@ def _decoder(path: str, pattern: str, text: bool, step: int = 512) -> Callable:
     return run
 
 
-def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, text: bool = True) -> DataFrame:
+def decode(encoded: DataFrame, path: str, text: bool = True) -> DataFrame:
     """Replace the column ``ids`` by ``decoded`` (bytes) and, with ``text``, ``decoded_text``.
 
     Null id arrays count as empty.  In ``decoded_text`` bytes that are no
@@ -189,4 +201,4 @@ def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTE
     """
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields if f.name != "ids")
     schema = f"{kept}, decoded binary" + ", decoded_text string" * text
-    return encoded.mapInArrow(_decoder(path, pattern, text), schema)
+    return encoded.mapInArrow(_decoder(path, text), schema)

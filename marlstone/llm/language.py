@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from .textbytes import buffers
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
-#: Documents that one language gives to the training at most; each gives one window.
-PER_LANGUAGE = 1500
+#: Windows that one language gives to the training at most, and those that a document offers.
+PER_LANGUAGE, PER_DOCUMENT = 1500, 8
 UNKNOWN = "und"
 
 
@@ -61,22 +61,21 @@ def _responses(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(x: np.ndarray, y: np.ndarray, languages: tuple[str, ...], epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Network:
-    """Fit by gradient steps (Adam) on the cross-entropy; the same input gives the same network."""
+def train(x: np.ndarray, y: np.ndarray, languages: tuple[str, ...], steps: int = 600, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Network:
+    """Fit by ``steps`` gradient steps (Adam) on the cross-entropy; the same input gives the same network."""
     rng = np.random.default_rng(seed)
     filters = {w: rng.normal(0, 0.3, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS}
     weights = [*filters.values(), rng.normal(0, 0.1, (len(WIDTHS) * FILTERS, len(languages))).astype(np.float32), np.zeros(len(languages), np.float32)]
     moment = [(np.zeros_like(p), np.zeros_like(p)) for p in weights]
-    step = 0
-    for _ in range(epochs if len(x) else 0):
-        order = rng.permutation(len(x))
-        for at in range(0, len(x), batch):
-            rows = order[at : at + batch]
-            step += 1
-            for p, (m, v), g in zip(weights, moment, _gradients(x[rows], y[rows], weights), strict=True):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    order = np.zeros(0, np.int64)
+    for step in range(1, steps + 1 if len(x) else 1):
+        if not len(order):
+            order = rng.permutation(len(x))
+        rows, order = order[:batch], order[batch:]
+        for p, (m, v), g in zip(weights, moment, _gradients(x[rows], y[rows], weights), strict=True):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return Network(languages, filters, weights[-2], weights[-1])
 
 
@@ -167,13 +166,15 @@ def training_rows(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Data
     """At most ``per_language`` windows of each language, chosen by a hash of the text.
 
     ``labelled`` has ``text`` and ``lang``; texts without letters are left out.
-    One window per chosen text, at a place its hash names.
+    A text offers ``PER_DOCUMENT`` windows at places that its hash names.
     """
-    chosen = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        "lang", F.xxhash64("text").alias("h"), F.substring("text", F.lit(1) + F.pmod(F.xxhash64(F.lit(1), "text"), F.greatest(F.length("text") - 128, F.lit(1))).cast("int"), F.lit(WINDOW)).alias("part")
+    room = F.greatest(F.length("text") - WINDOW // 2, F.lit(1))
+    offered = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).select(
+        "lang", "text", F.explode(F.sequence(F.lit(1), F.lit(PER_DOCUMENT))).alias("k")
     )
+    parts = offered.select("lang", F.xxhash64("k", "text").alias("h"), F.substring("text", (F.lit(1) + F.pmod(F.xxhash64("text", "k"), room)).cast("int"), F.lit(WINDOW)).alias("part"))
     by = Window.partitionBy("lang").orderBy("h", "part")
-    return chosen.withColumn("place", F.row_number().over(by)).where(F.col("place") <= per_language).select("lang", "part")
+    return parts.withColumn("place", F.row_number().over(by)).where(F.col("place") <= per_language).select("lang", "part")
 
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Network:

@@ -43,11 +43,13 @@ class Rule:
         return F.expr(f"CASE WHEN {self.bad} THEN -1 WHEN {self.good} THEN 1 ELSE 0 END")
 
 
+# Short texts repeat by chance, so repeats only count against longer ones.
 # Integer comparisons only, so every engine votes alike.
 RULES = (
     Rule("symbols", "50 * n_symbols <= n_words", "10 * n_symbols > n_words"),
-    Rule("repeats", "100 * n_repeat_words <= 20 * n_words", "100 * n_repeat_words > 40 * n_words"),
-    Rule("lines", "10 * n_dup_lines <= n_lines", "10 * n_dup_lines > 4 * n_lines"),
+    Rule("repeats", "100 * n_repeat_words <= 20 * n_words", "n_words >= 50 AND 100 * n_repeat_words > 40 * n_words"),
+    Rule("echoes", "20 * n_echoes <= n_words", "10 * n_echoes > n_words + 10"),
+    Rule("lines", "10 * n_dup_lines <= n_lines", "n_words >= 50 AND 10 * n_dup_lines > 4 * n_lines"),
     Rule("word_length", "word_chars >= 3 * n_words AND word_chars <= 9 * n_words", "word_chars < 2 * n_words OR word_chars > 14 * n_words"),
     Rule("capitals", "5 * n_capitals <= word_chars", "2 * n_capitals > word_chars"),
     Rule("marks", "20 * n_mark_runs <= n_words", "5 * n_mark_runs > n_words"),
@@ -118,6 +120,7 @@ def figures(docs: DataFrame, id: str = "doc_id", text: str = "text", carry: bool
         _left(F.col("__text"), r"[^#*$%&|<>]+").alias("n_symbols"),
         both.alias("__lines"),
         repeated_words(F.col("__words")).alias("n_repeat_words"),
+        let(F.col("__words"), lambda w: F.size(F.filter(w, lambda x, i: (i > 0) & (x == F.get(w, i - 1))))).cast("long").alias("n_echoes"),
         _left(F.col("__text"), r"[^A-ZÀ-ÖØ-Þ]+").alias("n_capitals"),
         # Runs of marks, and bars that stand alone; then words that end with a stop.
         found(rf"[!#*$%&|<>?]{{2,}}|(?<!{WORD})\|(?!{WORD})").alias("n_mark_runs"),

@@ -156,7 +156,7 @@ covered AS (SELECT row, count(DISTINCT i + j) AS n FROM repeated, (SELECT unnest
 counted AS (
   SELECT docs.row, doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
-    coalesce(covered.n, 0) AS n_repeat_words, length(regexp_replace(t, '[^A-ZÀ-ÖØ-Þ]+', '', 'g')) AS n_capitals,
+    coalesce(covered.n, 0) AS n_repeat_words, len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echoes, length(regexp_replace(t, '[^A-ZÀ-ÖØ-Þ]+', '', 'g')) AS n_capitals,
     len(regexp_extract_all(t, '[!#*$%&|<>?]{{2,}}')) + len(list_filter(w, lambda x: x = '|')) AS n_mark_runs,
     len(list_filter(w, lambda x: regexp_matches(x, '[.!?;:]$'))) AS n_stops
   FROM docs JOIN lines USING (row) LEFT JOIN covered USING (row)),
