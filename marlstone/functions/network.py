@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ipaddress
+import operator
 from collections.abc import Sequence
 from functools import reduce
 
@@ -50,62 +51,58 @@ def address_number(text: Column) -> Column:
 
 def address_range(text: str) -> tuple[int, int]:
     """First and last number of an address or CIDR block; error when invalid."""
+    if text.isdigit():
+        return int(text), int(text)
     try:
-        if text.isdigit():
-            return int(text), int(text)
-        net = ipaddress.ip_network(text, strict=False)
+        block = ipaddress.ip_network(text, strict=False)
     except ValueError as error:
-        raise ValueError(f"{text!r} does not appear to be an IPv4 or IPv6 network") from error
-    return int(net.network_address), int(net.broadcast_address)
+        raise ValueError(f"no address or block of addresses: {text!r}") from error
+    return int(block[0]), int(block[-1])
+
+
+#: Comparisons by name, and which end of a block each one looks at.
+_COMPARE = {">=": (operator.ge, "end"), ">": (operator.gt, "end"), "<=": (operator.le, "start"), "<": (operator.lt, "start")}
+
+
+def _inside(column: Column, blocks: Sequence[tuple[int, int]]) -> Column:
+    return reduce(operator.or_, [column.between(low, high) if low < high else column == low for low, high in blocks])
+
+
+def range_filter(column: Column, op: str, blocks: Sequence[tuple[int, int]], what: str) -> Column:
+    """Membership in any of the blocks, or a comparison with the only one.
+
+    ``>`` and ``>=`` compare with the end of a block, ``<`` and ``<=`` with its
+    start.
+    """
+    if op in ("IN", "=="):
+        return _inside(column, blocks)
+    if op in ("NOT IN", "!="):
+        return ~_inside(column, blocks)
+    if op not in _COMPARE:
+        raise ValueError(f"{what} cannot be filtered by {op}")
+    if len(blocks) != 1:
+        raise ValueError(f"{op} takes one value, not {len(blocks)}")
+    compare, end = _COMPARE[op]
+    return compare(column, F.lit(blocks[0][end == "end"]))
 
 
 def address_filter(column: Column, op: str, values: Sequence[str]) -> Column:
-    ranges = [address_range(str(v)) for v in values]
-
-    def within(low: int, high: int) -> Column:
-        return column == F.lit(low) if low == high else column.between(F.lit(low), F.lit(high))
-
-    if op in ("IN", "NOT IN"):
-        anywhere = reduce(lambda a, b: a | b, [within(*r) for r in ranges])
-        return anywhere if op == "IN" else ~anywhere
-    low, high = ranges[0]
-    if op == "==":
-        return within(low, high)
-    if op == "!=":
-        return ~within(low, high)
-    if op == ">=":
-        return column >= F.lit(low)
-    if op == ">":
-        return column > F.lit(high)
-    if op == "<=":
-        return column <= F.lit(high)
-    if op == "<":
-        return column < F.lit(low)
-    raise ValueError(f"operator {op} is not offered for addresses")
+    return range_filter(column, op, [address_range(str(v)) for v in values], "addresses")
 
 
 def ports_of(value: str | int) -> list[int]:
+    """The ports that a number or a service name stands for, ascending."""
     text = str(value)
-    if text.isnumeric():
-        if 1 <= int(text) <= 65535:
-            return [int(text)]
-    elif text in SERVICE_PORTS:
+    if text in SERVICE_PORTS:
         return sorted(SERVICE_PORTS[text])
-    raise ValueError(f"'{text}' does not appear to be a port name or number")
+    if not text.isdecimal() or not 0 < int(text) < 1 << 16:
+        raise ValueError(f"no port or service: {text!r}")
+    return [int(text)]
 
 
 def port_filter(column: Column, op: str, values: Sequence[str | int]) -> Column:
-    ports = sorted(p for v in values for p in ports_of(v))
-    if op in ("IN", "=="):
-        return column.isin(ports)
-    if op in ("NOT IN", "!="):
-        return ~column.isin(ports)
-    if op == ">=":
-        return column >= ports[0]
-    if op == ">":
-        return column > ports[0]
-    if op == "<=":
-        return column <= ports[-1]
-    if op == "<":
-        return column < ports[-1]
-    raise ValueError(f"operator {op} is not offered for ports")
+    """Ports in a list, or a comparison: upwards from the smallest, downwards from the largest of the ports meant."""
+    ports = sorted({p for v in values for p in ports_of(v)})
+    if op in _COMPARE:
+        ports = ports[:1] if op[0] == ">" else ports[-1:]
+    return range_filter(column, op, [(p, p) for p in ports], "ports")

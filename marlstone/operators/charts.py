@@ -211,15 +211,15 @@ def paired_t_test(df: DataFrame, time: str, series: str, value: str, control: st
     )
 
 
-def event_paths(df: DataFrame, entity: str, event: str, time: str, tie: str, minimum: int) -> DataFrame:
+def event_paths(df: DataFrame, entity: str, event: str, time: str, tie: str, minimum: int = 1) -> DataFrame:
     """Prefixes of the event sequences followed by at least ``minimum`` entities.
 
     Grown one step at a time: a longer path is never more frequent than its
     beginning, so entities leave as soon as their path is too rare.  No
     sequence is gathered in one place.
     """
-    if minimum < 2:
-        raise OperatorError("the minimum must be at least 2")
+    if minimum < 1:
+        raise OperatorError("the minimum must be at least 1")
     placed = running(
         df.select(col(entity).alias("entity"), col(event).alias("event"), col(time), col(tie)),
         ["entity"],

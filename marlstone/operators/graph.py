@@ -8,6 +8,8 @@ salted by the other end: a vertex with a third of all edges is spread over
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,12 +51,14 @@ def pagerank(
     tolerance: float | None = None,
     keep_all: bool = False,
     damping: float = 0.85,
-    max_iterations: int = 200,
+    max_iterations: int | None = None,
 ) -> DataFrame:
     """Rank per vertex after a number of rounds, or until no rank moves by more than ``tolerance``.
 
     Ranks start at 1 where links go out.  A vertex nobody links to leaves after
-    the first round; with ``keep_all`` it stays with the base rank.
+    the first round; with ``keep_all`` it stays with the base rank.  With a
+    tolerance the rounds go on until it is kept; a given ``max_iterations``
+    that does not suffice is an error.
     """
     degrees = out_degrees(edges)
     weighted = spread_join(edges.select("src", "dst"), degrees.withColumnRenamed("id", "src"), "src", "dst").select(
@@ -65,8 +69,13 @@ def pagerank(
     ranks = vertices.withColumn("rank", F.lit(1.0)) if keep_all else links.select(
         F.col("src").alias("id")
     ).distinct().withColumn("rank", F.lit(1.0))
-    rounds = iterations if tolerance is None else max_iterations
-    for i in range(rounds):
+    if tolerance is None and iterations is None:
+        raise ValueError("give a number of iterations or a tolerance")
+    for i in count():
+        if tolerance is None and i == iterations:
+            return ranks
+        if tolerance is not None and i == max_iterations:
+            raise RuntimeError(f"ranks have not settled in {max_iterations} rounds")
         copies = per_salt(ranks).withColumnRenamed("salt", "__salt")
         sent = links.join(copies, (F.col("src") == F.col("id")) & (F.col("salt") == F.col("__salt")))
         summed = sent.groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("part")).alias("got"))
@@ -83,17 +92,22 @@ def pagerank(
             if (moved.agg(gap.alias("g")).first()["g"] or 0.0) <= tolerance:
                 return fresh
         ranks = fresh
-    return ranks
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """Smallest vertex of every component, by alternating stars (few rounds even for long chains)."""
+def connected_components(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """Smallest vertex of every component, by alternating stars (few rounds even for long chains).
+
+    Rounds go on until nothing changes; a given ``max_rounds`` that does not
+    suffice is an error.
+    """
     both = edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
     alone = both.filter("u = v").select(F.col("u").alias("id"))
     pairs = materialise(both.filter("u <> v").distinct(), "pairs")
     seen = materialise(edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "vertices")
     mark = None
-    for i in range(max_rounds):
+    for i in count():
+        if i == max_rounds:
+            raise RuntimeError(f"components have not settled in {max_rounds} rounds")
         # large star: larger neighbours of every vertex move to the smallest one around it
         around = pairs.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(
             pairs.select(F.col("v").alias("a"), F.col("u").alias("b"))
@@ -155,13 +169,15 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     return vertices.join(counted, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).alias("triangles"))
 
 
-def shortest_paths(edges: DataFrame, source: int, weight: str = "weight", max_rounds: int = 10_000) -> DataFrame:
+def shortest_paths(edges: DataFrame, source: int, weight: str = "weight", max_rounds: int | None = None) -> DataFrame:
     """Distance from one vertex along weighted edges; unreached vertices are absent."""
     links = materialise(salted_edges(edges.select("src", "dst", F.col(weight).cast("double").alias("w"))), "weighted")
     spark = edges.sparkSession
     dist = materialise(spark.createDataFrame([(source, 0.0)], "id long, distance double"), "dist")
     frontier = dist
-    for i in range(max_rounds):
+    for i in count():
+        if i == max_rounds:
+            raise RuntimeError(f"paths have not ended in {max_rounds} rounds")
         copies = per_salt(frontier).withColumnRenamed("salt", "__salt")
         reached = (
             links.join(copies, (F.col("src") == F.col("id")) & (F.col("salt") == F.col("__salt")))
@@ -175,14 +191,20 @@ def shortest_paths(edges: DataFrame, source: int, weight: str = "weight", max_ro
         dist = materialise(
             dist.join(frontier.select("id"), "id", "left_anti").unionByName(frontier), f"dist-{i}"
         )
-    raise RuntimeError("no end in the given number of rounds")
 
 
-def transitive_closure(edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
-    """All pairs (src, dst) joined by a path; each round extends only the new pairs."""
+def transitive_closure(edges: DataFrame, sources: DataFrame | None = None, depth: int | None = None) -> DataFrame:
+    """Pairs (src, dst) joined by a path; each round extends only the new pairs.
+
+    All pairs can be the square of the vertices: ``sources`` (a column ``id``)
+    keeps the paths that begin there, ``depth`` those of so many steps at most.
+    """
     links = materialise(edges.select("src", "dst").distinct(), "links")
-    known, fresh = links, links
-    for i in range(max_rounds):
+    begin = links if sources is None else links.join(sources.select(F.col("id").alias("src")).distinct(), "src", "left_semi")
+    known = fresh = materialise(begin, "known")
+    for i in count(1):
+        if i == depth:
+            return known
         longer = (
             spread_join(fresh.select("src", F.col("dst").alias("mid")), links.select(F.col("src").alias("mid"), "dst"), "mid", "src")
             .select("src", "dst")
@@ -192,7 +214,6 @@ def transitive_closure(edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
         if fresh.isEmpty():
             return known
         known = materialise(known.unionByName(fresh), f"known-{i}")
-    raise RuntimeError("no end in the given number of rounds")
 
 
 def older_neighbours(vertices: DataFrame, edges: DataFrame, age: str = "age") -> DataFrame:

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import flatten as flat_label
+from ..functions.labels import unique
 from .ordered import Running, null_safe_join, running
 from .postprocess import OperatorError, aggregate, col, require
 from .quantiles import exact_quantiles
 
 MAX_PIVOT_COLUMNS = 10_000
 _SPLIT = "\u0001"
+#: Stands before the margin's name in a key, so that no column value can be taken for the margin.
+_MARGIN = "\u0002"
 
 
 def pivot(
@@ -57,16 +60,20 @@ def pivot(
         texts = [col(c).cast("string").alias(c) if c in index else col(c) for c in cells.columns]
         cells = cells.select(*texts)
         right = aggregate(df, index, aggregates).select(
-            *[col(c).cast("string").alias(c) for c in index], *[col(a) for a in aggregates], F.lit(name).alias("__key")
+            *[col(c).cast("string").alias(c) for c in index], *[col(a) for a in aggregates], F.lit(_MARGIN + name).alias("__key")
         )
         bottom = _margin_rows(aggregate(keyed, ["__key"], aggregates), index, name)
-        corner = _margin_rows(aggregate(df, [], aggregates), index, name).withColumn("__key", F.lit(name))
-        cells = cells.unionByName(right).unionByName(bottom).unionByName(corner)
+        corner = _margin_rows(aggregate(df, [], aggregates), index, name).withColumn("__key", F.lit(_MARGIN + name))
+        inner, below = cells.unionByName(right), bottom.unionByName(corner)
+        cells = inner.withColumn("__below", F.lit(False)).unionByName(below.withColumn("__below", F.lit(True)))
+    else:
+        cells = cells.withColumn("__below", F.lit(False))
     known = cells.groupBy("__key").agg(*[F.count(col(a)).alias(a) for a in aggregates])
     listed = known.orderBy("__key").limit(MAX_PIVOT_COLUMNS + 1).collect()
+    listed.sort(key=lambda r: (r["__key"].removeprefix(_MARGIN), r["__key"].startswith(_MARGIN)))
     if len(listed) > MAX_PIVOT_COLUMNS:
         raise OperatorError("too many column values to pivot; keep the long form")
-    wide = cells.groupBy(*index).pivot("__key", [r["__key"] for r in listed])
+    wide = cells.groupBy(*index, "__below").pivot("__key", [r["__key"] for r in listed])
     wide = wide.agg(*[F.first(col(a)).alias(a) for a in aggregates])
     single = len(aggregates) == 1
     picked = []
@@ -74,14 +81,15 @@ def pivot(
         for row in listed:
             if drop_missing_columns and metric_fill_value is None and row[a] == 0:
                 continue
-            levels = row["__key"].split(_SPLIT)
+            levels = row["__key"].removeprefix(_MARGIN).split(_SPLIT)
             label = flat_label([*levels, a] if combine_value_with_metric else [a, *levels])
             source = row["__key"] if single else f"{row['__key']}_{a}"
             value = F.col("`" + source.replace("`", "``") + "`")
             if metric_fill_value is not None:
                 value = F.coalesce(value, F.lit(metric_fill_value))
-            picked.append(value.alias(label))
-    return wide.select(*[col(i) for i in index], *picked)
+            picked.append((value, label))
+    names = unique([label for _, label in picked])
+    return wide.select(*[col(i) for i in index], *[value.alias(n) for (value, _), n in zip(picked, names)])
 
 
 def _margin_rows(df: DataFrame, index: Sequence[str], name: str) -> DataFrame:

@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_ROWS = 100_000
-
-
 def left_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], suffix: str, always_suffix: bool = False
 ) -> DataFrame:
@@ -33,13 +30,12 @@ def cogroup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str) -> DataFrame:
-    """Inner join with a lookup table, shipped to every task only when it is small.
+    """Inner join with a lookup table.
 
-    The size is checked with a bounded probe; a larger lookup is joined by key.
+    Whether it is shipped to every task is left to the engine, which goes by
+    its size in bytes, first estimated and then as measured while running.
     """
-    small = lookup.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS
-    side = F.broadcast(lookup) if small else lookup
-    return df.join(side, F.col(key) == F.col(lookup_key), "inner")
+    return df.join(lookup, F.col(key) == F.col(lookup_key), "inner")
 
 
 def stat_counter(df: DataFrame, column: str) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from dataclasses import asdict, is_dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.timerange import resolve
 from ..session import shared_dir
 from .builder import compile_request
 from .request import Dataset, Request
@@ -27,17 +28,26 @@ def _plain(value):
     return value if isinstance(value, (str, int, float, bool, type(None))) else str(value)
 
 
-def request_key(source: str, request: Request, roles: tuple[str, ...] = ()) -> str:
-    """Key of a request; the time range enters by its text, not by its bounds."""
-    text = json.dumps([source, sorted(roles), _plain(request)], sort_keys=True)
+def request_key(source: str, request: Request, roles: tuple[str, ...] = (), bounds: tuple = ()) -> str:
+    """Key of a request; ``bounds`` are the ends that its time ranges mean just now."""
+    text = json.dumps([source, sorted(roles), _plain(request), _plain(bounds)], sort_keys=True)
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def resolved_bounds(dataset: Dataset, request: Request, now: datetime) -> tuple:
+    """Both ends of the time range and of every range among the filters, as of ``now``."""
+    texts = [request.time_range] if request.time_range else []
+    texts += [str(f.value) for f in request.filters if f.op.upper().strip() == "TEMPORAL_RANGE"]
+    return tuple(resolve(t, now) for t in texts)
+
+
 class ResultCache:
-    """Parquet folder per key under the shared folder; a hit reads, a miss writes once.
+    """Parquet folders per key under the shared folder; a hit reads, a miss writes once.
 
     ``source`` must name the data itself (its path or table version), since equal
-    requests over different data may not share an answer.
+    requests over different data may not share an answer.  An answer is written
+    to a folder of its own and counts once its mark of completion is there, so
+    a write that died is never read and never in the way of the next.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
@@ -48,11 +58,19 @@ class ResultCache:
     def answer(
         self, source: str, dataset: Dataset, request: Request, now: datetime, roles: tuple[str, ...] = ()
     ) -> DataFrame:
-        path = f"{self.folder}/{request_key(f'{source}:{dataset.df.schema.json()}', request, roles)}"
-        try:
-            found = self.spark.read.parquet(path)
+        key = request_key(f"{source}:{dataset.df.schema.json()}", request, roles, resolved_bounds(dataset, request, now))
+        found = self._complete(key)
+        if found is None:
+            found = f"{self.folder}/{key}/{uuid.uuid4().hex}"
+            compile_request(dataset, request, now).write.parquet(found)
+        else:
             self.hits += 1
-            return found
-        except AnalysisException:
-            compile_request(dataset, request, now).write.mode("errorifexists").parquet(path)
-            return self.spark.read.parquet(path)
+        return self.spark.read.parquet(found)
+
+    def _complete(self, key: str) -> str | None:
+        """A folder of the key that Spark's committer has marked as finished."""
+        jvm = self.spark._jvm
+        top = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{key}")
+        files = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        marks = files.globStatus(jvm.org.apache.hadoop.fs.Path(top, "*/_SUCCESS")) if files.exists(top) else None
+        return marks[0].getPath().getParent().toString() if marks else None

@@ -20,6 +20,7 @@ def build_session(app: str = "marlstone", cores: str = "*", **conf: str) -> Spar
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

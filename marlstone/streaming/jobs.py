@@ -34,10 +34,9 @@ def window_reduce(df: DataFrame, time: str, keys: Sequence[str], length: str, sl
 def sessions(df: DataFrame, time: str, keys: Sequence[str], gap: str) -> DataFrame:
     """Sessions closed by silence: number of events and duration in seconds.
 
-    Sessions are merged inside every partition before the shuffle, so a busy
-    key sends its sessions and not its events.
+    ``build_session`` has sessions merged inside every partition before the
+    shuffle, so a busy key sends its sessions and not its events.
     """
-    df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     grouped = df.groupBy(F.session_window(time, gap), *keys).agg(
         F.count(F.lit(1)).alias("events"), F.min(time).alias("__first"), F.max(time).alias("__last")
     )

@@ -43,6 +43,24 @@ def test_components(spark, random_pairs):
     assert got == {x: find(x) for x in list(parent)}
 
 
+def test_no_partial_results(spark):
+    chain = edges_of(spark, [(i, i + 1) for i in range(40)])
+    with pytest.raises(RuntimeError):
+        graph.connected_components(chain, max_rounds=1)
+    with pytest.raises(RuntimeError):
+        graph.pagerank(chain, tolerance=1e-12, max_iterations=1)
+    with pytest.raises(RuntimeError):
+        graph.shortest_paths(chain.withColumn("weight", F.lit(1.0)), 0, max_rounds=2)
+    assert {r["component"] for r in graph.connected_components(chain).collect()} == {0}
+
+
+def test_closure_of_some_sources(spark):
+    edges = edges_of(spark, [(1, 2), (2, 3), (3, 4), (5, 1)])
+    one = spark.createDataFrame([(1,)], "id long")
+    assert {tuple(r) for r in graph.transitive_closure(edges, one).collect()} == {(1, 2), (1, 3), (1, 4)}
+    assert {tuple(r) for r in graph.transitive_closure(edges, depth=2).collect()} == {(1, 2), (2, 3), (3, 4), (5, 1), (1, 3), (2, 4), (5, 2)}
+
+
 def test_components_keep_self_loops(spark):
     got = {r["id"]: r["component"] for r in graph.connected_components(edges_of(spark, [(7, 7), (1, 2)])).collect()}
     assert got == {7: 7, 1: 1, 2: 1}
@@ -86,8 +104,9 @@ def test_event_paths(spark):
         seq = [w for x, w, i in sorted(rows, key=lambda r: (r[0], r[2])) if x == e]
         for n in range(1, len(seq) + 1):
             want[" > ".join(seq[:n])] += 1
-    got = {r["path"]: r["entities"] for r in charts.event_paths(df, "who", "what", "at", "at", 3).collect()}
-    assert got == {k: v for k, v in want.items() if v >= 3}
+    for least in (3, 1):
+        got = {r["path"]: r["entities"] for r in charts.event_paths(df, "who", "what", "at", "at", least).collect()}
+        assert got == {k: v for k, v in want.items() if v >= least}
 
 
 def test_p_values():
@@ -144,13 +163,13 @@ def test_natural_order(spark):
     assert [r["k"] for r in pivots.pivot_sort(df, "k", "v").collect()] == ["a1b2", "a9", "a10", "b"]
 
 
-def test_lookup_is_broadcast_only_when_small(spark, monkeypatch):
+def test_lookup_is_broadcast_by_its_bytes(spark):
     left = spark.range(1000).select((F.col("id") % 10).alias("k"))
     small = spark.range(10).select(F.col("id").alias("i"))
-    assert "BroadcastHashJoin" in relational.lookup_join(left, small, "k", "i")._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(relational, "LOOKUP_ROWS", 5)
-    hinted = relational.lookup_join(left, small, "k", "i")._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in hinted.lower()
+    plan = lambda: relational.lookup_join(left, small, "k", "i")._jdf.queryExecution()
+    assert "BroadcastHashJoin" in plan().executedPlan().toString() and "ResolvedHint" not in plan().logical().toString()
+    wide = spark.range(2000).select(F.col("id").alias("i"), F.repeat(F.lit("w"), 20_000).alias("text"))
+    assert relational.lookup_join(left, wide, "k", "i").count() == 1000
 
 
 def test_samples(spark):

@@ -246,3 +246,13 @@ def test_densify(spark):
     out = pp.densify(df, "t", ["k"])
     assert sorted((r["k"], r["t"], r["v"]) for r in out.collect() if r["v"]) == [("a", 1, 1), ("a", 2, 2), ("b", 2, 5)]
     assert out.count() == 4
+
+
+def test_a_value_named_like_the_margin_keeps_its_own_cell(spark):
+    from marlstone.operators.pivots import pivot
+
+    df = spark.createDataFrame([("a", "All", 1), ("a", "B", 2), ("All", "B", 4)], "i string, c string, v long")
+    out = pivot(df, ["i"], {"v": {"operator": "sum"}}, ["c"], marginal_distributions=True)
+    rows = sorted((tuple(r) for r in out.collect()), key=repr)
+    assert out.columns == ["i", "v, All", "v, All__1", "v, B"]
+    assert rows == sorted([("a", 1, 3, 2), ("All", None, 4, 4), ("All", 1, 7, 6)], key=repr)
