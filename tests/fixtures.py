@@ -9,32 +9,17 @@ def day(text: str) -> dt.datetime:
     return dt.datetime.fromisoformat(text)
 
 
-def names(spark):
-    rows = [
-        ("2020-01-02", "John", "EU", "United Kingdom", 3, 1, 30),
-        ("2020-01-02", "Peter", "EU", "Sweden", 4, 2, 1),
-        ("2020-01-03", "Mary", "EU", "Finland", 5, 3, None),
-        ("2020-01-03", "Peter", "Asia", "India", 6, 4, 12),
-        ("2020-01-04", "John", "EU", "Portugal", 7, None, 75),
-        ("2020-01-04", "Peter", "EU", "Italy", None, 5, 600),
-        ("2020-01-04", "Mary", None, None, 9, 6, 2),
-        ("2020-01-04", None, "Oceania", "Australia", 10, 7, 99),
-        ("2020-01-01", "John", "North America", "USA", 1, 8, None),
-        ("2020-01-01", "Mary", "Oceania", "Fiji", 2, 9, 50),
-    ]
-    rows = [(dt.date.fromisoformat(r[0]), *r[1:]) for r in rows]
-    return spark.createDataFrame(
-        rows, "dt date, name string, region string, country string, cars long, bikes long, seconds long"
-    )
+def shops(spark):
+    """Sales of some shops, one without an area, one without sales."""
+    sales = {"north": (10, 12, 14, 16, 18), "south": (3, None, 5), "west": (7,), None: (8, 9)}
+    rows = [(f"{area}-{k}", area, n) for area, numbers in sales.items() for k, n in enumerate(numbers)]
+    return spark.createDataFrame(rows, "shop string, area string, sales long")
 
 
-def categories(spark):
-    rows = [
-        ("dummy", f"cat{i % 3}", f"dept{i % 5}", f"person{i}", i, 100 - i, i if i % 5 == 0 else None) for i in range(101)
-    ]
-    return spark.createDataFrame(
-        rows, "constant string, category string, dept string, name string, asc_idx long, desc_idx long, idx_nulls long"
-    )
+def stock(spark):
+    """40 items on 5 shelves in 3 groups; every eighth has a stock count."""
+    rows = [("all", f"g{i % 3}", f"s{i % 5}", f"item{i}", 2 * i, 80 - 2 * i, i if i % 8 == 0 else None) for i in range(40)]
+    return spark.createDataFrame(rows, "whole string, kind string, shelf string, item string, up long, down long, sparse long")
 
 
 def timeseries(spark, y=(1.0, 2.0, 3.0, 4.0), z=None):

@@ -3,7 +3,7 @@ from __future__ import annotations
 import math
 
 import pytest
-from fixtures import categories, column, day, metrics, names, timeseries
+from fixtures import column, day, metrics, shops, stock, timeseries
 from pyspark.sql import functions as F
 
 from marlstone.functions import geohash as geo
@@ -129,31 +129,31 @@ def test_contribution(spark):
 
 def test_aggregate(spark):
     aggregates = {
-        "asc sum": {"column": "asc_idx", "operator": "sum"},
-        "asc q2": {"column": "asc_idx", "operator": "percentile", "options": {"q": 75}},
-        "desc q1": {"column": "desc_idx", "operator": "percentile", "options": {"q": 25}},
+        "sum": {"column": "up", "operator": "sum"},
+        "upper": {"column": "up", "operator": "percentile", "options": {"q": 75}},
+        "lower": {"column": "down", "operator": "percentile", "options": {"q": 25}},
     }
-    row = pp.aggregate(categories(spark), ["constant"], aggregates).first()
-    assert (row["asc sum"], row["asc q2"], row["desc q1"]) == (5050, 75, 25)
-    empty = pp.aggregate(categories(spark), [], {"n": {"column": "idx_nulls", "operator": "median"}}).collect()
+    row = pp.aggregate(stock(spark), ["whole"], aggregates).first()
+    assert (row["sum"], row["upper"], row["lower"]) == (1560, 58.5, 21.5)
+    empty = pp.aggregate(stock(spark), [], {"n": {"column": "sparse", "operator": "median"}}).collect()
     assert len(empty) == 1 and empty[0]["n"] is None
     for bad in ("cumsum", "abc"):
         with pytest.raises(pp.OperatorError):
-            pp.aggregate(categories(spark), ["constant"], {"x": {"column": "asc_idx", "operator": bad}})
+            pp.aggregate(stock(spark), ["whole"], {"x": {"column": "up", "operator": bad}})
 
 
 def test_boxplot(spark):
-    out = pp.boxplot(names(spark), ["region"], ["cars"])
+    out = pp.boxplot(shops(spark), ["area"], ["sales"])
     assert sorted(out.columns) == sorted(
-        ["region"] + [f"cars__{s}" for s in ("mean", "median", "max", "min", "q1", "q3", "count", "outliers")]
+        ["area"] + [f"sales__{s}" for s in ("mean", "median", "max", "min", "q1", "q3", "count", "outliers")]
     )
-    assert out.count() == 4
-    eu = out.filter("region = 'EU'").first()
-    assert (eu["cars__min"], eu["cars__max"], eu["cars__count"], eu["cars__outliers"]) == (3, 7, 5, [])
+    assert out.count() == 3  # rows without an area are dropped
+    north = out.filter("area = 'north'").first()
+    assert (north["sales__min"], north["sales__max"], north["sales__count"], north["sales__outliers"]) == (10, 18, 5, [])
     with pytest.raises(pp.OperatorError):
-        pp.boxplot(names(spark), ["region"], ["cars"], "percentile", (90, 10))
+        pp.boxplot(shops(spark), ["area"], ["sales"], "percentile", (90, 10))
     with pytest.raises(pp.OperatorError):
-        pp.boxplot(names(spark), ["region"], ["cars"], "abc")
+        pp.boxplot(shops(spark), ["area"], ["sales"], "abc")
 
 
 def test_boxplot_lists_outliers(spark):
@@ -164,19 +164,19 @@ def test_boxplot_lists_outliers(spark):
 
 
 def test_pivot(spark):
-    spec = {"idx_nulls": {"operator": "sum"}}
-    df = categories(spark)
-    out = pivot(df, ["name"], spec)
-    assert out.count() == 101 and out.agg(F.sum("idx_nulls")).first()[0] == 1050
-    out = pivot(df, ["name"], spec, ["category"])
-    assert out.columns == ["name", "idx_nulls, cat0", "idx_nulls, cat1", "idx_nulls, cat2"]
-    assert out.agg(F.sum("`idx_nulls, cat0`")).first()[0] == 315
-    filled = pivot(df, ["name"], spec, ["category"], metric_fill_value=1)
-    assert filled.agg(F.sum("`idx_nulls, cat0`")).first()[0] == 382
-    assert len(pivot(df, ["name"], spec, ["category", "dept"]).columns) == 16
-    combined = pivot(df, ["name"], spec, ["category"], combine_value_with_metric=True)
-    assert combined.columns[1] == "cat0, idx_nulls"
-    for bad in (lambda: pivot(df, [], spec), lambda: pivot(df, ["name"], {}), lambda: pivot(df, ["nope"], spec)):
+    spec = {"sparse": {"operator": "sum"}}
+    df = stock(spark)
+    out = pivot(df, ["item"], spec)
+    assert out.count() == 40 and out.agg(F.sum("sparse")).first()[0] == 80
+    out = pivot(df, ["item"], spec, ["kind"])
+    assert out.columns == ["item", "sparse, g0", "sparse, g1", "sparse, g2"]
+    assert out.agg(F.sum("`sparse, g0`")).first()[0] == 24
+    filled = pivot(df, ["item"], spec, ["kind"], metric_fill_value=1)
+    assert filled.agg(F.sum("`sparse, g0`")).first()[0] == 24 + 26  # the items of other kinds
+    assert len(pivot(df, ["item"], spec, ["kind", "shelf"]).columns) == 6
+    combined = pivot(df, ["item"], spec, ["kind"], combine_value_with_metric=True)
+    assert combined.columns[1] == "g0, sparse"
+    for bad in (lambda: pivot(df, [], spec), lambda: pivot(df, ["item"], {}), lambda: pivot(df, ["nope"], spec)):
         with pytest.raises(pp.OperatorError):
             bad()
 
