@@ -197,11 +197,11 @@ def paired_t_test(t: Tables) -> DataFrame:
     """
     WITH s AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
     p AS (SELECT user_id, i, string_agg(event_type, ' > ') OVER (PARTITION BY user_id ORDER BY i) AS path FROM s)
-    SELECT path, count(*)::BIGINT AS entities, i::INTEGER AS depth FROM p GROUP BY path, i HAVING count(*) >= 2
+    SELECT path, count(*)::BIGINT AS entities, i::INTEGER AS depth FROM p GROUP BY path, i
     """,
 )
 def event_paths(t: Tables) -> DataFrame:
-    return ch.event_paths(t("events"), "user_id", "event_type", "ts", "event_id", 2)
+    return ch.event_paths(t("events"), "user_id", "event_type", "ts", "event_id")
 
 
 @query(

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import learning as ln
+from ..session import materialise
 from ..streaming import runner
 from .graphs import user_links
 from .registry import Tables, query
@@ -67,7 +68,7 @@ def feat_word2vec(t: Tables) -> DataFrame:
     df = ln.tokens(t("documents").select("text"), "text")
     parts = t.spark.sparkContext.defaultParallelism
     model = mf.Word2Vec(
-        vectorSize=16, minCount=5, maxIter=1, numPartitions=parts, seed=3, inputCol="tokens", outputCol="v"
+        vectorSize=16, minCount=1, maxIter=1, numPartitions=parts, seed=3, inputCol="tokens", outputCol="v"
     ).fit(df)
     return model.getVectors().select("word", F.size(vector_to_array("vector")).alias("size"))
 
@@ -190,14 +191,33 @@ def feat_vector_index(t: Tables) -> DataFrame:
     return out.select("p_partkey", vector_to_array("i")[0].alias("size_index"), vector_to_array("i")[1].alias("price"))
 
 
-@query("lsh_near_passages")
+@query(
+    "lsh_near_passages",
+    r"""
+    WITH w AS (SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(text), '[^ \t\n\r\f\v]+') AS w FROM documents
+      UNION ALL SELECT 'b', item_id, regexp_extract_all(lower(text), '[^ \t\n\r\f\v]+') FROM benchmark),
+    g AS (SELECT side, id, unnest(list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS x FROM w WHERE len(w) > 0),
+    n AS (SELECT id, count(*) AS n FROM g WHERE side = 'b' GROUP BY id)
+    SELECT d.id AS doc_id, b.id AS item_id, round(count(*) / any_value(n), 6) AS share
+    FROM g d JOIN g b ON d.x = b.x JOIN n ON n.id = b.id WHERE d.side = 'd' AND b.side = 'b' GROUP BY d.id, b.id HAVING count(*) >= 0.8 * any_value(n)
+    """,
+)
 def lsh_near_passages(t: Tables) -> DataFrame:
-    return ln.near_passages(t("documents"), t("benchmark"), "doc_id", "item_id", "text", 0.8)
+    out = ln.near_passages(t("documents"), t("benchmark"), "doc_id", "item_id", "text", 0.8)
+    return out.withColumn("share", F.round("share", 6))
 
 
-@query("lsh_nearest")
+@query(
+    "lsh_nearest",
+    """
+    WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 0)
+    SELECT vec_id, round(sqrt(list_sum(list_transform(list_zip(embedding, e), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE)))), 6) AS distance
+    FROM embeddings, q ORDER BY distance, vec_id LIMIT 10
+    """,
+)
 def lsh_nearest(t: Tables) -> DataFrame:
-    return ln.nearest(t("embeddings"), "vec_id", 0, 10)
+    return ln.nearest(t("embeddings"), "vec_id", 0, 10).withColumn("distance", F.round("distance", 6))
 
 
 def _labelled(t: Tables) -> DataFrame:
@@ -304,7 +324,7 @@ def cluster(t: Tables) -> DataFrame:
 @query("cluster_topics")
 def cluster_topics(t: Tables) -> DataFrame:
     df = ln.tokens(t("documents").select("doc_id", "text"), "text")
-    counted = mf.CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=2000, minDF=2).fit(df).transform(df)
+    counted = mf.CountVectorizer(inputCol="tokens", outputCol="features", minDF=2).fit(df).transform(df)
     model = mk.LDA(k=4, maxIter=3, seed=1, optimizer="online").fit(counted)
     topic = vector_to_array("topicDistribution")
     return model.transform(counted).select("doc_id", F.array_position(topic, F.array_max(topic)).alias("topic"))
@@ -348,26 +368,26 @@ def recommend_error(t: Tables) -> DataFrame:
 @query(
     "patterns",
     """
-    WITH b AS (SELECT DISTINCT l_orderkey AS o, p_brand AS x FROM lineitem JOIN part ON l_partkey = p_partkey),
-    n AS (SELECT ceil(0.005 * count(DISTINCT o)) AS least FROM b)
-    SELECT x AS items, count(*)::BIGINT AS freq FROM b, n GROUP BY x, least HAVING count(*) >= least
-    UNION ALL SELECT a.x || ',' || c.x, count(*)::BIGINT FROM b a JOIN b c ON a.o = c.o AND a.x < c.x, n GROUP BY a.x, c.x, least HAVING count(*) >= least
+    WITH RECURSIVE b AS (SELECT DISTINCT l_orderkey AS o, p_brand AS x FROM lineitem JOIN part ON l_partkey = p_partkey),
+    s AS (SELECT o, x AS last, x AS items FROM b UNION ALL SELECT s.o, b.x, s.items || ',' || b.x FROM s JOIN b ON s.o = b.o AND b.x > s.last)
+    SELECT items, count(*)::BIGINT AS freq FROM s GROUP BY items HAVING count(*) >= (SELECT ceil(0.005 * count(DISTINCT o)) FROM b)
     """,
 )
 def patterns(t: Tables) -> DataFrame:
     """Brands bought together; a basket holds at most as many items as there are brands."""
+    found = FPGrowth(itemsCol="items", minSupport=0.005, minConfidence=0.01).fit(_baskets(t)).freqItemsets
+    return found.select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+
+
+def _baskets(t: Tables) -> DataFrame:
+    """Baskets written once: the fit reads them several times."""
     lines = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-    baskets = lines.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("items"))
-    found = FPGrowth(itemsCol="items", minSupport=0.005, minConfidence=0.01).fit(baskets).freqItemsets
-    short = found.filter(F.size("items") <= 2)
-    return short.select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+    return materialise(lines.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("items")), "baskets")
 
 
 @query("patterns_rules")
 def patterns_rules(t: Tables) -> DataFrame:
-    lines = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-    baskets = lines.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("items"))
-    rules = FPGrowth(itemsCol="items", minSupport=0.005, minConfidence=0.01).fit(baskets).associationRules
+    rules = FPGrowth(itemsCol="items", minSupport=0.005, minConfidence=0.01).fit(_baskets(t)).associationRules
     return rules.select(
         F.array_join("antecedent", ",").alias("antecedent"), F.array_join("consequent", ",").alias("consequent"), "confidence", "support"
     )
@@ -380,7 +400,8 @@ def patterns_sequences(t: Tables) -> DataFrame:
     sequences = steps.groupBy("l_orderkey").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "flag"))), lambda s: F.array(s["flag"])).alias("sequence")
     )
-    found = PrefixSpan(minSupport=0.1, maxPatternLength=3).findFrequentSequentialPatterns(sequences)
+    longest = steps.agg(F.count_distinct("l_linenumber").alias("n")).first()["n"]
+    found = PrefixSpan(minSupport=0.1, maxPatternLength=max(1, longest)).findFrequentSequentialPatterns(sequences)
     return found.select(F.to_json("sequence").alias("sequence"), "freq")
 
 

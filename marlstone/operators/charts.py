@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialise
 from .ordered import Running, null_safe_join, running
 from .postprocess import OperatorError, col, total_row
 
@@ -214,9 +213,10 @@ def paired_t_test(df: DataFrame, time: str, series: str, value: str, control: st
 def event_paths(df: DataFrame, entity: str, event: str, time: str, tie: str, minimum: int = 1) -> DataFrame:
     """Prefixes of the event sequences followed by at least ``minimum`` entities.
 
-    Grown one step at a time: a longer path is never more frequent than its
-    beginning, so entities leave as soon as their path is too rare.  No
-    sequence is gathered in one place.
+    A prefix is known by running sums over hashes of its steps and their
+    places, so prefixes are counted in one grouping without gathering any
+    sequence.  Only the prefixes that stay are then spelled out, from the
+    steps of one entity each.
     """
     if minimum < 1:
         raise OperatorError("the minimum must be at least 1")
@@ -226,27 +226,16 @@ def event_paths(df: DataFrame, entity: str, event: str, time: str, tie: str, min
         [(time, True), (tie, True)],
         {"place": Running("row_number")},
     ).select("entity", "event", "place")
-    # sorted by place, so a level reads only the row groups of its own step
-    steps = materialise(placed.repartitionByRange("place").sortWithinPartitions("place"), "event-steps")
-
-    def frequent(walkers: DataFrame, depth: int) -> DataFrame:
-        counts = walkers.groupBy("path").agg(F.count(F.lit(1)).alias("entities")).filter(F.col("entities") >= minimum)
-        return materialise(walkers.join(counts, "path").withColumn("depth", F.lit(depth)), f"paths-{depth}")
-
-    depth = 1
-    alive = frequent(steps.filter("place = 1").select("entity", F.col("event").alias("path")), depth)
-    levels = [alive]
-    while not alive.isEmpty():
-        depth += 1
-        following = steps.filter(F.col("place") == depth).select("entity", "event")
-        walkers = alive.join(following, "entity").select("entity", F.concat_ws(" > ", "path", "event").alias("path"))
-        alive = frequent(walkers, depth)
-        levels.append(alive)
-    out = None
-    for level in levels:
-        paths = level.groupBy("path").agg(F.any_value("entities").alias("entities"), F.any_value("depth").alias("depth"))
-        out = paths if out is None else out.unionByName(paths)
-    return out
+    # 40 bits each: the sums of eight million steps fit a bigint
+    marks = [F.pmod(F.xxhash64(F.lit(k), "place", "event"), F.lit(1 << 40)).alias(f"h{k}") for k in (1, 2)]
+    marked = running(placed.select("*", *marks), ["entity"], [("place", True)], {f"s{k}": Running("sum", f"h{k}") for k in (1, 2)})
+    prefixes = marked.groupBy("place", "s1", "s2").agg(F.count(F.lit(1)).alias("entities"), F.min("entity").alias("entity"))
+    kept = prefixes.filter(F.col("entities") >= minimum).select("entity", "place", "entities")
+    depth = kept.groupBy("entity").agg(F.max("place").alias("deepest"))
+    steps = placed.join(depth, "entity").filter(F.col("place") <= F.col("deepest"))
+    spelled = steps.groupBy("entity").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "event"))), lambda s: s["event"]).alias("steps"))
+    path = F.array_join(F.slice("steps", F.lit(1), F.col("place").cast("int")), " > ")
+    return kept.join(spelled, "entity").select(path.alias("path"), "entities", F.col("place").cast("int").alias("depth"))
 
 
 def calendar_buckets(df: DataFrame, domain: Column, subdomain: Column, value: Column) -> DataFrame:

@@ -74,38 +74,37 @@ def error_table(models: dict[str, object], train: DataFrame, test: DataFrame, la
 # --- similarity ------------------------------------------------------------
 
 
-def near_passages(left: DataFrame, right: DataFrame, left_id: str, right_id: str, text: str, distance: float, tables: int = 5) -> DataFrame:
-    """Pairs of texts of two tables whose word sets are close, by MinHash buckets.
+def near_passages(left: DataFrame, right: DataFrame, left_id: str, right_id: str, text: str, least: float, width: int = 5) -> DataFrame:
+    """Texts of ``left`` that hold a text of ``right``: at least the share ``least`` of its runs of ``width`` words.
 
-    Equal word sets are hashed together first, so any number of copies meets a
-    bucket once and fans out only in the result.
+    An equi-join on hashes of the distinct runs, counted by pair; so no pair
+    is missed and none is tried that shares nothing.  Equal texts are joined
+    once, any number of copies only fans out in the result.  A run that many
+    texts share is a large key of a plain join, which the engine splits.
     """
-    from pyspark.ml.feature import MinHashLSH
-
-    def sets(df: DataFrame, key: str) -> DataFrame:
-        words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")))
-        return df.select(key, words.alias("words")).filter(F.size("words") > 0).withColumn("digest", F.sha2(F.array_join("words", " "), 256))
-
-    a, b = sets(left, left_id), sets(right, right_id)
-    tf = HashingTF(inputCol="words", outputCol="features", numFeatures=1 << 18, binary=True)
-    one_a = tf.transform(a.groupBy("digest").agg(F.any_value("words").alias("words"))).select("digest", "features")
-    one_b = tf.transform(b.groupBy("digest").agg(F.any_value("words").alias("words"))).select("digest", "features")
-    model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=tables, seed=17).fit(one_a)
-    near = model.approxSimilarityJoin(one_a, one_b, distance, distCol="distance").select(
-        F.col("datasetA.digest").alias("da"), F.col("datasetB.digest").alias("db"), "distance"
-    )
-    pairs = near.join(a.select(left_id, F.col("digest").alias("da")), "da").join(b.select(right_id, F.col("digest").alias("db")), "db")
-    return pairs.select(left_id, right_id, "distance")
-
-
-def nearest(df: DataFrame, key: str, wanted: int, k: int = 10) -> DataFrame:
-    """Nearest vectors of one row by random projections."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
 
-    vectors = embedded(df).select(key, "features")
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=0.5, numHashTables=4, seed=17).fit(vectors)
-    point = vectors.filter(F.col(key) == wanted).first()["features"]
-    return model.approxNearestNeighbors(vectors, point, k, distCol="distance").select(key, "distance")
+    def runs(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        words = F.filter(F.split(F.lower(text), r"[ \t\n\r\f\x0b]+"), lambda w: w != "")
+        known = df.select(key, words.alias("words")).filter(F.size("words") > 0).withColumn("digest", F.sha2(F.array_join("words", " "), 256))
+        one = known.groupBy("digest").agg(F.any_value("words").alias("words"))
+        starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (width - 1), F.lit(1)))
+        grams = F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice("words", i, F.lit(width)), " "))))
+        return known.select(key, "digest"), one.select("digest", F.size(grams).alias("n"), F.explode(grams).alias("gram"))
+
+    ids_a, a = runs(left, left_id)
+    ids_b, b = runs(right, right_id)
+    both = a.select(F.col("digest").alias("da"), "gram").join(b.select(F.col("digest").alias("db"), "gram", "n"), "gram")
+    shares = both.groupBy("da", "db").agg((F.count(F.lit(1)) / F.any_value("n")).alias("share")).filter(F.col("share") >= least)
+    found = shares.join(ids_a.withColumnRenamed("digest", "da"), "da").join(ids_b.withColumnRenamed("digest", "db"), "db")
+    return found.select(left_id, right_id, "share")
+
+
+def nearest(df: DataFrame, key: str, wanted: int, k: int = 10, column: str = "embedding") -> DataFrame:
+    """The ``k`` nearest vectors of one row: exact, one pass, each task keeps its own ``k``."""
+    point = df.filter(F.col(key) == wanted).select(column).first()[column]
+    gaps = F.zip_with(column, F.array(*[F.lit(float(v)) for v in point]), lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
+    distance = F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x))
+    return df.select(key, distance.alias("distance")).orderBy("distance", key).limit(k)
 
 
 # --- statistics ------------------------------------------------------------
