@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import userfunctions as uf
+from ..session import materialise
 from .registry import Tables, query
 from .requests import rounded
 
@@ -189,9 +190,12 @@ def expr_cast(t: Tables) -> DataFrame:
 # --- user-defined functions ------------------------------------------------
 
 
-@query("udf_scalar")
+@query("udf_scalar", "SELECT c_custkey, true AS well_formed, 1::BIGINT AS owners FROM customer")
 def udf_scalar(t: Tables) -> DataFrame:
-    return uf.with_uuid(t("customer").select("c_custkey"), "id")
+    """Identifiers are random, so what is compared is their form and that no two rows share one."""
+    made = materialise(uf.with_uuid(t("customer").select("c_custkey"), "id"), "identifiers")
+    owners = made.groupBy("id").agg(F.count(F.lit(1)).alias("owners"))
+    return made.join(owners, "id").select("c_custkey", F.col("id").rlike("^[0-9a-f]{32}$").alias("well_formed"), "owners")
 
 
 @query("udf_pandas_scalar", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity * l_quantity AS squared FROM lineitem")

@@ -39,9 +39,21 @@ def grid_bins(t: Tables) -> DataFrame:
     return out
 
 
-@query("hex_bins")
+@query(
+    "hex_bins",
+    POINTS
+    + f"""
+    , m AS (SELECT radians(lon) * {gg.EARTH_RADIUS} AS x, ln(tan(pi() / 4 + radians(lat) / 2)) * {gg.EARTH_RADIUS} AS y, value FROM p),
+    h AS (SELECT (x * {math.sqrt(3) / 3!r} - y / 3) / 400000 AS q, (y * {2 / 3!r}) / 400000 AS r, value FROM m),
+    w AS (SELECT *, round_even(q, 0) AS a, round_even(r, 0) AS b, round_even(-q - r, 0) AS c FROM h),
+    d AS (SELECT *, abs(a - q) AS da, abs(b - r) AS db, abs(c + q + r) AS dc FROM w),
+    n AS (SELECT (CASE WHEN da > db AND da > dc THEN -b - c ELSE a END)::BIGINT AS hex_q,
+      (CASE WHEN da > db AND da > dc THEN b WHEN db > dc THEN -a - c ELSE b END)::BIGINT AS hex_r, value FROM d)
+    SELECT hex_q, hex_r, round(avg(value), 6) AS cell_value FROM n GROUP BY 1, 2
+    """,
+)
 def hex_bins(t: Tables) -> DataFrame:
-    return gg.hex_bins(points(t), "lon", "lat", 400_000, "value", "mean")
+    return gg.hex_bins(points(t), "lon", "lat", 400_000, "value", "mean").withColumn("cell_value", F.round("cell_value", 6))
 
 
 @query(

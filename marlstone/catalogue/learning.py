@@ -177,14 +177,24 @@ def feat_project(t: Tables) -> DataFrame:
     )
 
 
-@query("feat_formula")
+@query(
+    "feat_formula",
+    """
+    SELECT c_custkey, (SELECT count(DISTINCT c_mktsegment) FROM customer)::INTEGER AS size, c_nationkey::DOUBLE AS nation, c_acctbal AS label FROM customer
+    """,
+)
 def feat_formula(t: Tables) -> DataFrame:
+    """One number column and the segments but one as columns of 0 and 1."""
     src = t("customer").select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment")
     out = mf.RFormula(formula="c_acctbal ~ c_nationkey + c_mktsegment").fit(src).transform(src)
-    return out.select("c_custkey", F.size(vector_to_array("features")).alias("size"), "label")
+    features = vector_to_array("features")
+    return out.select("c_custkey", F.size(features).alias("size"), features[0].alias("nation"), "label")
 
 
-@query("feat_vector_index")
+@query(
+    "feat_vector_index",
+    "SELECT p_partkey, (dense_rank() OVER (ORDER BY p_size) - 1)::DOUBLE AS size_index, p_retailprice::DOUBLE AS price FROM part",
+)
 def feat_vector_index(t: Tables) -> DataFrame:
     df = ln.assembled(t("part"), ["p_size", "p_retailprice"], "v")
     out = mf.VectorIndexer(inputCol="v", outputCol="i", maxCategories=60).fit(df).transform(df)
@@ -385,15 +395,36 @@ def _baskets(t: Tables) -> DataFrame:
     return materialise(lines.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("items")), "baskets")
 
 
-@query("patterns_rules")
+@query(
+    "patterns_rules",
+    """
+    WITH RECURSIVE b AS (SELECT DISTINCT l_orderkey AS o, p_brand AS x FROM lineitem JOIN part ON l_partkey = p_partkey),
+    s AS (SELECT o, x AS last, [x] AS items FROM b UNION ALL SELECT s.o, b.x, list_append(s.items, b.x) FROM s JOIN b ON s.o = b.o AND b.x > s.last),
+    n AS (SELECT count(DISTINCT o) AS n FROM b),
+    f AS (SELECT items, count(*) AS freq FROM s GROUP BY items HAVING count(*) >= (SELECT ceil(0.005 * n) FROM n)),
+    r AS (SELECT items, freq, unnest(items) AS c FROM f WHERE len(items) > 1)
+    SELECT array_to_string(a.items, ',') AS antecedent, c AS consequent, round(r.freq / a.freq, 9) AS confidence, round(r.freq / n, 9) AS support
+    FROM r JOIN f a ON a.items = list_filter(r.items, lambda x: x <> c), n WHERE r.freq / a.freq >= 0.01
+    """,
+)
 def patterns_rules(t: Tables) -> DataFrame:
     rules = FPGrowth(itemsCol="items", minSupport=0.005, minConfidence=0.01).fit(_baskets(t)).associationRules
     return rules.select(
-        F.array_join("antecedent", ",").alias("antecedent"), F.array_join("consequent", ",").alias("consequent"), "confidence", "support"
+        F.array_join(F.array_sort("antecedent"), ",").alias("antecedent"), F.array_join("consequent", ",").alias("consequent"),
+        F.round("confidence", 9).alias("confidence"), F.round("support", 9).alias("support"),
     )
 
 
-@query("patterns_sequences")
+@query(
+    "patterns_sequences",
+    """
+    WITH RECURSIVE q AS (SELECT l_orderkey AS o, l_linenumber AS i, min(l_returnflag) AS f FROM lineitem GROUP BY 1, 2),
+    s AS (SELECT o, i, '["' || f || '"]' AS p FROM q UNION SELECT s.o, q.i, s.p || ',["' || q.f || '"]' FROM s JOIN q ON s.o = q.o AND q.i > s.i),
+    d AS (SELECT DISTINCT o, p FROM s)
+    SELECT '[' || p || ']' AS sequence, count(*)::BIGINT AS freq FROM d GROUP BY p
+    HAVING count(*) >= (SELECT ceil(0.1 * count(DISTINCT o)) FROM q)
+    """,
+)
 def patterns_sequences(t: Tables) -> DataFrame:
     """Frequent sequences of return flags by line number (a sequence has at most one step per line number)."""
     steps = t("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("flag"))
@@ -573,7 +604,21 @@ def stream_ml_regression(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([("intercept", float(weights[0])), ("x", float(weights[1]))], "feature string, weight double")
 
 
-@query("gd_logistic")
+def _descent_sql(rounds: int, rate: float) -> str:
+    """The rounds of the descent, written out."""
+    steps = ["w0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
+    for i in range(rounds):
+        gap = "1 / (1 + exp(-(a + b * x))) - y"
+        steps.append(f"w{i + 1} AS MATERIALIZED (SELECT any_value(a) - {rate} * avg({gap}) AS a, any_value(b) - {rate} * avg(({gap}) * x) AS b FROM d, w{i})")
+    last = f"w{rounds}"
+    return (
+        "WITH d AS MATERIALIZED (SELECT (l_quantity / 50)::DOUBLE AS x, (l_extendedprice > 50000)::INTEGER::DOUBLE AS y FROM lineitem), "
+        + ", ".join(steps)
+        + f" SELECT 'intercept' AS feature, round(a, 6) AS weight FROM {last} UNION ALL SELECT 'x', round(b, 6) FROM {last}"
+    )
+
+
+@query("gd_logistic", _descent_sql(15, 4.0))
 def gd_logistic(t: Tables) -> DataFrame:
     src = t("lineitem").select((F.col("l_quantity") / 50).alias("x"), (F.col("l_extendedprice") > 50000).alias("y"))
-    return ln.logistic_descent(src, ["x"], "y", 15, 4.0)
+    return ln.logistic_descent(src, ["x"], "y", 15, 4.0).withColumn("weight", F.round("weight", 6))

@@ -336,14 +336,21 @@ def sample_stratified(t: Tables) -> DataFrame:
     return t("orders").sampleBy("o_orderstatus", {"F": 0.1, "O": 0.5, "P": 1.0}, seed=7)
 
 
-@query("sample_take")
+@query("sample_take", "SELECT 100::BIGINT AS taken, 100::BIGINT AS different, 0::BIGINT AS unknown")
 def sample_take(t: Tables) -> DataFrame:
-    return rel.take_sample(t("orders").select("o_orderkey", "o_totalprice"), 100, seed=7)
+    """The rows drawn depend on the seed; compared are their number and that each is another row of the table."""
+    return _drawn(rel.take_sample(t("orders").select("o_orderkey", "o_totalprice"), 100, seed=7), t("orders"))
 
 
-@query("sample_take_replaced")
+@query("sample_take_replaced", "SELECT 100::BIGINT AS taken, 0::BIGINT AS unknown")
 def sample_take_replaced(t: Tables) -> DataFrame:
-    return rel.take_sample_replaced(t("orders").select("o_orderkey"), "o_orderkey", 100, seed=7)
+    return _drawn(rel.take_sample_replaced(t("orders").select("o_orderkey"), "o_orderkey", 100, seed=7), t("orders")).drop("different")
+
+
+def _drawn(sample: DataFrame, orders: DataFrame) -> DataFrame:
+    rows = sample.select("o_orderkey")
+    strange = rows.join(orders.select("o_orderkey"), "o_orderkey", "left_anti").agg(F.count(F.lit(1)).alias("unknown"))
+    return rows.agg(F.count(F.lit(1)).alias("taken"), F.count_distinct("o_orderkey").alias("different")).withColumn("unknown", strange.scalar())
 
 
 @query(
