@@ -13,7 +13,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 
 SALTS = 8
 
@@ -66,9 +66,8 @@ def pagerank(
     )
     links = materialise(salted_edges(weighted), "links")
     vertices = materialise(links.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "vertices")
-    ranks = vertices.withColumn("rank", F.lit(1.0)) if keep_all else links.select(
-        F.col("src").alias("id")
-    ).distinct().withColumn("rank", F.lit(1.0))
+    begin = vertices if keep_all else links.select(F.col("src").alias("id")).distinct()
+    ranks = materialise(begin.withColumn("rank", F.lit(1.0)), "rank-start")
     if tolerance is None and iterations is None:
         raise ValueError("give a number of iterations or a tolerance")
     for i in count():
@@ -91,6 +90,7 @@ def pagerank(
             gap = F.max(F.abs(F.coalesce(F.col("rank"), F.lit(0.0)) - F.coalesce(F.col("old"), F.lit(0.0))))
             if (moved.agg(gap.alias("g")).first()["g"] or 0.0) <= tolerance:
                 return fresh
+        discard(ranks)
         ranks = fresh
 
 
@@ -130,7 +130,9 @@ def connected_components(edges: DataFrame, max_rounds: int | None = None) -> Dat
             .filter("u <> v")
             .distinct()
         )
-        pairs = materialise(small, f"small-{i}")
+        before, pairs = pairs, materialise(small, f"small-{i}")
+        discard(before)
+        discard(large)
         state = pairs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if mark == (state["n"], state["h"]):
             break
@@ -185,12 +187,14 @@ def shortest_paths(edges: DataFrame, source: int, weight: str = "weight", max_ro
             .agg(F.min(F.col("distance") + F.col("w")).alias("fresh"))
         )
         better = reached.join(dist, "id", "left").filter(F.col("distance").isNull() | (F.col("fresh") < F.col("distance")))
-        frontier = materialise(better.select("id", F.col("fresh").alias("distance")), f"frontier-{i}")
+        reached_before, frontier = frontier, materialise(better.select("id", F.col("fresh").alias("distance")), f"frontier-{i}")
+        if reached_before is not dist:
+            discard(reached_before)
         if frontier.isEmpty():
             return dist
-        dist = materialise(
-            dist.join(frontier.select("id"), "id", "left_anti").unionByName(frontier), f"dist-{i}"
-        )
+        before = dist
+        dist = materialise(before.join(frontier.select("id"), "id", "left_anti").unionByName(frontier), f"dist-{i}")
+        discard(before)
 
 
 def transitive_closure(edges: DataFrame, sources: DataFrame | None = None, depth: int | None = None) -> DataFrame:

@@ -63,3 +63,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove what ``materialise`` wrote for ``df``, once no reader is left."""
+    session = df.sparkSession
+    for name in df.inputFiles()[:1]:
+        folder = session._jvm.org.apache.hadoop.fs.Path(name).getParent()
+        if folder.getParent().getName() == "marlstone":
+            folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
