@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.session import materialise
+from marlstone.session import discard, materialise
+
+__all__ = ["WORD", "WORD_GAP", "discard", "documents", "keep_on_disk", "let", "words_of"]
 
 # Fixed by the contracts: what separates words.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -33,14 +35,5 @@ def keep_on_disk(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, label)
 
 
-def discard(df: DataFrame) -> None:
-    """Remove what ``keep_on_disk`` wrote for ``df``, once no reader is left."""
-    session = df.sparkSession
-    for name in df.inputFiles()[:1]:
-        path = session._jvm.org.apache.hadoop.fs.Path(name).getParent()
-        if path.getParent().getName() == "marlstone":
-            path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")

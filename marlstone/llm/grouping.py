@@ -14,29 +14,24 @@ def components(edges: DataFrame) -> DataFrame:
     """``id`` and ``label`` (the smallest id it is connected with) of every id in edges ``a``, ``b``.
 
     Alternating stars: every vertex links its larger neighbours to the
-    smallest neighbour it knows, then the smaller ones.  Rounds go on until
-    nothing changes; their number grows with the logarithm of the diameter.
-    Each round is written to the shared folder, so a lost executor costs a
-    stage at most.
+    smallest neighbour it knows, then the smaller ones, until all links point
+    at roots.  The number of rounds grows with the logarithm of the diameter;
+    links that are stars from the start need none.  Each round is written to
+    the shared folder, so a lost executor costs a stage at most.
     """
     links = keep_on_disk(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    seen = _state(links)
-    while True:
-        large = _star(links, larger=True)
-        small = keep_on_disk(_star(large, larger=False), "links")
-        now = _state(small)
-        discard(links)
-        links = small
-        if now == seen:
-            break
-        seen = now
+    while not _are_stars(links):
+        before, links = links, keep_on_disk(_star(_star(links, larger=True), larger=False), "links")
+        discard(before)
     roots = links.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct()
     return links.select(F.col("u").alias("id"), F.col("v").alias("label")).union(roots)
 
 
-def _state(links: DataFrame) -> tuple:
-    row = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every larger end has one link and no smaller end has one itself."""
+    end = lambda c, up: links.select(F.col(c).alias("id"), F.lit(up).alias("up"), F.lit(1 - up).alias("root"))
+    uses = end("u", 1).union(end("v", 0)).groupBy("id").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+    return uses.where("up > 1 OR (up = 1 AND root = 1)").isEmpty()
 
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:
@@ -63,7 +58,7 @@ def crowded(buckets: DataFrame) -> DataFrame:
     return buckets.join(full, "key").drop("key").withColumnRenamed("__set", "key").distinct()
 
 
-def linked(members: DataFrame, test: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(members: DataFrame, test: Callable[[DataFrame], DataFrame], by_degree: bool = True) -> DataFrame:
     """Component labels from the verified links between ids that share a key.
 
     ``members`` has ``key``, ``id`` and ``sig`` (what the test needs of an id),
@@ -73,14 +68,18 @@ def linked(members: DataFrame, test: Callable[[DataFrame], DataFrame]) -> DataFr
     connect what these links connect.
 
     Not all pairs of a key are tried.  First every id is tried against one head
-    of its key, the id that shares most keys with others; that settles a group
-    of copies in as many trials as it has members.  Then only keys that still
+    of its key, the id that shares most keys with others (without
+    ``by_degree``: the smallest); that settles a group of copies in as many
+    trials as it has members.  Then only keys that still
     hold several components are looked at, and there the ids outside the
     largest component ask.  No link that would join two components is missed.
     """
-    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    degree = members.join(size, "key").groupBy("id").agg(F.sum("n").alias("degree"))
-    head = members.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id", "sig")).alias("head"))
+    if by_degree:
+        size = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        degree = members.join(size, "key").groupBy("id").agg(F.sum("n").alias("degree"))
+        head = members.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id", "sig")).alias("head"))
+    else:
+        head = members.groupBy("key").agg(F.min(F.struct("id", "sig")).alias("head"))
     star = members.join(head, "key").where(F.col("id") != F.col("head.id")).select(F.col("head.id").alias("group"), "id", "sig", F.lit(False).alias("asks")).distinct()
     heads = head.select(F.col("head.id").alias("group"), "head.id", "head.sig", F.lit(True).alias("asks")).distinct()
     found = keep_on_disk(test(keep_on_disk(star.union(heads), "star")), "found")

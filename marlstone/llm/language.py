@@ -24,11 +24,12 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textbytes import buffers
+from .textbytes import buffers, slices
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 #: Windows that one language gives to the training at most, and those that a document offers.
-PER_LANGUAGE, PER_DOCUMENT = 1500, 8
+#: Up to 1,000 Spark lets each task keep its own first rows of a language before anything is shuffled.
+PER_LANGUAGE, PER_DOCUMENT = 900, 8
 UNKNOWN = "und"
 
 
@@ -207,7 +208,7 @@ def predict(docs: DataFrame, net: Network, id: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _reader(key, shared)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             data, offsets = buffers(batch.column("text"))
             scores = reader.scores(data, offsets)
             best = scores.argmax(axis=1)

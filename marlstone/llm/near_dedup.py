@@ -69,9 +69,7 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
 
 def _word_batches(batches: Iterator[pa.RecordBatch], width: int):
     is_word, fold = tb.table(tb.BLANKS), tb.lower_ascii()
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in tb.slices(batches, "text"):
         data, offsets = tb.buffers(batch.column("text"))
         starts, _, hashes = tb.word_hashes(data, offsets, is_word, fold)
         bounds = tb.per_text(starts, offsets)

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -64,6 +65,17 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in pieces of about ``most`` bytes of text, one row at least."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(sizes, dtype=np.int64) // most
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def _cut(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, at: int) -> int:
     """End of the block that starts at ``at``: never inside a word unless the word alone is longer than a block."""
     target = at + BLOCK

@@ -48,8 +48,24 @@ def test_line_dedup(docs, rows):
     assert list(next(iter(got.values())).asDict()) == docs.columns
 
 
+def test_line_dedup_of_drifting_lines(spark):
+    """Chains of small edits: near lines that are not near the head of their keys are still found."""
+    rng = random.Random(11)
+    lines, line = [], [f"word{k}" for k in range(30)]
+    for _ in range(60):
+        lines.append(" ".join(line))
+        line = list(rng.choice(lines).split())
+        for k in rng.sample(range(30), rng.randint(1, 2)):
+            line[k] = "".join(rng.choices("abcdefgh", k=6))
+    data = [(k, x) for k, x in enumerate(lines + lines[:20])]
+    got = by_id(line_dedup.clean(spark.createDataFrame(data, "doc_id bigint, text string")))
+    want = brute.clean_lines(data, print_of)
+    assert [got[k]["text"] for k, _ in data] == want
+    assert 20 < sum(not t for t in want) < 80
+
+
 @settings(max_examples=500, deadline=None)
-@given(st.text("abé", max_size=24), st.text("abé", max_size=24), st.integers(0, 12))
+@given(st.text("ab é", max_size=24), st.text("ab é", max_size=24), st.integers(0, 12))
 def test_edits_at_most(a, b, most):
     assert line_dedup.edits_at_most(a, b, most) == (brute.levenshtein(a, b) <= most)
 
@@ -283,6 +299,11 @@ def test_language_edges(odd, nothing, spark):
     assert language.predict(nothing, net).count() == 0
 
 
+def test_training_rows_are_cut_before_the_shuffle(tables):
+    plan = language.training_rows(tables("documents").select("text", "lang"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("WindowGroupLimit") > plan.rindex("Exchange") > 0
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     learned = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
