@@ -1,10 +1,10 @@
 """Post-processing of result frames.
 
 A frame is a DataFrame in long form: time, series keys, metrics.  Operators that
-depend on row order take ``order`` (and ``keys``, the series columns).  Frames
-bucketed by a time grain have at most one row per series and bucket, so a window
-per series is bounded by the calendar; with ``row_level=True`` the same operator
-works on raw rows of any size through chunks and blocks (see ``ordered``).
+depend on row order take ``order`` (and ``keys``, the series columns) and work
+on frames of any size through chunks and blocks (see ``ordered``).  Frames
+bucketed by a time grain have at most one row per series and bucket; for those
+``row_level=False`` asks for one plain window per series instead.
 """
 
 from __future__ import annotations
@@ -331,7 +331,7 @@ def cum(
     columns: dict[str, str],
     order: str | Sequence = (),
     keys: Sequence[str] = (),
-    row_level: bool = False,
+    row_level: bool = True,
 ) -> DataFrame:
     """Running sum, product, minimum or maximum; nulls count as 0."""
     if operator not in ("sum", "prod", "min", "max"):
@@ -361,7 +361,7 @@ def diff(
     axis: str = "row",
     order: str | Sequence = (),
     keys: Sequence[str] = (),
-    row_level: bool = False,
+    row_level: bool = True,
 ) -> DataFrame:
     """Difference to the row ``periods`` before (after, when negative) or to the column before."""
     require(df, [*columns, *keys])
@@ -443,7 +443,7 @@ def rolling(
     win_type: str | None = None,
     rolling_type_options: dict | None = None,
     other: str | None = None,
-    row_level: bool = False,
+    row_level: bool = True,
 ) -> DataFrame:
     """Rolling statistic over ``window`` rows; the first ``min_periods - 1`` rows are cut."""
     require(df, [*columns, *keys])

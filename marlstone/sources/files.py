@@ -181,10 +181,16 @@ def store_table(df: DataFrame, table: str, if_exists: str = "fail", location: st
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], dynamic: bool = False, files: int | None = None) -> None:
-    """Partitioned Parquet; rows are spread by partition and a salt, so one hot day is several files."""
-    keys = [F.col(c) for c in by]
+    """Partitioned Parquet with few files per partition.
+
+    Rows are dealt by partition and the engine cuts a hot one by its size, so
+    it becomes several files; with ``files`` every partition is spread over so
+    many by a salt.
+    """
     if files:
-        df = df.repartition(*keys, F.pmod(F.xxhash64(*df.columns), F.lit(files)))
+        df = df.repartition(*[F.col(c) for c in by], F.pmod(F.xxhash64(*df.columns), F.lit(files)))
+    else:
+        df = df.hint("rebalance", *by)
     mode = "dynamic" if dynamic else "static"
     df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*by).parquet(path)
 
