@@ -156,7 +156,7 @@ def contribution(t: Tables) -> DataFrame:
 def cum(t: Tables) -> DataFrame:
     out = monthly(t).select("month", "flag", "qty")
     for op in ("sum", "min", "max"):
-        out = pp.cum(out, op, {"qty": f"qty_{op}"}, "month", ["flag"])
+        out = pp.cum(out, op, {"qty": f"qty_{op}"}, "month", ["flag"], row_level=False)
     return out.drop("qty")
 
 
@@ -186,8 +186,8 @@ def cum_rows(t: Tables) -> DataFrame:
     """,
 )
 def diff(t: Tables) -> DataFrame:
-    out = pp.diff(monthly(t), {"qty": "back"}, 2, order="month", keys=["flag"])
-    out = pp.diff(out, {"qty": "ahead"}, -1, order="month", keys=["flag"])
+    out = pp.diff(monthly(t), {"qty": "back"}, 2, order="month", keys=["flag"], row_level=False)
+    out = pp.diff(out, {"qty": "ahead"}, -1, order="month", keys=["flag"], row_level=False)
     return pp.diff(out, {"qty": "qty", "n": "columns"}, axis="column").select("month", "flag", "back", "ahead", "columns")
 
 
@@ -348,8 +348,8 @@ def resample_aggregate(t: Tables) -> DataFrame:
 def rolling(t: Tables) -> DataFrame:
     out = monthly(t).select("month", "flag", "qty")
     for kind in ("sum", "mean", "min", "max", "std", "var", "median"):
-        out = pp.rolling(out, kind, {"qty": f"qty_{kind}"}, 6, "month", ["flag"], min_periods=1 if kind != "median" else 1)
-    out = pp.rolling(out, "quantile", {"qty": "qty_q25"}, 6, "month", ["flag"], rolling_type_options={"quantile": 0.25})
+        out = pp.rolling(out, kind, {"qty": f"qty_{kind}"}, 6, "month", ["flag"], min_periods=1 if kind != "median" else 1, row_level=False)
+    out = pp.rolling(out, "quantile", {"qty": "qty_q25"}, 6, "month", ["flag"], rolling_type_options={"quantile": 0.25}, row_level=False)
     digits = {"qty_sum": 6, "qty_mean": 6, "qty_std": 5, "qty_var": 2, "qty_median": 6, "qty_q25": 6}
     return out.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in out.columns if c != "qty"])
 
@@ -364,8 +364,8 @@ def rolling(t: Tables) -> DataFrame:
     """,
 )
 def rolling_center(t: Tables) -> DataFrame:
-    out = pp.rolling(monthly(t), "mean", {"qty": "mean"}, 4, "month", ["flag"], 1, center=True)
-    out = pp.rolling(out, "corr", {"qty": "corr"}, 4, "month", ["flag"], 1, center=True, other="price")
+    out = pp.rolling(monthly(t), "mean", {"qty": "mean"}, 4, "month", ["flag"], 1, center=True, row_level=False)
+    out = pp.rolling(out, "corr", {"qty": "corr"}, 4, "month", ["flag"], 1, center=True, other="price", row_level=False)
     return out.select("month", "flag", F.round("mean", 6).alias("mean"), F.round("corr", 6).alias("corr"))
 
 
