@@ -117,7 +117,9 @@ def with_chunks(df: DataFrame, order: Order, chunks: int | None = None) -> DataF
             return F.when(value == F.lit(cuts[i]), own).otherwise(below)
         return F.lit(start)
 
-    number = F.when(value.isNull(), F.lit(0)).otherwise(_descend(value, cuts, 0, len(cuts), leaf))
+    # A single chunk must not become a constant: joins on it would lose their key.
+    chosen = _descend(value, cuts, 0, len(cuts), leaf) if cuts else F.pmod(F.xxhash64(value), F.lit(1)).cast("int") + 1
+    number = F.when(value.isNull(), F.lit(0)).otherwise(chosen)
     return df.withColumn(CHUNK, number if ascending else -number)
 
 
