@@ -8,7 +8,8 @@ fingerprint 0.
 
 The votes are added up four bits at a time: a 64-bit sum holds four counters
 of 16 bits, so 16 sums do for 64 bits.  Terms are counted in parts of 2,048
-positions, which keeps every counter below its width, then parts are added.
+positions of one row, which keeps every counter below its width, then parts are
+added, however many rows repeat a key.
 
 ``near`` finds all fingerprints within a Hamming radius.  Cut into blocks, two
 fingerprints that differ in ``radius`` bits agree in all but ``radius`` of the
@@ -42,22 +43,18 @@ def terms(text: Column) -> Column:
 
 def _votes(hashed: DataFrame, keys: list[str]) -> DataFrame:
     """Fingerprint (bigint) per key from rows of ``keys`` and the array ``hashes``."""
-    rows = hashed.select(*keys, F.posexplode_outer("hashes").alias("__at", "__h"))
-    part = rows.groupBy(*keys, F.floor(F.col("__at") / PART).alias("__part")).agg(
+    # The number of the row keeps apart those that repeat a key: a counter never sees more than PART positions of one.
+    rows = hashed.withColumn("__row", F.monotonically_increasing_id()).select(*keys, "__row", F.posexplode_outer("hashes").alias("__at", "__h"))
+    part = rows.groupBy(*keys, "__row", F.floor(F.col("__at") / PART).alias("__part")).agg(
         F.count("__h").alias("__n"),
         *[F.sum(F.shiftrightunsigned("__h", k).bitwiseAND(F.lit(_LANE_MASK))).alias(f"__s{k}") for k in range(LANES)],
     )
     ones = lambda bit: F.shiftrightunsigned(f"__s{bit % LANES}", WIDTH * (bit // LANES)).bitwiseAND(F.lit(0xFFFF))
-    # Two counters of 32 bits in each sum of this second level.
-    half = BITS // 2
-    whole = part.groupBy(*keys).agg(
-        F.sum("__n").alias("__n"),
-        *[F.sum(ones(b) + F.shiftleft(ones(b + half), 32)).alias(f"__t{b}") for b in range(half)],
-    )
-    count = lambda bit: F.col(f"__t{bit}").bitwiseAND(F.lit(0xFFFFFFFF)) if bit < half else F.shiftrightunsigned(f"__t{bit - half}", 32)
+    # A key may have any number of rows, so the second level has a sum for every bit.
+    whole = part.groupBy(*keys).agg(F.sum("__n").alias("__n"), *[F.sum(ones(b)).alias(f"__t{b}") for b in range(BITS)])
     fingerprint = F.lit(0).cast("long")
     for bit in range(BITS):
-        fingerprint = fingerprint.bitwiseOR(F.when(2 * count(bit) > F.col("__n"), F.lit(1 << bit if bit < 63 else _NO_ID).cast("long")).otherwise(F.lit(0).cast("long")))
+        fingerprint = fingerprint.bitwiseOR(F.when(2 * F.col(f"__t{bit}") > F.col("__n"), F.lit(1 << bit if bit < 63 else _NO_ID).cast("long")).otherwise(F.lit(0).cast("long")))
     return whole.select(*keys, fingerprint.alias("fingerprint"))
 
 
