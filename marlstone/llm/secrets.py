@@ -135,11 +135,26 @@ def looks_secret(string: Column) -> Column:
     return F.when(level.isNull() | allowed, F.lit(False)).otherwise(window_entropy(string) >= level)
 
 
+def _uncovered(text: Column, span: Column, base: Column) -> Column:
+    """The stretches of a candidate beside the base spans that cut it, as far as they look like secrets themselves."""
+    cuts = F.filter(base, lambda x: (x["start"] < span["stop"]) & (span["start"] < x["stop"]))
+    stretch = lambda start, stop: F.array(F.struct(start.alias("start"), F.lit(3).alias("kind"), stop.alias("stop")))
+
+    def step(a: Column, x: Column) -> Column:
+        spans = F.when(x["start"] > a["at"], F.concat(a["spans"], stretch(a["at"], x["start"]))).otherwise(a["spans"])
+        return F.struct(F.greatest(a["at"], x["stop"]).alias("at"), spans.alias("spans"))
+
+    start = F.struct(span["start"].alias("at"), F.expr(f"CAST(array() AS {_SPAN})").alias("spans"))
+    left = F.aggregate(cuts, start, step, lambda a: F.when(a["at"] < span["stop"], F.concat(a["spans"], stretch(a["at"], span["stop"]))).otherwise(a["spans"]))
+    secret = lambda x: looks_secret(F.substring(text, x["start"] + 1, x["stop"] - x["start"]))
+    return F.when(F.size(cuts) == 0, F.array(span)).otherwise(F.filter(left, secret))
+
+
 def find(docs: DataFrame, id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
     """Spans of each document: ``base`` by pattern, ``added`` by entropy, sorted by start and kind.
 
     Null texts count as empty and have no spans.  An added span never overlaps
-    a base span.  Repeated rows give repeated results; only ``id`` and ``text``
+    a base span; of a candidate that does, the stretches beside are looked at.  Repeated rows give repeated results; only ``id`` and ``text``
     are read, so other columns may have any name.  With ``carry`` the whole row
     comes along as the struct ``row``.
     """
@@ -153,8 +168,8 @@ def find(docs: DataFrame, id: str = "doc_id", text: str = "text", carry: bool =
         spans_of(t, _ACCESS, 1),
         spans_of(t, _HEX, 2),
     )
-    found = body.select("doc_id", *more, F.array_sort(base).alias("base"), spans_of(t, CANDIDATE, 3, looks_secret).alias("__more"))
-    free = let(F.col("base"), lambda b: F.filter("__more", lambda m: ~F.exists(b, lambda x: (x["start"] < m["stop"]) & (m["start"] < x["stop"]))))
+    found = body.select("doc_id", *more, "__text", F.array_sort(base).alias("base"), spans_of(t, CANDIDATE, 3, looks_secret).alias("__more"))
+    free = let(F.col("base"), lambda b: F.flatten(F.transform("__more", lambda m: _uncovered(t, m, b))))
     out = found.select("doc_id", *more, "base", F.when(F.size("__more") == 0, F.col("__more")).otherwise(free).alias("added"))
     return out.select("*", F.array_sort(F.concat("base", "added")).alias("spans"))
 
