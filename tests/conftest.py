@@ -10,8 +10,7 @@ sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from marlstone.catalogue.registry import Tables  # noqa: E402
 from marlstone.session import build_session  # noqa: E402
-
-FOLDER = "/root/testdata/sf0.001"
+from places import FOLDER  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -11,7 +11,7 @@ from marlstone.operators.charts import interval_annotations
 from marlstone.plans.builder import compile_request
 from marlstone.plans.request import Dataset, Dim, Filter, Metric, Request
 
-from conftest import FOLDER
+from places import FOLDER
 
 load()
 NOW = datetime(2001, 12, 1)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import FOLDER
+from places import FOLDER
 from oracle import connect, difference
 
 import __spark_entry__ as entry
