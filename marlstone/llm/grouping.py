@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,18 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
+def spanning(ids: np.ndarray, link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ``ids`` that connect what the matrix of links connects, one less than members of each group."""
+    label = np.arange(len(ids))
+    while True:
+        least = np.minimum(label, np.where(link, label[None], len(ids)).min(axis=1, initial=len(ids)))
+        if (least == label).all():
+            break
+        label = least
+    far = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[label[far]], ids[far]
+
+
 def crowded(buckets: DataFrame) -> DataFrame:
     """Rows of keys that hold more than one id, keys with the same ids only once.
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .common import keep_on_disk
-from .grouping import crowded, in_blocks, linked
+from .grouping import crowded, in_blocks, linked, spanning
 
 #: Shingles worked on at a time; fits the processor's cache.
 _STEP = 1 << 15
@@ -106,14 +106,8 @@ def _links_in_block(percent: int):
             common += part @ part.T
         union = sizes[:, None] + sizes[None] - common
         link = (100 * common >= percent * union) & (asks[:, None] | asks[None])
-        label = np.arange(len(ids))
-        while True:
-            least = np.minimum(label, np.where(link, label[None], len(ids)).min(axis=1))
-            if (least == label).all():
-                break
-            label = least
-        far = np.flatnonzero(label != np.arange(len(ids)))
-        return pa.table({"a": ids[label[far]], "b": ids[far]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        a, b = spanning(ids, link)
+        return pa.table({"a": a, "b": b}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     return run
 

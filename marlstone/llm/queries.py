@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, line_dedup, near_dedup, packing, quality, secrets, token_counts, url_filter
+from . import bpe, language, line_dedup, near_dedup, packing, periodic, quality, secrets, simhash_dedup, token_counts, url_filter
+from . import conversation_trie as ct
 from . import fingerprints as fp
 from .common import documents, keep_on_disk, words_of
 
@@ -143,6 +144,58 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _repeating(docs: DataFrame) -> DataFrame:
+    """The documents of which every tenth, by its hash, repeats its end from some word on.
+
+    Documents without an id or without words stay as they are.
+    """
+    words = words_of(F.col("text"))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n, g = F.size("w").cast("long"), F.floor(h / 10)
+    from_word = F.col("a")
+    source = lambda i: F.when(i < from_word, i).otherwise(from_word + (i - from_word) % F.col("p"))
+    body = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(F.col("w"), source(i).cast("int"))), " ")
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, words).otherwise(F.array().cast("array<string>")).alias("w"), g.alias("g"))
+    placed = chosen.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn("p", F.when(n > 0, 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))))
+    return placed.select("doc_id", F.when(n > 0, body).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeated words of each text, every tenth of which is made to repeat, and the texts without them."""
+    found = periodic.find(_repeating(documents(spark, folder)))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    facts = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("r"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return facts.select(
+        "doc_id", "n_runs", F.col("r.s").alias("start"), (-F.col("r.l")).alias("length"), F.col("r.p").alias("period"),
+        F.floor(-1000 * F.col("r.l") / F.col("r.p")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
+@query
+def op12_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose fingerprints differ in two bits at most."""
+    return simhash_dedup.groups(documents(spark, folder)).select("doc_id", fp.hexed(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the trie of conversations that begin with the first turns of the first of their twenty."""
+    turns = keep_on_disk(ct.number(spark.read.parquet(f"{folder.rstrip('/')}/conversations.parquet")), "trie-numbered")
+    own = turns.groupBy("conv_id").agg(F.max("place").alias("own"), F.min("chunk").alias("first_chunk"))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    asked = own.select("conv_id", "own", "first_chunk", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % 20).alias("base"))
+    base = own.select(F.col("conv_id").alias("base"), F.col("own").alias("base_length"))
+    given = F.least("h", F.coalesce("base_length", F.lit(0)))
+    planned = asked.join(base, "base", "left").select("conv_id", "first_chunk", "h", "base", given.alias("given"), (given + F.greatest(F.col("own") - F.col("h"), F.lit(0))).alias("length"))
+    plan = keep_on_disk(planned, "trie-plan")
+    shared = turns.where("conv_id % 20 = 0 AND place <= 3").select(F.col("conv_id").alias("base"), "place", "h1", "h2", "words")
+    begin = plan.join(shared, "base").where("place <= h").select("conv_id", F.col("first_chunk").alias("chunk"), "place", "h1", "h2", "words", "length")
+    rest = turns.join(plan, "conv_id").where("place > h").select("conv_id", "chunk", (F.col("given") + F.col("place") - F.col("h")).alias("place"), "h1", "h2", "words", "length")
+    return ct.build(begin.unionByName(rest), plan.select("conv_id", "length"))
+
+
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

@@ -130,6 +130,17 @@ def _blocks(data, offsets, is_word, fold) -> Iterator[tuple[np.ndarray, np.ndarr
         at = stop
 
 
+def word_places(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of all texts, in order; the bytes between are ``data[is_word[data]]``."""
+    inside = is_word[data]
+    # Where a text begins, a word cannot go on from the text before.
+    begins = np.zeros(len(data) + 1, dtype=bool)
+    begins[offsets] = True
+    starts = np.flatnonzero(inside & (~np.concatenate([[False], inside[:-1]]) | begins[:-1]))
+    ends = np.flatnonzero(inside & (~np.concatenate([inside[1:], [False]]) | begins[1:])) + 1
+    return starts, ends
+
+
 def per_text(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Offsets of the words of each text among all words."""
     return np.searchsorted(starts, offsets, "left")
@@ -169,3 +180,30 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.nda
         use = np.flatnonzero(length > j) if len(long) < len(count) else slice(None)
         out[use] = mix(out[use] * _U(0x9FB21C651E98DF25) + hashes[first[use] + j] + _U(j + 1))
     return out, out_bounds
+
+
+def _majority(hashes: np.ndarray, bounds: np.ndarray, width: int) -> np.ndarray:
+    """Bits set in more than half of the hashes of each stretch, counted in numbers of ``width`` bits side by side."""
+    count = np.diff(bounds).astype(np.uint64)
+    low = np.uint64((1 << width) - 1)
+    mask = np.uint64(sum(1 << at for at in range(0, 64, width)))
+    out = np.zeros(len(count), dtype=np.uint64)
+    for k in range(width):
+        ones = summed(hashes >> np.uint64(k) & mask, bounds)
+        for at in range(0, 64, width):
+            out |= (np.uint64(2) * (ones >> np.uint64(at) & low) > count).astype(np.uint64) << np.uint64(at + k)
+    return out
+
+
+def simhash(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """64-bit SimHash of the hashes of each stretch, every occurrence with weight one: bits set in over half of them; zero for none."""
+    count = np.diff(bounds)
+    out = _majority(hashes, bounds, 8)
+    # What those counters cannot hold is counted again in wider ones.
+    for width, least in ((16, 1 << 8), (32, 1 << 16)):
+        long = np.flatnonzero(count >= least)
+        if len(long):
+            inside = np.zeros(len(count), dtype=bool)
+            inside[long] = True
+            out[long] = _majority(hashes[np.repeat(inside, count)], np.concatenate([[0], np.cumsum(count[long])]), width)
+    return out

@@ -79,7 +79,7 @@ def test_line_simhash_counters_do_not_overflow():
     rng = np.random.default_rng(1)
     hashes = rng.integers(0, 1 << 63, 70_000, dtype=np.uint64)
     bounds = np.array([0, 66_000, 66_000, 70_000])
-    got = line_dedup.simhash(hashes, bounds)
+    got = textbytes.simhash(hashes, bounds)
     for k in range(3):
         own = hashes[bounds[k] : bounds[k + 1]]
         want = sum(1 << b for b in range(64) if 2 * int((own >> np.uint64(b) & np.uint64(1)).sum()) > len(own))
