@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import network
 from ..functions.grains import shift
+from ..operators.addresses import longest_blocks
 from ..plans import builder
 from ..plans.request import Dataset, Filter, Metric, Request
 from .registry import Tables, query
@@ -249,3 +250,72 @@ def filter_port(t: Tables) -> DataFrame:
     }
     counts = t("events").agg(*[F.count_if(c).alias(n) for n, c in tests.items()])
     return counts.unpivot([], [F.col(f"`{n}`") for n in tests], "test", "n")
+
+
+def _mixed_addresses(t: Tables) -> DataFrame:
+    """An address per event: IPv4, for every third IPv6, now and then none."""
+    user, event = F.col("user_id"), F.col("event_id")
+    four = F.concat_ws(".", F.lit("10"), *[x.cast("string") for x in (user % 64, event % 32, F.floor(event / 32) % 256)])
+    six = F.concat(F.lit("2001:db8:"), F.lower(F.hex(user % 64)), F.lit("::"), F.lower(F.hex(event % 4096)))
+    text = F.when(event % 101 == 0, F.lit("n/a")).when(event % 3 == 0, six).otherwise(four)
+    return t("events").select("event_id", text.alias("client"))
+
+
+def _block_table(t: Tables) -> DataFrame:
+    """Blocks of all sizes: regions hold nations, these customers and suppliers; parts are single hosts."""
+    hexed = lambda c: F.lower(F.hex(F.col(c).cast("long")))
+    text = lambda c, m=256: (F.col(c) % m).cast("string")
+    dotted = lambda *p: F.concat(F.concat_ws(".", F.lit("10"), *p[:-1]), F.lit(p[-1]))
+    zero = F.lit("0")
+    return (
+        t("region").where("r_regionkey < 2").select(dotted(F.col("r_regionkey") * 16, zero, zero, "/12").alias("block"), F.col("r_name").alias("owner"))
+        .union(t("region").where("r_regionkey = 4").select(F.lit("2001:db8::/32"), "r_name"))
+        .union(t("nation").select(dotted(text("n_nationkey"), zero, zero, "/16"), "n_name"))
+        .union(t("nation").select(F.concat(F.lit("2001:db8:"), hexed("n_nationkey"), F.lit("::/48")), "n_name"))
+        .union(t("customer").where("c_custkey % 2 = 0").select(dotted(text("c_custkey", 64), text("c_nationkey"), zero, "/24"), F.concat(F.lit("customer "), text("c_custkey", 64), F.lit(" "), text("c_nationkey"))).distinct())
+        .union(t("supplier").select(F.concat(F.lit("2001:DB8:"), hexed("s_nationkey"), F.lit(":0:0:0:0:"), F.lower(F.hex(F.col("s_suppkey").cast("long") % 4096)), F.lit("/124")), F.concat(F.lit("supplier "), hexed("s_nationkey"), F.lit(" "), F.floor(F.col("s_suppkey") % 4096 / 16).cast("string"))))
+        .union(t("part").select(dotted(text("p_partkey", 64), text("p_partkey", 32), text("p_partkey", 251), ""), F.concat(F.lit("part "), text("p_partkey", 64), F.lit(" "), text("p_partkey", 32), F.lit(" "), text("p_partkey", 251))))
+    )
+
+
+_BLOCKS_SQL = """
+    WITH a AS (SELECT event_id, CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 6 ELSE 4 END AS family,
+        CASE WHEN event_id % 3 = 0 THEN (536939960::HUGEINT << 96) + ((user_id % 64)::HUGEINT << 80) + event_id % 4096
+          ELSE (167772160 + user_id % 64 * 65536 + event_id % 32 * 256 + event_id // 32 % 256)::HUGEINT END AS address FROM events),
+    b AS (
+      SELECT 4 AS family, 12 AS length, (167772160 + r_regionkey * 16 * 65536)::HUGEINT AS low, r_name AS owner FROM region WHERE r_regionkey < 2
+      UNION ALL SELECT 6, 32, 536939960::HUGEINT << 96, r_name FROM region WHERE r_regionkey = 4
+      UNION ALL SELECT 4, 16, (167772160 + n_nationkey * 65536)::HUGEINT, n_name FROM nation
+      UNION ALL SELECT 6, 48, (536939960::HUGEINT << 96) + (n_nationkey::HUGEINT << 80), n_name FROM nation
+      UNION ALL SELECT 4, 24, (167772160 + c_custkey % 64 * 65536 + c_nationkey * 256)::HUGEINT, 'customer ' || c_custkey % 64 || ' ' || c_nationkey FROM customer WHERE c_custkey % 2 = 0
+      UNION ALL SELECT 6, 124, (536939960::HUGEINT << 96) + (s_nationkey::HUGEINT << 80) + s_suppkey % 4096 // 16 * 16, 'supplier ' || printf('%x', s_nationkey) || ' ' || s_suppkey % 4096 // 16 FROM supplier
+      UNION ALL SELECT 4, 32, (167772160 + p_partkey % 64 * 65536 + p_partkey % 32 * 256 + p_partkey % 251)::HUGEINT, 'part ' || p_partkey % 64 || ' ' || p_partkey % 32 || ' ' || p_partkey % 251 FROM part),
+    held AS (SELECT event_id, arg_max(owner, length) AS owner FROM a JOIN b ON a.family = b.family AND address >= low
+      AND address < low + (1::HUGEINT << (CASE WHEN a.family = 4 THEN 32 ELSE 128 END - length)) GROUP BY 1)
+"""
+
+
+@query("filter_ip_blocks", _BLOCKS_SQL + " SELECT event_id, owner FROM events LEFT JOIN held USING (event_id)")
+def filter_ip_blocks(t: Tables) -> DataFrame:
+    """The owner of the longest block that holds each event's address, from a table of blocks of both families."""
+    return longest_blocks(_mixed_addresses(t), "client", _block_table(t), "block").select("event_id", "owner")
+
+
+@query(
+    "filter_ip_families",
+    _BLOCKS_SQL
+    + """
+    SELECT 'in blocks' AS test, count(*)::BIGINT AS n FROM a WHERE family = 4 AND address BETWEEN 167772160 AND 167837695 OR family = 6 AND address >> 96 = 536939960
+    UNION ALL SELECT 'after block', count(*) FROM a WHERE family = 6 OR family = 4 AND address > 167837695
+    UNION ALL SELECT 'in no known block', count(*) FROM events ANTI JOIN held USING (event_id)
+    """,
+)
+def filter_ip_families(t: Tables) -> DataFrame:
+    rows, client = _mixed_addresses(t), F.col("client")
+    tests = {
+        "in blocks": network.text_address_filter(client, "IN", ["10.0.0.0/16", "2001:db8::/32"]),
+        "after block": network.text_address_filter(client, ">", ["10.0.0.0/16"]),
+    }
+    counts = rows.agg(*[F.count_if(c).alias(n) for n, c in tests.items()]).unpivot([], [F.col(f"`{n}`") for n in tests], "test", "n")
+    outside = longest_blocks(rows, "client", _block_table(t), "block", "anti")
+    return counts.union(outside.agg(F.lit("in no known block").alias("test"), F.count(F.lit(1)).alias("n")))
