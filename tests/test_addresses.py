@@ -55,7 +55,7 @@ def given(spark, n=300):
     rng = random.Random(3)
     some = [str(ipaddress.IPv4Address(0x0A000000 + rng.getrandbits(12))) for _ in range(n // 2)]
     some += [str(ipaddress.IPv6Address(0x20010DB8 << 96 | rng.getrandbits(12))) for _ in range(n // 2)]
-    rows = [(i, a) for i, a in enumerate([*some, *some[:40], *["10.0.0.7"] * 50, None, None, "none", "10.0.0"])]
+    rows = [(i, a) for i, a in enumerate([*some, *some[:40], *["10.0.0.7"] * 50, *[f"192.168.0.{i}" for i in range(30)], None, None, "none", "10.0.0"])]
     blocks = [f"10.0.{rng.randint(0, 15)}.{rng.randint(0, 255)}/{rng.randint(20, 32)}" for _ in range(60)]
     blocks += [f"2001:db8::{rng.getrandbits(12):x}/{rng.randint(112, 128)}" for _ in range(60)] + ["10.0.0.0/22", "10.0.0.0/22", "bad", None]
     table = [(b, f"v{i}") for i, b in enumerate(blocks)]
