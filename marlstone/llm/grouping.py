@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,14 +72,15 @@ def crowded(buckets: DataFrame) -> DataFrame:
     return buckets.join(full, "key").drop("key").withColumnRenamed("__set", "key").distinct()
 
 
-def linked(members: DataFrame, test: Callable[[DataFrame], DataFrame], by_degree: bool = True) -> DataFrame:
+def linked(members: DataFrame, test: Callable[[DataFrame], DataFrame], by_degree: bool = True, rest: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Component labels from the verified links between ids that share a key.
 
     ``members`` has ``key``, ``id`` and ``sig`` (what the test needs of an id),
     each key and id once.  ``test`` is given rows ``group``, ``id``, ``sig``,
     ``asks`` and must find, in each group, all links of the ids that ask, among
     themselves and with those that do not; it returns pairs ``a``, ``b`` that
-    connect what these links connect.
+    connect what these links connect.  ``rest`` does the same for what is left
+    after the heads, where most ids of a key may ask; without it ``test`` does.
 
     Not all pairs of a key are tried.  First every id is tried against one head
     of its key, the id that shares most keys with others (without
@@ -105,14 +107,14 @@ def linked(members: DataFrame, test: Callable[[DataFrame], DataFrame], by_degree
     rows = keep_on_disk(still.select("group", "id", "sig", (F.col("comp") != F.col("group")).alias("asks")).distinct(), "open")
     if rows.isEmpty():
         return label
-    return components(found.union(test(rows)))
+    return components(found.union((rest or test)(rows)))
 
 
-def in_blocks(rows: DataFrame, most: int, weight: int) -> DataFrame:
+def in_blocks(rows: DataFrame, most: int, weight: int, extra: tuple[str, ...] = ()) -> DataFrame:
     """Deal the ids of each group into blocks that together hold every pair with an id that asks.
 
     ``rows`` has ``group``, ``id``, ``asks`` and ``sig``, its size; the result
-    has ``block`` instead of the size.  An id goes to as many blocks as there are stretches of ``most``
+    has ``block`` instead of the size, and the columns ``extra``.  An id goes to as many blocks as there are stretches of ``most``
     ids (or of a total size of ``weight``) on the other side, so what one task
     holds is bounded whatever the size of a group.
     """
@@ -127,4 +129,37 @@ def in_blocks(rows: DataFrame, most: int, weight: int) -> DataFrame:
     answers = F.transform(upto(F.col("__a")), lambda k: block("across", k, own))
     # One id that asks alone, as in a star, has nobody to be tried against on its own side.
     asked = F.when(F.col("__n") > 1, F.concat(across, among)).otherwise(across)
-    return dealt.select("group", "id", "asks", F.explode(F.when(F.col("asks"), asked).otherwise(answers)).alias("block"))
+    return dealt.select("group", "id", "asks", *extra, F.explode(F.when(F.col("asks"), asked).otherwise(answers)).alias("block"))
+
+
+def by_block(rows: DataFrame, work: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """``work`` on the blocks of ``in_blocks``, many small ones at a time.
+
+    It is given whole blocks one after another and the places at which they
+    begin (and the last ends).  What is held is one block and a batch.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def solve(table: pa.Table, part: np.ndarray) -> Iterator[pa.RecordBatch]:
+            begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            yield from work(table, np.append(begins, len(part))).to_batches()
+
+        for batch in batches:
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            part = table["__part"].to_numpy()
+            other = np.flatnonzero(part != part[-1]) if len(part) else []
+            if len(other):
+                cut = int(other[-1]) + 1
+                yield from solve(table.slice(0, cut), part[:cut])
+                table = table.slice(cut)
+            held = table.to_batches()
+        if held:
+            table = pa.Table.from_batches(held)
+            yield from solve(table, table["__part"].to_numpy())
+
+    # Blocks are told apart by 64 bits of their names; two that agree are one, with more pairs than needed.
+    named = rows.withColumn("__part", F.xxhash64("group", "block")).drop("block")
+    return named.repartition("__part").sortWithinPartitions("__part").mapInArrow(run, schema)
