@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from marlstone.llm import bpe, language, line_dedup, near_dedup, packing, quality, secrets, textbytes, token_counts, url_filter
+from marlstone.llm import bpe, edits, language, line_dedup, near_dedup, packing, quality, secrets, textbytes, token_counts, url_filter
 from marlstone.llm import fingerprints as fp
 from marlstone.llm.grouping import components
 
@@ -34,15 +34,9 @@ def by_id(df):
 # --- 1 -----------------------------------------------------------------------
 
 
-def print_of(form):
-    data = form.encode()
-    _, _, hashes = textbytes.word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]), line_dedup._WORD_BYTES, line_dedup._FOLD)
-    return brute.simhash([int(h) for h in hashes])
-
-
 def test_line_dedup(docs, rows):
     got = by_id(line_dedup.clean(docs))
-    want = brute.clean_lines([(r[0], r[1]) for r in rows], print_of)
+    want = brute.clean_lines([(r[0], r[1]) for r in rows])
     assert {i: r["text"] for i, r in got.items()} == {r[0]: t for r, t in zip(rows, want)}
     assert any(t != r[1] for r, t in zip(rows, want))
     assert list(next(iter(got.values())).asDict()) == docs.columns
@@ -59,7 +53,7 @@ def test_line_dedup_of_drifting_lines(spark):
             line[k] = "".join(rng.choices("abcdefgh", k=6))
     data = [(k, x) for k, x in enumerate(lines + lines[:20])]
     got = by_id(line_dedup.clean(spark.createDataFrame(data, "doc_id bigint, text string")))
-    want = brute.clean_lines(data, print_of)
+    want = brute.clean_lines(data)
     assert [got[k]["text"] for k, _ in data] == want
     assert 20 < sum(not t for t in want) < 80
 
@@ -67,7 +61,31 @@ def test_line_dedup_of_drifting_lines(spark):
 @settings(max_examples=500, deadline=None)
 @given(st.text("ab é", max_size=24), st.text("ab é", max_size=24), st.integers(0, 12))
 def test_edits_at_most(a, b, most):
-    assert line_dedup.edits_at_most(a, b, most) == (brute.levenshtein(a, b) <= most)
+    assert edits.edits_at_most(a, b, most) == (brute.levenshtein(a, b) <= most)
+
+
+def test_many_pairs_at_a_time(monkeypatch):
+    """Texts of many sizes, each pair as often near as far by a little."""
+    rng = random.Random(1)
+    texts = []
+    for _ in range(150):
+        text = "".join(rng.choices("ab cdé", k=rng.choice([1, 5, 20, 63, 64, 65, 127, 128, 129, 150, 200])))
+        other = [rng.choice("abc 日") if rng.random() < 0.15 else c for c in text if rng.random() < 0.9]
+        texts += [text, "".join(other) or "x"]
+    x = np.array([*range(0, 300, 2), *(rng.randrange(300) for _ in range(200))])
+    y = np.array([*range(1, 300, 2), *(rng.randrange(300) for _ in range(200))])
+    far = np.array([brute.levenshtein(texts[i], texts[j]) for i, j in zip(x, y)])
+    for few in (1, 10**9):
+        monkeypatch.setattr(edits, "_FEW", few)
+        for _ in range(4):
+            most = np.maximum(0, far + np.array(rng.choices(range(-2, 3), k=len(far))))
+            assert (edits.pairs_within(texts, x, y, most) == (far <= most)).all()
+    long = [" ".join(rng.choices(["the", "of", "and", "tion", "ing"], k=700)) for _ in range(4)]
+    long += [t.replace("tion", "tain", 40) for t in long]
+    pairs = [(i, j) for i in range(8) for j in range(i)]
+    x, y = np.array(pairs).T
+    near = edits.pairs_within(long, x, y, np.full(len(x), 200))
+    assert near.tolist() == [brute.levenshtein(long[i], long[j]) <= 200 for i, j in pairs] and 4 <= near.sum() < len(x)
 
 
 def test_line_dedup_odd(odd, nothing):
