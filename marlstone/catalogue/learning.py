@@ -586,22 +586,49 @@ def matrix_svd(t: Tables) -> DataFrame:
     return ln.singular_values(t("embeddings"), "embedding", 5)[0]
 
 
-@query("stream_ml")
+def _centres_sql(batches: int, decay: float) -> str:
+    """Every batch moves the centres of the one before, written out."""
+    steps = [
+        "v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings)",
+        "c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, x AS centre, 0.0::DOUBLE AS weight FROM v ORDER BY vec_id LIMIT 3)",
+    ]
+    for i in range(batches):
+        steps += [
+            f"a{i} AS (SELECT vec_id, any_value(x) AS x, arg_min(cluster, list_sum(list_transform(list_zip(x, centre), lambda p: pow(p[1] - p[2], 2)))) AS cluster FROM v, c{i} WHERE vec_id % {batches} = {i} GROUP BY vec_id)",
+            f"s{i} AS (SELECT cluster, p, sum(x[p]) AS s, count(*) AS n FROM (SELECT cluster, x, unnest(range(1, len(x) + 1)) AS p FROM a{i}) GROUP BY 1, 2)",
+            f"m{i} AS (SELECT cluster, list(s ORDER BY p) AS s, any_value(n) AS n FROM s{i} GROUP BY 1)",
+            f"c{i + 1} AS MATERIALIZED (SELECT c.cluster, CASE WHEN m.n IS NULL THEN c.centre ELSE list_transform(list_zip(c.centre, m.s), lambda p: (p[1] * weight * {decay} + p[2]) / (weight * {decay} + m.n)) END AS centre, weight * {decay} + coalesce(m.n, 0) AS weight FROM c{i} c LEFT JOIN m{i} m USING (cluster))",
+        ]
+    return f"WITH {', '.join(steps)} SELECT cluster::INTEGER AS cluster, list_transform(centre, lambda x: round(x, 6)) AS centre, round(weight, 6) AS weight FROM c{batches}"
+
+
+@query("stream_ml", _centres_sql(4, 0.9))
 def stream_ml(t: Tables) -> DataFrame:
-    """Centres of streaming k-means over the embeddings, landed as four files."""
+    """Centres of streaming k-means over the embeddings, landed in four parts."""
     src = t("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
     start = ln.seeds(src, "v", "vec_id", 3)
-    stream = runner.stream_files(t.spark, runner.land(src, "vec_id", 4, "vectors"), 1)
+    stream = runner.stream_files(t.spark, runner.land_parts(src, F.col("vec_id") % 4, 4, 2, "vectors"), 2)
     centres = ln.stream_k_means(stream, "v", start, 0.9, "centres")
-    return t.spark.createDataFrame([(i, c) for i, c in enumerate(centres)], "cluster int, centre array<double>")
+    return centres.select("cluster", F.transform("centre", lambda x: F.round(x, 6)).alias("centre"), F.round("weight", 6).alias("weight"))
+
+
+def _regression_sql(batches: int, steps: int, rate: float) -> str:
+    """Gradient steps over every batch, written out."""
+    made = ["d AS MATERIALIZED (SELECT l_orderkey, (l_quantity / 50)::DOUBLE AS x, (l_extendedprice / 100000)::DOUBLE AS y FROM lineitem)", "w0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
+    for i in range(batches * steps):
+        gap = "a + b * x - y"
+        made.append(
+            f"w{i + 1} AS MATERIALIZED (SELECT any_value(a) - {rate} * avg({gap}) AS a, any_value(b) - {rate} * avg(({gap}) * x) AS b FROM (SELECT * FROM d WHERE l_orderkey % {batches} = {i // steps}), w{i})"
+        )
+    last = f"w{batches * steps}"
+    return f"WITH {', '.join(made)} SELECT 'intercept' AS feature, round(a, 6) AS weight FROM {last} UNION ALL SELECT 'x', round(b, 6) FROM {last}"
 
 
-@query("stream_ml_regression")
+@query("stream_ml_regression", _regression_sql(3, 5, 0.5))
 def stream_ml_regression(t: Tables) -> DataFrame:
     src = t("lineitem").select("l_orderkey", (F.col("l_quantity") / 50).alias("x"), (F.col("l_extendedprice") / 100000).alias("y"))
-    stream = runner.stream_files(t.spark, runner.land(src, "l_orderkey", 3, "pairs"), 1)
-    weights = ln.stream_regression(stream, ["x"], "y", 0.5, 5, "regression")
-    return t.spark.createDataFrame([("intercept", float(weights[0])), ("x", float(weights[1]))], "feature string, weight double")
+    stream = runner.stream_files(t.spark, runner.land_parts(src, F.col("l_orderkey") % 3, 3, 2, "pairs"), 2)
+    return ln.stream_regression(stream, ["x"], "y", 0.5, 5, "regression").select("feature", F.round("weight", 6).alias("weight"))
 
 
 def _descent_sql(rounds: int, rate: float) -> str:

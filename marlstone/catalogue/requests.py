@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.postprocess import contribution
 from ..plans import builder
+from ..plans.free_sql import run_free_sql
 from ..plans.parameters import array_test, run_template
 from ..plans.request import Dataset, Dim, Filter, Metric, Request, Rule
 from ..plans.result_cache import ResultCache
@@ -375,6 +376,40 @@ def row_level_security(t: Tables) -> DataFrame:
     return builder.compile_request(data, Request(columns=["c_mktsegment"], metrics=[Metric("n", "COUNT", "*")]), NOW)
 
 
+@query(
+    "free_sql_security",
+    """
+    WITH c AS (SELECT * FROM customer WHERE (c_nationkey < 5 OR c_nationkey > 20) AND c_acctbal > 0),
+    o AS (SELECT * FROM orders WHERE o_orderstatus <> 'P')
+    SELECT c_mktsegment, count(*)::BIGINT AS n_orders, count(DISTINCT c_custkey)::BIGINT AS n_customers,
+      (SELECT count(*) FROM c)::BIGINT AS n_visible, (SELECT count(*) FROM o WHERE o_custkey NOT IN (SELECT c_custkey FROM c))::BIGINT AS n_hidden
+    FROM c JOIN o ON c_custkey = o_custkey WHERE EXISTS (SELECT 1 FROM o x WHERE x.o_custkey = c_custkey AND x.o_orderstatus = 'F')
+    GROUP BY 1
+    """,
+)
+def free_sql_security(t: Tables) -> DataFrame:
+    """A user's own text: joins, aliases, subqueries and table expressions all see the rows of the roles."""
+    customer = Dataset(
+        t("customer"),
+        rules=[
+            Rule("c_nationkey < 5", frozenset({"north"}), group="nation"),
+            Rule("c_nationkey > 20", frozenset({"south"}), group="nation"),
+            Rule("c_acctbal > 0", frozenset({"admin"}), kind="base"),
+        ],
+        roles=["north", "south"],
+    )
+    orders = Dataset(t("orders"), rules=[Rule("o_orderstatus <> 'P'", frozenset({"admin"}), kind="base")], roles=["north"])
+    text = """
+        -- open and filled orders by segment
+        WITH bought AS (SELECT a.c_mktsegment, a.c_custkey, b.o_orderkey FROM customer a JOIN ORDERS b ON a.c_custkey = b.o_custkey
+          WHERE EXISTS (SELECT 1 FROM orders x WHERE x.o_custkey = a.c_custkey AND x.o_orderstatus = 'F'))
+        SELECT c_mktsegment, count(*) AS n_orders, count(DISTINCT c_custkey) AS n_customers, (SELECT count(*) FROM customer) AS n_visible,
+          (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS n_hidden
+        FROM bought GROUP BY c_mktsegment
+    """
+    return run_free_sql(t.spark, text, {"customer": customer, "orders": orders})
+
+
 @query(
     "parameterised_sql",
     """

@@ -276,6 +276,80 @@ def stream_join_left(t: Tables) -> DataFrame:
     return t.spark.read.parquet(runner.run_append(stream, "joined-left"))
 
 
+_SIDES = """
+    WITH v AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'view'), p AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'purchase'),
+    mark AS (SELECT date_trunc('millisecond', least(max(ts) FILTER (WHERE event_type = 'view'), max(ts) FILTER (WHERE event_type = 'purchase'))) - INTERVAL 1 HOUR AS ts FROM events)
+"""
+
+
+def _views_and_buys(t: Tables) -> tuple[DataFrame, DataFrame]:
+    def side(kind: str, name: str, time: str) -> DataFrame:
+        return events(t).filter(F.col("event_type") == kind).select("user_id", F.col("ts").alias(time), F.col("event_id").alias(name)).withWatermark(time, "1 hour")
+
+    return side("view", "view_id", "viewed"), side("purchase", "purchase_id", "bought")
+
+
+@query(
+    "stream_join_right",
+    _SIDES
+    + """
+    SELECT v.event_id AS view_id, p.event_id AS purchase_id FROM v RIGHT JOIN p ON v.user_id = p.user_id AND p.ts >= v.ts AND p.ts <= v.ts + INTERVAL 6 HOUR
+    WHERE v.event_id IS NOT NULL OR p.ts < (SELECT ts FROM mark)
+    """,
+)
+def stream_join_right(t: Tables) -> DataFrame:
+    """Purchases without a view before them appear once, when the watermark has passed them."""
+    views, buys = _views_and_buys(t)
+    stream = jobs.join_within(views, buys, "user_id", "viewed", "bought", 6 * 3600, "right_outer").select("view_id", "purchase_id")
+    return t.spark.read.parquet(runner.run_append(stream, "joined-right"))
+
+
+@query(
+    "stream_join_full",
+    _SIDES
+    + """
+    SELECT coalesce(v.user_id, p.user_id) AS user_id, v.event_id AS view_id, p.event_id AS purchase_id
+    FROM v FULL JOIN p ON v.user_id = p.user_id AND p.ts >= v.ts AND p.ts <= v.ts + INTERVAL 6 HOUR
+    WHERE v.event_id IS NOT NULL AND p.event_id IS NOT NULL OR p.event_id IS NULL AND v.ts + INTERVAL 6 HOUR < (SELECT ts FROM mark)
+      OR v.event_id IS NULL AND p.ts < (SELECT ts FROM mark)
+    """,
+)
+def stream_join_full(t: Tables) -> DataFrame:
+    """Views and purchases, each also alone."""
+    views, buys = _views_and_buys(t)
+    stream = jobs.join_within(views, buys, "user_id", "viewed", "bought", 6 * 3600, "full_outer").select("user_id", "view_id", "purchase_id")
+    return t.spark.read.parquet(runner.run_append(stream, "joined-full"))
+
+
+def _ab_sql(parts: int, peace: int, window: int) -> str:
+    first = f"greatest({peace}, b - {window} + 1)" if window else str(peace)
+    return f"""
+    WITH s AS (SELECT b, event_type, count(*) AS n, avg(value) AS m, var_samp(value) AS v FROM events, (SELECT unnest(range({peace}, {parts})) AS b)
+      WHERE event_id % {parts} BETWEEN {first} AND b GROUP BY 1, 2)
+    SELECT a.b AS batch, round((a.m - c.m) / sqrt(a.v / a.n + c.v / c.n), 6) AS t_statistic,
+      round(pow(a.v / a.n + c.v / c.n, 2) / (pow(a.v / a.n, 2) / (a.n - 1) + pow(c.v / c.n, 2) / (c.n - 1)), 3) AS freedom, a.n AS n_first, c.n AS n_second
+    FROM s a JOIN s c ON a.b = c.b AND a.event_type = 'click' AND c.event_type = 'view'
+    """
+
+
+def _ab(t: Tables, window: int) -> DataFrame:
+    path = runner.land_parts(t("events"), F.col("event_id") % 6, 6, 2, "ab")
+    out = jobs.ab_test(runner.stream_files(t.spark, path, 2), "event_type", "value", "click", "view", 1, window, "ab-window")
+    return out.select("batch", F.round("t_statistic", 6).alias("t_statistic"), F.round("freedom", 3).alias("freedom"), "n_first", "n_second")
+
+
+@query("stream_ab_window", _ab_sql(6, 1, 2))
+def stream_ab_window(t: Tables) -> DataFrame:
+    """A test after every batch but the first, over the last two."""
+    return _ab(t, 2)
+
+
+@query("stream_ab_growing", _ab_sql(6, 1, 0))
+def stream_ab_growing(t: Tables) -> DataFrame:
+    """A test after every batch but the first, over all since."""
+    return _ab(t, 0)
+
+
 @query(
     "stream_ab_test",
     """

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import materialise
+from ..session import materialise, scratch_path
 from .ordered import null_safe_join
 
 
@@ -229,44 +230,82 @@ def update_centres(
     return centres, weights
 
 
-def stream_k_means(
-    stream: DataFrame, column: str, centres: list[list[float]], decay: float, label: str
-) -> list[list[float]]:
-    """Centres after every available micro-batch."""
+def stream_state(
+    stream: DataFrame, start: DataFrame, step: Callable[[DataFrame, list[Row]], DataFrame], name: str,
+    path: str | None = None, checkpoint: str | None = None,
+) -> DataFrame:
+    """The state after the last available micro-batch; ``step(batch, rows of the state before)`` gives the next.
+
+    ``start`` is the state before the first batch, a few rows.  The state after
+    batch n is written to a folder of its own, and the batch counts as done
+    only after that.  Batch n always reads the state after n - 1: repeated
+    after a stop it starts from there again, so no row counts twice.  With the
+    same ``path`` and ``checkpoint`` another driver goes on where one stopped.
+    """
     from ..streaming.runner import run_batches
 
-    state = {"centres": centres, "weights": [0.0] * len(centres)}
+    spark = stream.sparkSession
+    path = path or scratch_path(spark, name)
+
+    def after(number: int) -> DataFrame:
+        return spark.read.schema(start.schema).parquet(f"{path}/batch={number}") if number >= 0 else start
 
     def each(batch: DataFrame, number: int) -> None:
-        state["centres"], state["weights"] = update_centres(batch, column, state["centres"], state["weights"], decay)
+        made = step(batch, after(number - 1).collect())
+        made.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    run_batches(stream, each, name, checkpoint=checkpoint)
+    written = spark.read.schema(T.StructType([*start.schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    newest = written.agg(F.max("batch")).first()[0]
+    return after(-1 if newest is None else newest)
+
+
+_CENTRES = "cluster int, centre array<double>, weight double"
+
 
-    run_batches(stream, each, label)
-    return state["centres"]
+def stream_k_means(
+    stream: DataFrame, column: str, centres: list[list[float]], decay: float, label: str, path: str | None = None, checkpoint: str | None = None
+) -> DataFrame:
+    """``cluster``, ``centre`` and ``weight`` after every available micro-batch; restarts as in ``stream_state``."""
+    spark = stream.sparkSession
+
+    def rows(centres: list[list[float]], weights: list[float]) -> DataFrame:
+        return spark.createDataFrame([(i, [float(v) for v in c], float(w)) for i, (c, w) in enumerate(zip(centres, weights))], _CENTRES)
+
+    def step(batch: DataFrame, before: list[Row]) -> DataFrame:
+        ordered = sorted(before, key=lambda r: r["cluster"])
+        return rows(*update_centres(batch, column, [r["centre"] for r in ordered], [r["weight"] for r in ordered], decay))
+
+    return stream_state(stream, rows(centres, [0.0] * len(centres)), step, label, path, checkpoint)
 
 
 def stream_regression(
-    stream: DataFrame, features: Sequence[str], label: str, rate: float, steps: int, name: str, logistic: bool = False
-) -> list[float]:
-    """Linear or logistic weights moved by gradient steps over every micro-batch."""
-    from ..streaming.runner import run_batches
+    stream: DataFrame, features: Sequence[str], label: str, rate: float, steps: int, name: str, logistic: bool = False,
+    path: str | None = None, checkpoint: str | None = None,
+) -> DataFrame:
+    """``place``, ``feature`` and ``weight`` of a linear or logistic model moved by gradient steps over every micro-batch.
 
+    A batch without rows leaves them as they are; restarts as in ``stream_state``.
+    """
     names = list(features)
-    state = {"w": [0.0] * (len(names) + 1)}
+    spark = stream.sparkSession
 
-    def each(batch: DataFrame, number: int) -> None:
+    def rows(weights: list[float]) -> DataFrame:
+        return spark.createDataFrame([(i, n, float(w)) for i, (n, w) in enumerate(zip(["intercept", *names], weights))], "place int, feature string, weight double")
+
+    def step(batch: DataFrame, before: list[Row]) -> DataFrame:
+        weights = [r["weight"] for r in sorted(before, key=lambda r: r["place"])]
         data = batch.select(*[F.col(c).cast("double").alias(c) for c in names], F.col(label).cast("double").alias("__y"))
         for _ in range(steps):
-            w = state["w"]
-            score = sum((F.col(c) * v for c, v in zip(names, w[1:])), F.lit(w[0]))
-            guess = 1.0 / (1.0 + F.exp(-score)) if logistic else score
-            gap = guess - F.col("__y")
+            score = sum((F.col(c) * v for c, v in zip(names, weights[1:])), F.lit(weights[0]))
+            gap = (1.0 / (1.0 + F.exp(-score)) if logistic else score) - F.col("__y")
             row = data.agg(F.avg(gap).alias("g0"), *[F.avg(gap * F.col(c)).alias(f"g{i + 1}") for i, c in enumerate(names)]).first()
             if row["g0"] is None:
-                return
-            state["w"] = [v - rate * row[f"g{i}"] for i, v in enumerate(w)]
+                break
+            weights = [v - rate * row[f"g{i}"] for i, v in enumerate(weights)]
+        return rows(weights)
 
-    run_batches(stream, each, name)
-    return state["w"]
+    return stream_state(stream, rows([0.0] * (len(names) + 1)), step, name, path, checkpoint)
 
 
 def seeds(df: DataFrame, column: str, order: str, k: int) -> list[list[float]]:

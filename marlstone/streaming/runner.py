@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,17 @@ def land(df: DataFrame, order: str, files: int, label: str) -> str:
     return path
 
 
+def land_parts(df: DataFrame, part: Column, parts: int, files: int, label: str) -> str:
+    """Write the rows of part 0, 1, ... one after another, ``files`` files each.
+
+    Read with as many files per batch, a micro-batch is one part.
+    """
+    path = scratch_path(df.sparkSession, label)
+    for k in range(parts):
+        df.where(part == k).repartition(files).write.mode("append").parquet(path)
+    return path
+
+
 def event_time(df: DataFrame, column: str, delay: str | None = None) -> DataFrame:
     """Cast a wall-clock column so that it can carry a watermark."""
     out = df.withColumn(column, F.col(column).cast("timestamp"))

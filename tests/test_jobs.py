@@ -221,14 +221,14 @@ def test_streaming_centres_converge(spark):
     rows = [(i, [c + rnd.gauss(0, 0.1), -c + rnd.gauss(0, 0.1)]) for i, c in enumerate([0.0, 5.0] * 100)]
     df = spark.createDataFrame(rows, "i long, v array<double>")
     stream = runner.stream_files(spark, runner.land(df, "i", 4, "blobs"), 1)
-    centres = sorted(learning.stream_k_means(stream, "v", [[1.0, 0.0], [4.0, -3.0]], 0.9, "blob-centres"))
+    centres = sorted(r["centre"] for r in learning.stream_k_means(stream, "v", [[1.0, 0.0], [4.0, -3.0]], 0.9, "blob-centres").collect())
     assert centres[0] == pytest.approx([0, 0], abs=0.1) and centres[1] == pytest.approx([5, -5], abs=0.1)
 
 
 def test_streaming_line(spark):
     df = spark.range(400).select("id", (F.rand(1) * 2 - 1).alias("x")).select("id", "x", (2 * F.col("x") + 1).alias("y"))
     stream = runner.stream_files(spark, runner.land(df, "id", 3, "line"), 1)
-    w = learning.stream_regression(stream, ["x"], "y", 0.8, 15, "line-weights")
+    w = [r["weight"] for r in learning.stream_regression(stream, ["x"], "y", 0.8, 15, "line-weights").sort("place").collect()]
     assert w == pytest.approx([1.0, 2.0], abs=0.05)
 
 
