@@ -22,35 +22,33 @@ def stock(spark):
     return spark.createDataFrame(rows, "whole string, kind string, shelf string, item string, up long, down long, sparse long")
 
 
-def timeseries(spark, y=(1.0, 2.0, 3.0, 4.0), z=None):
-    days = ["2019-01-01", "2019-01-02", "2019-01-05", "2019-01-07"]
-    rows = [(day(d), label, v, *((z[i],) if z else ())) for i, (d, label, v) in enumerate(zip(days, "xyzq", y))]
+def timeseries(spark, y=(4.0, 1.0, 6.0, 2.0), z=None):
+    """Four days with gaps of one, two and four days between them."""
+    start = day("2021-03-01")
+    rows = [(start + dt.timedelta(days=2**i - 1), "klmn"[i], v, *((z[i],) if z else ())) for i, v in enumerate(y)]
     return spark.createDataFrame(rows, "ts timestamp_ntz, label string, y double" + (", z double" if z else ""))
 
 
-def physical(spark):
-    days = "01-03 02-04 03-07 04-12 05-11 06-13 07-15 08-18 09-20 10-22".split()
-    rows = [
-        (i, chr(97 + i), 1.0 + i / 10, None, day("2000-01-01") + dt.timedelta(days=i), day(f"2002-{d}")) for i, d in enumerate(days)
-    ]
-    return spark.createDataFrame(
-        rows, "col1 int, col2 string, col3 double, col4 string, col5 timestamp_ntz, col6 timestamp_ntz"
-    )
+FRUIT = "apple fig plum pear kiwi lime date quince melon grape lemon peach".split()
+
+
+def crates(spark):
+    """A crate of each fruit, packed every second day and sold every fifth."""
+    packed, sold = day("2021-03-01"), day("2021-06-01")
+    rows = [(i, name, 0.5 * i, None, packed + dt.timedelta(days=2 * i), sold + dt.timedelta(days=5 * i)) for i, name in enumerate(FRUIT)]
+    return spark.createDataFrame(rows, "crate int, fruit string, weight double, note string, packed timestamp_ntz, sold timestamp_ntz")
 
 
 def texts(spark):
-    values = [
-        "foo", "", None, "null", '"text in double quotes"', "'text in single quotes'", 'double quotes " in text',
-        "single quotes ' in text",
-    ]
-    return spark.createDataFrame([(v,) for v in values], "foo string")
-
-
-def metrics(spark):
-    rows = [("2019-01-01", "UK", 5, 1), ("2019-01-01", "US", 6, 2), ("2019-01-02", "UK", 7, 3), ("2019-01-02", "US", 8, 4)]
-    return spark.createDataFrame(
-        [(day(r[0]), *r[1:]) for r in rows], "dttm timestamp_ntz, country string, sum_metric long, count_metric long"
-    )
+    """Words that are easily taken for something else."""
+    values = ["tea", "", None, "null", '"in quotes"', "it's", 'half " way', "it''s"]
+    return spark.createDataFrame([(v,) for v in values], "word string")
+
+
+def visits(spark):
+    counts = {"NO": (2, 3), "PE": (7, 1)}
+    rows = [(day("2021-03-01") + dt.timedelta(days=d), land, n) for land, numbers in counts.items() for d, n in enumerate(numbers)]
+    return spark.createDataFrame(rows, "day timestamp_ntz, land string, visits long")
 
 
 def column(df, name, *order):

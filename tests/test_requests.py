@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from fixtures import physical, texts
+from fixtures import FRUIT, crates, texts
 from pyspark.sql import functions as F
 
 from marlstone.functions import grains, labels, network, timerange
@@ -23,26 +23,26 @@ def count(df, *filters, **options):
 
 def test_in_sentinels(spark):
     df = texts(spark)
-    for value, wanted in ((["<NULL>"], 1), ([None], 1), (["<empty string>"], 1), ([""], 1), (["foo", "", None, "null"], 4)):
-        assert count(df, Filter("foo", "IN", value)) == wanted
-    assert count(df, Filter("foo", "IN", ['"text in double quotes"', "single quotes ' in text"])) == 2
-    assert count(df, Filter("foo", "NOT IN", ["foo", None])) == 6
+    for value, wanted in ((["<NULL>"], 1), ([None], 1), (["<empty string>"], 1), ([""], 1), (["tea", "", None, "null"], 4)):
+        assert count(df, Filter("word", "IN", value)) == wanted
+    assert count(df, Filter("word", "IN", ['"in quotes"', "it's"])) == 2
+    assert count(df, Filter("word", "NOT IN", ["tea", None])) == 6
 
 
 def test_null_comparison(spark):
-    df = physical(spark)
-    assert count(df, Filter("col4", "==", None)) == 10
-    assert count(df, Filter("col4", "!=", None)) == 0
+    df = crates(spark)
+    assert count(df, Filter("note", "==", None)) == len(FRUIT)
+    assert count(df, Filter("note", "!=", None)) == 0
     with pytest.raises(RequestError):
-        count(df, Filter("col4", ">", None))
+        count(df, Filter("note", ">", None))
 
 
 def test_two_temporal_ranges(spark):
     filters = [
-        Filter("col5", "TEMPORAL_RANGE", "2000-01-05 : 2000-01-06"), Filter("col6", "TEMPORAL_RANGE", "2002-05-11 : 2002-05-12"),
+        Filter("packed", "TEMPORAL_RANGE", "2021-03-09 : 2021-03-11"), Filter("sold", "TEMPORAL_RANGE", "2021-06-18 : 2021-07-01"),
     ]
-    request = Request(columns=["col1", "col2"], metrics=None, filters=filters)
-    assert [tuple(r) for r in compile_request(Dataset(physical(spark)), request, NOW).collect()] == [(4, "e")]
+    request = Request(columns=["crate", "fruit"], metrics=None, filters=filters)
+    assert [tuple(r) for r in compile_request(Dataset(crates(spark)), request, NOW).collect()] == [(4, "kiwi")]
 
 
 def test_range_is_half_open(spark):
@@ -62,27 +62,27 @@ def test_long_list_as_table(spark):
 
 
 def test_errors(spark):
-    data = Dataset(physical(spark), metrics={"total": "sum(col3)"})
+    data = Dataset(crates(spark), metrics={"total": "sum(weight)"})
     for request in (
         Request(columns=["nope"], metrics=[COUNT]),
-        Request(columns=["col1"], metrics=["unknown"]),
-        Request(columns=["col1", "col1"], metrics=[COUNT]),
-        Request(columns=["col1"], metrics=[COUNT], series_columns=["col2"], series_limit=2),
+        Request(columns=["crate"], metrics=["unknown"]),
+        Request(columns=["crate", "crate"], metrics=[COUNT]),
+        Request(columns=["crate"], metrics=[COUNT], series_columns=["fruit"], series_limit=2),
         Request(metrics=[Metric("x", expr="(SELECT max(1))")]),
-        Request(metrics=[Metric("x", "MEDIANISH", "col1")]),
-        Request(metrics=[COUNT], filters=[Filter("col1", "ABOUT", 3)]),
+        Request(metrics=[Metric("x", "MEDIANISH", "crate")]),
+        Request(metrics=[COUNT], filters=[Filter("crate", "ABOUT", 3)]),
         Request(metrics=[COUNT], time_offsets=["1 year ago"]),
         Request(metrics=[COUNT], post_processing=[("nope", {})]),
     ):
         with pytest.raises(RequestError):
             compile_request(data, request, NOW)
-    assert count(physical(spark), Filter("not_there", "==", 1)) == 10
+    assert count(crates(spark), Filter("not_there", "==", 1)) == len(FRUIT)
 
 
 def test_where_must_be_one_expression(spark):
     with pytest.raises(Exception):
-        count(physical(spark), where="col1 = 1; DROP TABLE x")
-    assert count(physical(spark), where="col1 < 3 OR col2 = 'j'") == 4
+        count(crates(spark), where="crate = 1; DROP TABLE x")
+    assert count(crates(spark), where="crate < 3 OR fruit = 'peach'") == 4
 
 
 @pytest.mark.parametrize("text", ["DROP TABLE x", "SELECT 1; SELECT 2", "INSERT INTO x VALUES (1)", "CREATE TABLE x (i INT)"])
@@ -119,11 +119,11 @@ def test_row_security():
 
 def test_cache(spark, tmp_path):
     cache = ResultCache(spark, str(tmp_path))
-    data = Dataset(physical(spark))
+    data = Dataset(crates(spark))
     request = Request(metrics=[COUNT])
     first = cache.answer("p", data, request, NOW).collect()
     assert cache.answer("p", data, request, NOW).collect() == first and cache.hits == 1
-    other = Request(metrics=[COUNT], filters=[Filter("col1", ">", 3)])
+    other = Request(metrics=[COUNT], filters=[Filter("crate", ">", 5)])
     assert cache.answer("p", data, other, NOW).first()["n"] == 6 and cache.hits == 1
     assert request_key("a", request) != request_key("b", request)
     assert request_key("a", request, ("r",)) != request_key("a", request)
