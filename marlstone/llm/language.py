@@ -16,7 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -164,17 +164,25 @@ def _stretches(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 def training_rows(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """At most ``per_language`` windows of each language, chosen by a hash of the text.
+    """At most ``per_language`` different windows of each language, those with the smallest hashes.
 
     ``labelled`` has ``text`` and ``lang``; texts without letters are left out.
-    A text offers ``PER_DOCUMENT`` windows at places that its hash names.
+    A text offers ``PER_DOCUMENT`` windows at places that its hash names; copies
+    offer the same ones, which count once.
+
+    How many different texts a language has tells about where its smallest
+    hashes end, so a few more windows than are taken leave the tasks.
     """
+    known = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
+    texts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
+    cuts = [F.lit(x) for lang, n in texts.items() for x in (lang, min(2**64 - 1, 2**65 * per_language // (PER_DOCUMENT * max(1, n))) - 2**63)]
+    cut = F.create_map(*cuts)[F.col("lang")] if cuts else F.lit(0)
     room = F.greatest(F.length("text") - WINDOW // 2, F.lit(1))
-    offered = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).select(
-        "lang", "text", F.explode(F.sequence(F.lit(1), F.lit(PER_DOCUMENT))).alias("k")
-    )
-    parts = offered.select("lang", F.xxhash64("k", "text").alias("h"), F.substring("text", (F.lit(1) + F.pmod(F.xxhash64("text", "k"), room)).cast("int"), F.lit(WINDOW)).alias("part"))
-    by = Window.partitionBy("lang").orderBy("h", "part")
+    offered = known.select("lang", "text", cut.alias("cut"), F.explode(F.sequence(F.lit(1), F.lit(PER_DOCUMENT))).alias("k"))
+    chosen = offered.withColumn("h", F.xxhash64("k", "text")).where(F.col("h") <= F.col("cut"))
+    part = F.substring("text", (F.lit(1) + F.pmod(F.xxhash64("text", "k"), room)).cast("int"), F.lit(WINDOW))
+    parts = chosen.select("lang", "h", part.alias("part")).groupBy("lang", "h").agg(F.min("part").alias("part"))
+    by = Window.partitionBy("lang").orderBy("h")
     return parts.withColumn("place", F.row_number().over(by)).where(F.col("place") <= per_language).select("lang", "part")
 
 
@@ -189,7 +197,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Network:
     return train(x, y, languages)
 
 
-@cache
+@lru_cache(maxsize=1)
 def _reader(key: str, shared: Broadcast) -> Reader:
     return Reader(shared.value)
 

@@ -127,11 +127,14 @@ def _sketcher(width: int, rows: int, bands: int):
 
 
 def _shingle_sets(width: int):
+    """Sets of the texts whose words are those asked for (``own_one``, ``own_two``)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, one, two, made, bounds in _word_batches(batches, width):
+            asked = (batch.column("own_one").to_numpy() == one) & (batch.column("own_two").to_numpy() == two)
             made, bounds = _distinct(made, bounds)
             sets = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(made.view(np.int64))).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(one), pa.array(two), sets], ["doc_id", "one", "two", "members"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("many"), sets], ["id", "many", "members"]).filter(pa.array(asked))
 
     return run
 
@@ -185,10 +188,10 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int =
     body = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id bigint, one bigint, two bigint, n_shingles bigint, bands array<bigint>"
     sketch = keep_on_disk(body.mapInArrow(_sketcher(width, rows, bands), schema), "sketch")
-    ids = sketch.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("one", "two", "n_shingles")).alias("s"))
-    ids = ids.select("doc_id", "s.*")
-    classes = ids.where("n_shingles > 0").groupBy("one", "two").agg(F.min("doc_id").alias("id"))
-    classes = keep_on_disk(classes, "classes")
+    ids = sketch.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("one", "two", "n_shingles")).alias("s"), (F.count(F.lit(1)) > 1).alias("many"))
+    ids = ids.select("doc_id", "s.*", "many")
+    classes = ids.where("n_shingles > 0").groupBy("one", "two").agg(F.min(F.struct("doc_id", "many")).alias("least"))
+    classes = keep_on_disk(classes.select("one", "two", F.col("least.doc_id").alias("id"), "least.many"), "classes")
     heads = classes.select(F.col("id").alias("doc_id"), "one", "two")
     buckets = (
         sketch.join(heads, ["doc_id", "one", "two"], "left_semi")
@@ -196,9 +199,13 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int =
         .select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("sig"))
     )
     members = keep_on_disk(crowded(buckets), "members")
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = _perhaps(body, wanted).join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(width), "doc_id bigint, one bigint, two bigint, members array<bigint>")
-    sets = keep_on_disk(sets.join(heads, ["doc_id", "one", "two"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "members"), "sets")
+    wanted = classes.select(F.col("id").alias("doc_id"), F.col("one").alias("own_one"), F.col("two").alias("own_two"), "many").join(
+        members.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"
+    )
+    found = _perhaps(body, wanted.select("doc_id")).join(wanted, "doc_id").mapInArrow(_shingle_sets(width), "id bigint, many boolean, members array<bigint>")
+    kept = keep_on_disk(found, "sets")
+    # Only an id that comes more than once can have its set twice.
+    sets = kept.where("NOT many").select("id", "members").union(kept.where("many").select("id", "members").dropDuplicates(["id"]))
 
     def test(rows: DataFrame) -> DataFrame:
         blocks = in_blocks(rows, BLOCK_TEXTS, BLOCK_SHINGLES).join(sets, "id")

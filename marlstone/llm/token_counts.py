@@ -106,7 +106,12 @@ def frequent(docs: DataFrame, path: str, text: str = "text", size: int = TABLE)
 
 def _counter(path: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = _worker.get((path, shared.value[0])) or _worker.setdefault((path, shared.value[0]), _Lengths(path, shared.value[1]))
+        key = path, shared.value[0]
+        if key not in _worker:
+            # A worker keeps one table: that of the job before is of no more use.
+            _worker.clear()
+            _worker[key] = _Lengths(path, shared.value[1])
+        mine = _worker[key]
         for whole in batches:
             counts = []
             for texts in _texts([whole]):

@@ -317,9 +317,30 @@ def test_language_edges(odd, nothing, spark):
     assert language.predict(nothing, net).count() == 0
 
 
-def test_training_rows_are_cut_before_the_shuffle(tables):
-    plan = language.training_rows(tables("documents").select("text", "lang"))._jdf.queryExecution().executedPlan().toString()
-    assert plan.rindex("WindowGroupLimit") > plan.rindex("Exchange") > 0
+def test_training_rows_are_different_windows(spark):
+    """Copies of a text do not take the places of other texts."""
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(120)) for _ in range(300)]
+    rows = [(t, "xx") for t in texts] + [(texts[0], "xx")] * 3000 + [("short text", "yy"), ("12 34", "yy"), (None, "yy"), ("no label", None)]
+    got = language.training_rows(spark.createDataFrame(rows, "text string, lang string").repartition(6), 200).collect()
+    parts = [r["part"] for r in got if r["lang"] == "xx"]
+    assert len(parts) == 200 == len(set(parts)) and len({t for t in texts for p in parts if p in t}) > 80
+    assert {r["part"] for r in got if r["lang"] == "yy"} <= {"short text"[k:] for k in range(10)}
+
+
+def test_language_query_by_plain_windows(spark):
+    """Every prediction again: whole windows of the bytes, plain filters, the shares of their mean."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").limit(60)
+    net = language.fit(docs.select("text", "lang"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in language.predict(docs, net).collect():
+        data = np.frombuffer(texts[r["doc_id"]].encode(), np.uint8)
+        x, _ = language.windows(data, np.array([0, len(data)]))
+        plain = np.concatenate([language._responses(x, net.filters[w]).max(axis=1) for w in language.WIDTHS], axis=1)
+        mean = (np.maximum(plain, 0) @ net.dense + net.bias).mean(axis=0)
+        want = np.exp(mean - mean.max()) / np.exp(mean - mean.max()).sum()
+        if any(c.isalpha() for c in texts[r["doc_id"]]):
+            assert r["score"] == pytest.approx(want.max(), abs=1e-3) and want[net.languages.index(r["lang_pred"])] == pytest.approx(want.max(), abs=1e-3)
 
 
 def test_language_of_held_out_documents(spark):
@@ -425,7 +446,7 @@ def test_secret_spans(odd, nothing):
     added = 0
     for r in got:
         assert [tuple(s) for s in r["base"]] == brute.base_spans(r["text"])
-        spans = brute.all_spans(r["text"], secrets.CLASSES, secrets.ALLOWED, secrets.CANDIDATE, secrets.WINDOW)
+        spans = brute.all_spans(r["text"], secrets)
         assert [tuple(s) for s in r["spans"]] == spans
         assert r["clean"] == brute.redact(r["text"] or "", spans)
         added += len(spans) - len(r["base"])

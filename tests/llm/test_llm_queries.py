@@ -113,7 +113,7 @@ def test_op7(spark, given):
 def test_op10(spark, given):
     for r, (_, text, *_) in zip(rows(spark, "op10_secret_scan"), given, strict=True):
         base = brute.base_spans(text)
-        spans = brute.all_spans(text, secrets.CLASSES, secrets.ALLOWED, secrets.CANDIDATE, secrets.WINDOW)
+        spans = brute.all_spans(text, secrets)
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == x for _, k, _ in base) for x in range(3)]
         assert (r["base_sha256"], r["spans"]) == (brute.sha(brute.digest(base, secrets.KINDS)), brute.digest(spans, secrets.KINDS))
 
@@ -136,7 +136,7 @@ def expected(stage, kept):
     if stage == "minhash_near_dedup":
         label, _ = brute.near_groups({i: t for i, t, _ in kept}, 5)
         return [d for d in kept if label[d[0]] == d[0]]
-    return [(i, brute.redact(t, brute.all_spans(t, secrets.CLASSES, secrets.ALLOWED, secrets.CANDIDATE, secrets.WINDOW)), s) for i, t, s in kept]
+    return [(i, brute.redact(t, brute.all_spans(t, secrets)), s) for i, t, s in kept]
 
 
 @pytest.mark.parametrize("small", [True, False])
