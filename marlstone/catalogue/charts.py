@@ -257,6 +257,26 @@ def interval_annotations(t: Tables) -> DataFrame:
     return ch.interval_annotations(rows, "ts", notes, "hour").select("event_id", "short_descr")
 
 
+@query(
+    "interval_annotations_long",
+    """
+    WITH i AS (SELECT user_id::VARCHAR AS short_descr, min(ts) AS s, max(ts) + INTERVAL (user_id % 3) YEAR AS e FROM events GROUP BY user_id)
+    SELECT short_descr, count(*)::BIGINT AS n, min(event_id)::BIGINT AS first_event FROM (SELECT event_id, ts FROM events WHERE event_type = 'error') x JOIN i ON ts >= s AND ts <= e
+    GROUP BY 1
+    """,
+)
+def interval_annotations_long(t: Tables) -> DataFrame:
+    """Errors within the whole time of every user, some years more for some, in slices of minutes and longer."""
+    notes = t("events").groupBy("user_id").agg(F.min("ts").alias("start_dttm"), F.max("ts").alias("last")).select(
+        "start_dttm",
+        (F.col("last") + F.make_ym_interval((F.col("user_id") % 3).cast("int"))).alias("end_dttm"),
+        F.col("user_id").cast("string").alias("short_descr"),
+    )
+    rows = t("events").filter("event_type = 'error'").select("event_id", "ts")
+    found = ch.interval_annotations(rows, "ts", notes, "minute")
+    return found.groupBy("short_descr").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
+
+
 @query(
     "formula_series",
     """

@@ -66,6 +66,28 @@ def pivot_subtotals(t: Tables) -> DataFrame:
     return rounded(out, 2)
 
 
+@query(
+    "pivot_cell_totals",
+    """
+    WITH cells AS (SELECT r_name, n_name, c_mktsegment, avg(c_acctbal) AS v
+      FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3),
+    across AS (SELECT * FROM cells UNION ALL SELECT r_name, n_name, 'Total (Average)', avg(v) FROM cells GROUP BY 1, 2)
+    SELECT r_name, n_name, c_mktsegment, round(v, 6) AS balance FROM across
+    UNION ALL SELECT r_name, 'Subtotal', c_mktsegment, round(avg(v), 6) FROM across GROUP BY 1, 3
+    UNION ALL SELECT 'Total (Average)', '', c_mktsegment, round(avg(v), 6) FROM across GROUP BY 3
+    """,
+)
+def pivot_cell_totals(t: Tables) -> DataFrame:
+    """Averages of averages: every level from the cells below it."""
+    joined = (
+        t("customer")
+        .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    out = pv.cell_subtotals(joined, ["r_name", "n_name"], ["c_mktsegment"], {"balance": F.avg("c_acctbal")})
+    return rounded(out, 6)
+
+
 @query(
     "pivot_fractions",
     """

@@ -255,26 +255,54 @@ def break_points(df: DataFrame, column: str, buckets: int = 10, points: Sequence
     return df.withColumn("bucket", F.when(v.isNotNull(), F.least(place.cast("int"), F.lit(buckets - 1))))
 
 
+#: Lengths in seconds of the smallest slices of time.
+SLICES = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800}
+
+
+def dyadic_slices(first: Column, last: Column, levels: int = 40) -> Column:
+    """The numbers from ``first`` to ``last`` as slices of 2^level numbers: at most two of a level.
+
+    An array of ``level`` and ``place`` (the first number by the slice's
+    length).  Going up the levels, a slice that has no sibling in the interval
+    stands for itself, all others are left to the level above.
+    """
+
+    def of(level: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+        low, high = F.ceil(first / size).cast("bigint"), F.floor((last + 1) / size).cast("bigint")
+        slice_ = lambda place: F.struct(level.alias("level"), place.alias("place"))
+        left = F.when((low < high) & (F.pmod(low, F.lit(2)) == 1), slice_(low))
+        right = F.when((low < high) & (F.pmod(high, F.lit(2)) == 1), slice_(high - 1))
+        return F.array_compact(F.array(left, right))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), of))
+
+
 def interval_annotations(
     df: DataFrame, time: str, annotations: DataFrame, width: str = "day", columns: Sequence[str] = ("short_descr",)
 ) -> DataFrame:
     """Rows with the annotations whose interval holds their time.
 
-    The interval is spread over time slices and joined on the slice, so the
-    range join is an equi-join of one slice of rows with one of annotations.
+    Time is cut into slices of a ``width``, of two, four and so on.  An
+    interval becomes a few of them, two of a length at most, however long it
+    is; a row looks up the one slice of every length that some interval has.
+    So the range join is an equi-join, and a long note is not written out.  A
+    note without an end lasts a moment; one that ends before it begins holds
+    nothing.
     """
+    if width not in SLICES:
+        raise ValueError(f"unknown width of a slice: {width}")
+    number = lambda t: F.floor(F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.date_trunc("second", t).cast("timestamp_ntz")) / SLICES[width])
     begin = F.col("start_dttm").cast("timestamp_ntz")
     end = F.coalesce(F.col("end_dttm").cast("timestamp_ntz"), begin)
-    slices = F.sequence(
-        F.date_trunc(width, begin).cast("timestamp_ntz"),
-        F.date_trunc(width, end).cast("timestamp_ntz"),
-        F.expr(f"interval 1 {width}"),
-    )
-    spread = annotations.select(
-        begin.alias("__begin"), end.alias("__end"), *columns, F.explode(slices).alias("__slice")
+    spread = annotations.select(begin.alias("__begin"), end.alias("__end"), *columns).where("__end >= __begin").select(
+        "*", F.explode(dyadic_slices(number(F.col("__begin")), number(F.col("__end")))).alias("__slice")
     )
+    # One number per length that occurs, 41 at most.
+    used = sorted(r[0] for r in spread.select("__slice.level").distinct().collect())
     t = col(time).cast("timestamp_ntz")
-    sliced = df.withColumn("__of", F.date_trunc(width, t).cast("timestamp_ntz"))
+    own = F.array(*[F.struct(F.lit(k).alias("level"), F.floor(number(t) / (1 << k)).alias("place")) for k in used])
+    sliced = df.withColumn("__of", F.explode(own)) if used else df.withColumn("__of", F.lit(None).cast("struct<level:int,place:bigint>"))
     hit = (F.col("__of") == F.col("__slice")) & (t >= F.col("__begin")) & (t <= F.col("__end"))
     return sliced.join(spread, hit, "inner").select(*[col(c) for c in df.columns], *columns)
 

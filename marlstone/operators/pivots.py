@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -219,9 +219,48 @@ def subtotals(
     return grouped.select(*shown, *[col(m) for m in metrics])
 
 
-def total_of_cells(cells: DataFrame, keys: Sequence[str], function: Column) -> DataFrame:
-    """Total over already aggregated cells (an average of averages where the function is one)."""
-    return cells.groupBy(*[col(k) for k in keys]).agg(function.alias("value"))
+def cell_subtotals(
+    df: DataFrame, rows: Sequence[str], columns: Sequence[str], metrics: dict[str, Column],
+    total: Callable[[Column], Column] = F.avg, function: str = "Average",
+) -> DataFrame:
+    """As ``subtotals``, with levels computed from the cells instead of the rows: an average of averages.
+
+    For functions that do not add up the two differ.  ``total`` is applied to
+    the cells of a row for every level of columns, then to the rows below for
+    every level of rows, those column totals included; a cell that no row of
+    ``df`` falls into has no part.  The cells themselves stay as they are.
+
+    The rows of ``df`` are grouped once; all else works on cells.
+    """
+    rows, columns = list(rows), list(columns)
+    dims = [f"__t_{n}" for n in [*rows, *columns]]
+    texts = df.select("*", *[text_dimension(col(n)).alias(f"__t_{n}") for n in [*rows, *columns]])
+    depths = F.lit(len(rows)).alias("__rows"), F.lit(len(columns)).alias("__columns")
+    values = {m: f"__m{i}" for i, m in enumerate(metrics)}
+    cells = texts.groupBy(*[col(n) for n in dims]).agg(*[c.alias(values[m]) for m, c in metrics.items()]).select("*", *depths)
+
+    def levels(part: DataFrame, group: list[str], depth: str) -> DataFrame:
+        """The totals of every shorter beginning of ``group``, all other dimensions kept."""
+        names = [f"__t_{n}" for n in group]
+        others = [c for c in [*dims, "__rows", "__columns"] if c not in names and c != depth]
+        sets = [[col(n) for n in [*others, *names[:i]]] for i in range(len(names))]
+        gone = sum((F.grouping(col(n)).cast("int") for n in names), F.lit(0))
+        grouped = part.groupingSets(sets, *[col(n) for n in [*others, *names]]).agg(
+            *[total(F.col(v)).alias(v) for v in values.values()], (F.lit(len(names)) - gone).alias(depth)
+        )
+        return part.unionByName(grouped.select(*part.columns))
+
+    whole = levels(cells, columns, "__columns") if columns else cells
+    whole = levels(whole, rows, "__rows") if rows else whole
+
+    def shown(group: list[str], depth: str) -> list[Column]:
+        out = []
+        for i, n in enumerate(group):
+            name = F.lit(f"Total ({function})") if i == 0 else F.when(F.col(depth) == i, F.lit("Subtotal")).otherwise(F.lit(""))
+            out.append(F.when(F.col(depth) > i, col(f"__t_{n}")).otherwise(name).alias(n))
+        return out
+
+    return whole.select(*shown(rows, "__rows"), *shown(columns, "__columns"), *[F.col(v).alias(m) for m, v in values.items()])
 
 
 def fractions(cells: DataFrame, value: str, axis: str, rows: Sequence[str], columns: Sequence[str]) -> DataFrame:
