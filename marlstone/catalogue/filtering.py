@@ -82,12 +82,13 @@ def filter_in_sentinels(t: Tables) -> DataFrame:
     "filter_in_long_list",
     """
     SELECT l_returnflag, count(*)::BIGINT AS n FROM lineitem
-    WHERE l_orderkey % 5 = 0 AND l_orderkey < 15000 GROUP BY 1
+    WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT') GROUP BY 1
     """,
 )
 def filter_in_long_list(t: Tables) -> DataFrame:
-    """A list of 3,000 values becomes a table and the filter a semi join."""
-    return counted(t("lineitem"), ["l_returnflag"], Filter("l_orderkey", "IN", list(range(0, 15000, 5))))
+    """A list as a request may hold it, here the urgent orders, becomes a table and the filter a semi join."""
+    urgent = t("orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey")
+    return counted(t("lineitem"), ["l_returnflag"], Filter("l_orderkey", "IN", [r[0] for r in urgent.collect()]))
 
 
 @query(

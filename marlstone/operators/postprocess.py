@@ -543,11 +543,9 @@ def resample(
     ends = total_row(
         df, {"lo": _floor_time(F.min(col(time)), amount, unit), "hi": _floor_time(F.max(col(time)), amount, unit)}
     )
-    months = {"month": 1, "quarter": 3, "year": 12}.get(unit)
-    step = f"interval {amount * months} months" if months else f"interval {amount} {unit}s"
-    points = F.sequence(ends.getField("lo"), ends.getField("hi"), F.expr(step))
     series = df.select(*keys).distinct() if keys else df.select(F.lit(1).alias("__one")).limit(1)
-    grid = series.select(*[col(k) for k in keys], F.explode(points).alias(time))
+    numbered = _grid(series, keys, ends, amount, unit, time)
+    grid = numbered.drop("__i")
     if method in ("mean", "median", "sum"):
         place = _floor_time(col(time), amount, unit) if amount == 1 or unit in ("second", "minute", "hour") else (
             _bucket_from(col(time), ends.getField("lo"), amount, unit)
@@ -581,28 +579,51 @@ def resample(
         order = [("__at", True), ("__mark", True)]
         filled = running(placed, keys, order, {c: Running("fill_forward", c) for c in chosen})
         return filled.filter("__grid").select(*keys, time, *chosen)
-    joined = null_safe_join(grid, df.select(*keys, time, *chosen), [*keys, time])
+    joined = null_safe_join(numbered, df.select(*keys, time, *chosen), [*keys, time])
     if method == "asfreq":
+        found = joined.drop("__i")
         if fill_value is None:
-            return joined
-        return joined.select(
-            *[F.coalesce(col(c), F.lit(fill_value)).alias(c) if c in numeric and c in chosen else col(c) for c in joined.columns]
+            return found
+        return found.select(
+            *[F.coalesce(col(c), F.lit(fill_value)).alias(c) if c in numeric and c in chosen else col(c) for c in found.columns]
         )
-    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(col(time))
-    back, ahead = window.rowsBetween(Window.unboundedPreceding, 0), window.rowsBetween(0, Window.unboundedFollowing)
-    placed = joined.withColumn("__i", F.row_number().over(window))
+    # The last known and the next known (place, value), each carried from chunk to chunk.
+    filled = [c for c in chosen if c in numeric]
+    known = {f"__{side}{k}": F.when(col(c).isNotNull(), F.struct(F.col("__i").alias("i"), col(c).cast("double").alias("v"))) for k, c in enumerate(filled) for side in ("left", "right")}
+    placed = joined.withColumns({**known, "__back": -F.col("__i")})
+    for side, order in (("left", "__i"), ("right", "__back")):
+        placed = running(placed, keys, [(order, True)], {f"__{side}{k}": Running("fill_forward", f"__{side}{k}") for k in range(len(filled))}) if filled else placed
     values = {}
-    for c in chosen:
-        if c not in numeric:
-            continue
-        known = F.when(col(c).isNotNull(), F.struct(F.col("__i").alias("i"), col(c).cast("double").alias("v")))
-        left, right = F.last(known, ignorenulls=True).over(back), F.first(known, ignorenulls=True).over(ahead)
+    for k, c in enumerate(filled):
+        left, right = F.col(f"__left{k}"), F.col(f"__right{k}")
         part = F.try_divide((F.col("__i") - left["i"]).cast("double"), (right["i"] - left["i"]).cast("double"))
         between = left["v"] + (right["v"] - left["v"]) * part
         values[c] = F.when(left.isNull(), F.lit(None)).when(
             right.isNull() | (left["i"] == right["i"]), left["v"]
         ).otherwise(between)
-    return placed.select(*_replace(joined, values))
+    return placed.select(*_replace(joined.drop("__i"), values))
+
+
+#: Times of a grid that are spelled out from one row.
+GRID_ROWS = 1 << 16
+
+
+def _grid(series: DataFrame, keys: Sequence[str], ends: Column, amount: int, unit: str, time: str) -> DataFrame:
+    """Every series at every time from ``lo`` to ``hi`` of ``ends``, numbered from 0 in ``__i``.
+
+    A row per stretch of the grid comes first and is dealt out with the
+    series, so the times of a long grid are never one value.
+    """
+    months = {"month": 1, "quarter": 3, "year": 12}.get(unit)
+    size, step = (amount * months, "MONTH") if months else (amount, unit.upper())
+    last = F.floor(F.timestamp_diff(step, ends.getField("lo"), ends.getField("hi")) / size).cast("bigint")
+    stretch = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / GRID_ROWS).cast("bigint")))
+    kept = [col(k) for k in keys]
+    begun = series.select(*kept, stretch.alias("__stretch"), last.alias("__last"))
+    room = F.least(F.lit(GRID_ROWS - 1).cast("bigint"), F.col("__last") - F.col("__stretch") * GRID_ROWS)
+    numbered = begun.select(*kept, "__stretch", F.explode(F.sequence(F.lit(0).cast("bigint"), room)).alias("__in"))
+    numbered = numbered.select(*kept, (F.col("__stretch") * GRID_ROWS + F.col("__in")).alias("__i"))
+    return numbered.select(*kept, "__i", F.timestamp_add(step, (F.col("__i") * size).cast("int"), ends.getField("lo")).alias(time))
 
 
 def _bucket_from(c: Column, origin: Column, amount: int, unit: str) -> Column:
