@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -224,6 +225,27 @@ def udf_grouped_agg(t: Tables) -> DataFrame:
     return rounded(uf.udaf_mean(t("events"), ["event_type", "user_id"], "value", "mean"), 8)
 
 
+@query(
+    "udf_window",
+    """
+    SELECT event_id, event_type, round(avg(value) OVER w, 8) AS mean, round(max(value) OVER w - min(value) OVER w, 8) AS spread
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND 2 FOLLOWING)
+    """,
+)
+def udf_window(t: Tables) -> DataFrame:
+    """Vectorised functions as window functions, over eight rows around each."""
+    def mean(frames: np.ndarray) -> np.ndarray:
+        return np.nanmean(frames, axis=1)
+
+    def spread(frames: np.ndarray) -> np.ndarray:
+        return np.nanmax(frames, axis=1) - np.nanmin(frames, axis=1)
+
+    src, order = t("events").select("event_id", "event_type", "ts", "value"), [("ts", True), ("event_id", True)]
+    means = uf.window_function(src, ["event_type"], order, "value", "mean", mean, 5, 2)
+    both = uf.window_function(means, ["event_type"], order, "value", "spread", spread, 5, 2)
+    return both.select("event_id", "event_type", F.round("mean", 8).alias("mean"), F.round("spread", 8).alias("spread"))
+
+
 @query("udaf_average", "SELECT c_mktsegment, round(avg(c_acctbal), 8) AS average FROM customer GROUP BY 1")
 def udaf_average(t: Tables) -> DataFrame:
     return rounded(uf.two_phase_average(t("customer"), ["c_mktsegment"], "c_acctbal", "average"), 8)

@@ -555,6 +555,31 @@ def stat_tests_library(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(rows, "test string, statistic double")
 
 
+@query(
+    "stat_fit",
+    """
+    WITH c AS (SELECT o_orderpriority AS v, count(*)::DOUBLE AS n FROM orders GROUP BY 1),
+    even AS (SELECT sum(pow(n - t, 2) / t) AS s FROM (SELECT n, sum(n) OVER () / count(*) OVER () AS t FROM c)),
+    q AS (SELECT l_linenumber AS v, count(*)::DOUBLE AS n FROM lineitem GROUP BY 1),
+    falling AS (SELECT sum(pow(n - t, 2) / t) AS s FROM (SELECT n, sum(n) OVER () * (8 - v) / sum(8 - v) OVER () AS t FROM q)),
+    m AS (SELECT avg(o_totalprice) AS a FROM orders),
+    r AS (SELECT 1 - exp(-o_totalprice / a) AS f, row_number() OVER (ORDER BY o_totalprice) AS i, count(*) OVER () AS n FROM orders, m)
+    SELECT 'even priorities' AS test, round(s, 6) AS statistic, 4::BIGINT AS freedom, round(exp(-s / 2) * (1 + s / 2), 6) AS p_value FROM even
+    UNION ALL SELECT 'falling line numbers', round(s, 6), 6, round(exp(-s / 2) * (1 + s / 2 + s * s / 8), 6) FROM falling
+    UNION ALL SELECT 'exponential prices', round(max(greatest(i::DOUBLE / n - f, f - (i - 1)::DOUBLE / n)), 6), max(n), 0.0 FROM r
+    """,
+)
+def stat_fit(t: Tables) -> DataFrame:
+    """Counts against equal and against falling shares, and prices against an exponential distribution of their mean."""
+    even = ln.chi_square_fit(t("orders"), "o_orderpriority")
+    shares = t("lineitem").select(F.col("l_linenumber").alias("value")).distinct().withColumn("share", 8 - F.col("value"))
+    falling = ln.chi_square_fit(t("lineitem"), "l_linenumber", shares)
+    mean = t("orders").agg(F.avg("o_totalprice").alias("a")).scalar()
+    prices = ln.kolmogorov_distance(t("orders"), "o_totalprice", lambda v: 1 - F.exp(-v / mean)).withColumnRenamed("n", "freedom")
+    named = [df.select(F.lit(n).alias("test"), F.round("statistic", 6).alias("statistic"), F.col("freedom").cast("long").alias("freedom"), F.round("p_value", 6).alias("p_value")) for n, df in (("even priorities", even), ("falling line numbers", falling), ("exponential prices", prices))]
+    return named[0].union(named[1]).union(named[2])
+
+
 @query(
     "stat_density",
     """

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialise, scratch_path
-from .ordered import null_safe_join
+from .ordered import Running, null_safe_join, running
 
 
 def tokens(df: DataFrame, text: str, out: str = "tokens") -> DataFrame:
@@ -136,6 +136,111 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     return seen.select((F.col("s") + F.col("t") - F.col("e")).alias("statistic"), freedom.alias("freedom"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with ``value`` written and computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Terms of the sums below; both have long settled by then for up to some ten thousand degrees of freedom.
+TERMS = 2000
+
+
+def chi_square_tail(statistic: Column, freedom: Column) -> Column:
+    """Probability of a larger chi-square value: the upper incomplete gamma function of halves.
+
+    Below the mean by the power series of the lower function, above it by the
+    continued fraction of the upper one.  Null without degrees of freedom.
+    """
+    steps = F.sequence(F.lit(1), F.lit(TERMS))
+
+    def tail(a: Column, x: Column) -> Column:
+        # ln gamma(a), a multiple of one half, by its recurrence from gamma(1) = 1 or gamma(1/2).
+        whole = F.floor(a) == a
+        start = F.when(whole, F.lit(0.0)).otherwise(F.lit(math.log(math.pi) / 2))
+        least = F.when(whole, F.lit(1.0)).otherwise(F.lit(0.5))
+        count = (a - least).cast("int")
+        factors = F.filter(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: i < count)
+        log_gamma = F.aggregate(factors, start, lambda s, i: s + F.ln(least + i))
+        scale = F.exp(a * F.ln(x) - x - log_gamma)
+        series = F.aggregate(
+            steps, F.struct((1 / a).alias("term"), (1 / a).alias("sum")),
+            lambda s, n: _let(s["term"] * x / (a + n), lambda t: F.struct(t.alias("term"), (s["sum"] + t).alias("sum"))), lambda s: s["sum"],
+        )
+        # Lentz' method for 1 / (x + 1 - a - 1 (1 - a) / (x + 3 - a - ...)).
+        tiny = 1e-300
+        begin = x + 1 - a
+        first = F.struct(F.lit(1 / tiny).alias("c"), F.try_divide(F.lit(1.0), begin).alias("d"), F.try_divide(F.lit(1.0), begin).alias("h"))
+
+        def step(s: Column, n: Column) -> Column:
+            part, b = n * (a - n), begin + 2 * n
+            d, c = F.try_divide(F.lit(1.0), b + part * s["d"]), b + F.try_divide(part, s["c"])
+            return _let(F.struct(d.alias("d"), c.alias("c")), lambda m: F.struct(m["c"].alias("c"), m["d"].alias("d"), (s["h"] * m["c"] * m["d"]).alias("h")))
+
+        fraction = F.aggregate(steps, first, step, lambda s: s["h"])
+        return F.when(x <= 0, F.lit(1.0)).when(x < a + 1, 1 - scale * series).otherwise(scale * fraction)
+
+    halves = F.struct((freedom / 2).cast("double").alias("a"), (statistic / 2).cast("double").alias("x"))
+    return F.when(freedom > 0, _let(halves, lambda h: tail(h["a"], h["x"])))
+
+
+def chi_square_fit(df: DataFrame, column: str, expected: DataFrame | None = None) -> DataFrame:
+    """Goodness of fit of a column's counts: ``statistic``, ``freedom``, ``p_value``.
+
+    ``expected`` has ``value`` and ``share``, in any unit; without it all
+    values that occur are as likely.  A value that occurs and has no share has
+    an infinite statistic, one with a share that does not occur counts in full.
+    Null is a value.
+    """
+    seen = df.groupBy(F.col(f"`{column}`").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    if expected is None:
+        both = seen.withColumn("share", F.lit(1.0))
+    else:
+        shares = expected.groupBy("value").agg(F.sum("share").cast("double").alias("share"))
+        theirs = shares.withColumnRenamed("value", "__v")
+        joined = seen.join(theirs, seen["value"].eqNullSafe(theirs["__v"]), "full")
+        both = joined.select(F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("share", F.lit(0.0)).alias("share"))
+    # sum((n - e)^2 / e) = sum(n^2 / e) - total, as observed and expected counts add up alike.
+    total = both.agg(F.sum("n").alias("n"), F.sum("share").alias("s"), F.count(F.lit(1)).alias("k"), F.sum(F.try_divide(F.col("n") * F.col("n").cast("double"), F.col("share"))).alias("q"), F.max((F.col("share") == 0) & (F.col("n") > 0)).alias("odd"))
+    statistic = F.when(F.col("odd"), F.lit(math.inf)).otherwise(F.col("q") * F.col("s") / F.col("n") - F.col("n"))
+    found = total.where("n > 0").select(F.greatest(statistic, F.lit(0.0)).alias("statistic"), (F.col("k") - 1).alias("freedom"))
+    certain = F.when(F.col("statistic") == math.inf, F.lit(0.0)).otherwise(chi_square_tail(F.col("statistic"), F.col("freedom")))
+    return found.select("statistic", "freedom", certain.alias("p_value"))
+
+
+def normal_share(column: Column, mean: Column, deviation: Column) -> Column:
+    """Share of a normal distribution up to a value, by the series of the error function."""
+    z = (column - mean) / (deviation * math.sqrt(2))
+
+    def share(z: Column) -> Column:
+        terms = F.aggregate(
+            F.sequence(F.lit(1), F.lit(120)), F.struct(z.alias("term"), z.alias("sum")),
+            lambda s, n: _let(s["term"] * 2 * z * z / (2 * n + 1), lambda t: F.struct(t.alias("term"), (s["sum"] + t).alias("sum"))), lambda s: s["sum"],
+        )
+        inner = 0.5 + terms * F.exp(-z * z) / math.sqrt(math.pi)
+        return F.when(z > 5.5, F.lit(1.0)).when(z < -5.5, F.lit(0.0)).otherwise(inner)
+
+    return _let(z.cast("double"), share)
+
+
+def kolmogorov_distance(df: DataFrame, column: str, share: Callable[[Column], Column]) -> DataFrame:
+    """Largest distance of a column's shares from ``share`` of its values: ``statistic``, ``n``, ``p_value``.
+
+    Exact: every value is ranked, chunk by chunk, so no task sees them all.
+    Nulls are left out.  The p-value is that of long columns (Kolmogorov's sum).
+    """
+    known = df.select(F.col(f"`{column}`").cast("double").alias("v")).where("v IS NOT NULL")
+    ranked = running(known, [], [("v", True)], {"place": Running("row_number")})
+    total = known.agg(F.count(F.lit(1)).alias("n")).scalar()
+    own = share(F.col("v"))
+    apart = ranked.select(own.alias("share"), "place", total.alias("n")).agg(
+        F.max(F.greatest(F.col("place") / F.col("n") - F.col("share"), F.col("share") - (F.col("place") - 1) / F.col("n"))).alias("statistic"), F.max("n").alias("n")
+    )
+    lam = F.col("statistic") * F.sqrt("n")
+    terms = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), lambda s, j: s + 2 * F.pow(F.lit(-1.0), j - 1) * F.exp(-2 * j * j * lam * lam))
+    p = F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(terms, F.lit(0.0)), F.lit(1.0)))
+    return apart.where("n > 0").select("statistic", "n", p.alias("p_value"))
+
+
 # --- matrices --------------------------------------------------------------
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .ordered import null_safe_join
+from pyspark.sql import types as T
+
+from .ordered import BLOCK, OWN, POSITION, blocked, null_safe_join
 
 
 def with_uuid(df: DataFrame, label: str) -> DataFrame:
@@ -41,6 +44,45 @@ def udaf_mean(df: DataFrame, keys: Sequence[str], value: str, label: str) -> Dat
     return partial.groupBy(*keys).agg(combine("__sum", "__count").alias(label))
 
 
+def window_function(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[tuple[str, bool]],
+    value: str,
+    label: str,
+    fn: Callable[[np.ndarray], np.ndarray],
+    before: int,
+    after: int = 0,
+    block_rows: int = 100_000,
+) -> DataFrame:
+    """A vectorised function over the frame of ``before`` rows, the row and ``after`` rows of every row.
+
+    ``fn`` is given many frames at a time, a row of numbers each, and returns a
+    number per frame.  Nulls, and places before the first and behind the last
+    row of a key, are NaN; NaN comes back as null.  Blocks of ``block_rows``
+    rows go to Python with the neighbours that their frames need, so a key is
+    spread over as many tasks as it has blocks.
+    """
+    if before < 0 or after < 0:
+        raise ValueError("a frame holds its own row")
+    spread, _ = blocked(df, keys, order, before, after, block_rows)
+    names = list(df.columns)
+
+    def frames(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values(POSITION)
+        numbers = pd.to_numeric(block[value]).to_numpy(dtype=float, na_value=np.nan)
+        padded = np.concatenate([np.full(before, np.nan), numbers, np.full(after, np.nan)])
+        own = block[OWN].to_numpy(dtype=bool)
+        seen = np.lib.stride_tricks.sliding_window_view(padded, before + 1 + after)[own]
+        out = block.loc[own, names].copy()
+        made = np.asarray(fn(seen), dtype=float)
+        out[label] = pd.Series(np.where(np.isnan(made), None, made), index=out.index, dtype=object)
+        return out
+
+    schema = T.StructType([*df.schema.fields, T.StructField(label, T.DoubleType())])
+    return spread.groupBy(*[F.col(f"`{k}`") for k in keys], BLOCK).applyInPandas(frames, schema)
+
+
 def two_phase_average(df: DataFrame, keys: Sequence[str], value: str, label: str) -> DataFrame:
     """Average as its (sum, count) buffer and the final division."""
     buffer = df.groupBy(*keys).agg(F.struct(F.sum(value).alias("sum"), F.count(value).alias("count")).alias("__buffer"))
