@@ -14,8 +14,8 @@ Both are exact.  The split points come from one pass over the order column;
 ties of the leading order column always share a chunk, which keeps ranks
 right, unless the value fills several chunks by itself.
 
-There is one method for all sizes.  The number of chunks follows the counted
-rows (``CHUNK_ROWS`` each), a small frame has one.  A caller who knows that no
+The number of chunks follows the counted rows (``CHUNK_ROWS`` each).  Rows of
+one chunk carry nothing on and are a plain window's.  A caller who knows that no
 key is large may ask for the plain window with ``small=True``; the answers,
 and their types, are the same.
 """
@@ -61,23 +61,36 @@ def order_value(df: DataFrame, name: str) -> Column:
 def split_points(df: DataFrame, name: str, chunks: int | None = None) -> list:
     """Cut points of the order column ``name``, sorted; a heavy value comes several times.
 
-    One pass over the column: rows are counted and quantiles sketched together.
-    Texts are cut at texts drawn at random, so long common beginnings do no
-    harm; where the cuts lie never changes a result.
+    The number of chunks follows from the counted rows alone; for one chunk
+    there is nothing to cut.  Otherwise quantiles are sketched.  Texts are cut
+    at texts drawn at random, so long common beginnings do no harm; where the
+    cuts lie never changes a result.
     """
+    return _points(df, name, chunks).get(None, [])
+
+
+def _points(df: DataFrame, name: str, chunks: int | None, by: Column | None = None, wanted: dict | None = None) -> dict:
+    """Cut points per value of ``by`` (one pass for all), ``wanted`` chunks each."""
     value = order_value(df, name)
-    grid = chunks or 4 * max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if by is None:
+        rows = df.count() if chunks is None or isinstance(df.schema[name].dataType, T.StringType) else 0
+        wanted, by = {None: chunks or -(-rows // CHUNK_ROWS)}, F.lit(None).cast("string")
+    most = max(wanted.values(), default=0)
+    if most <= 1:
+        return {}
     if isinstance(df.schema[name].dataType, T.StringType):
-        rows = df.count()
-        wanted = chunks or -(-rows // CHUNK_ROWS)
-        share = 1.0 if rows <= SAMPLES * wanted else SAMPLES * wanted / rows
-        drawn = sorted(r[0] for r in df.select(value.alias("v")).sample(share, 17).collect() if r[0] is not None)
-        return [drawn[len(drawn) * i // wanted] for i in range(1, wanted)] if drawn else []
-    fractions = [i / grid for i in range(1, grid)] or [0.5]
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(value, fractions, max(10_000, 10 * grid)).alias("cuts")).first()
-    wanted = chunks or min(grid, -(-row["n"] // CHUNK_ROWS))
-    cuts = sorted(row["cuts"] or [])
-    return [cuts[len(cuts) * i // wanted] for i in range(1, wanted)] if cuts else []
+        rows = df.count() if None not in wanted else rows
+        share = min(1.0, SAMPLES * sum(wanted.values()) / max(1, rows))
+        drawn: dict = {}
+        for key, v in df.select(by.alias("k"), value.alias("v")).sample(share, 17).collect():
+            if v is not None:
+                drawn.setdefault(key, []).append(v)
+        found = {k: sorted(v) for k, v in drawn.items()}
+    else:
+        fractions = [i / most for i in range(1, most)]
+        sketch = F.percentile_approx(value, fractions, max(10_000, 10 * most))
+        found = {r["k"]: sorted(r["cuts"] or []) for r in df.groupBy(by.alias("k")).agg(sketch.alias("cuts")).collect()}
+    return {k: [v[len(v) * i // wanted[k]] for i in range(1, wanted[k])] for k, v in found.items() if v and k in wanted}
 
 
 def _descend(value: Column, cuts: Sequence, low: int, high: int, leaf) -> Column:
@@ -90,7 +103,7 @@ def _descend(value: Column, cuts: Sequence, low: int, high: int, leaf) -> Column
     )
 
 
-def with_chunks(df: DataFrame, order: Order, chunks: int | None = None) -> DataFrame:
+def with_chunks(df: DataFrame, order: Order, chunks: int | None = None, points: list | None = None) -> DataFrame:
     """Add the chunk number of every row; chunks follow the order.
 
     A value of the leading column that fills several chunks by itself is cut
@@ -98,10 +111,12 @@ def with_chunks(df: DataFrame, order: Order, chunks: int | None = None) -> DataF
     """
     name, ascending = order[0]
     value = order_value(df, name)
-    listed = split_points(df, name, chunks)
+    listed = split_points(df, name, chunks) if points is None else points
     cuts = sorted(set(listed))
-    heavy = [c for c in cuts if listed.count(c) > 1] if len(order) > 1 else []
-    inner: dict = {h: sorted(set(split_points(df.filter(value == F.lit(h)), order[1][0], listed.count(h)))) for h in heavy}
+    heavy = {c: listed.count(c) for c in cuts if listed.count(c) > 1} if len(order) > 1 else {}
+    # One pass for all heavy values together.
+    found = _points(df.filter(value.isin([F.lit(h) for h in heavy])), order[1][0], None, value, heavy) if heavy else {}
+    inner: dict = {h: sorted(set(found.get(h, []))) for h in heavy}
     # every value range gets a block of numbers: the range below a cut, then the cut itself when heavy
     width = 1 + max([len(v) + 2 for v in inner.values()], default=0)
 
@@ -216,11 +231,13 @@ def running(
 ) -> DataFrame:
     """Add running results per ``keys`` in ``order``; safe for a hot key.
 
-    With ``small`` the caller answers for it that no key is large.
+    With ``small`` the caller answers for it that no key is large.  Rows of one
+    chunk in all carry nothing on, so a window over each key is the same.
     """
     keys = list(keys)
     window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*sort_columns(order))
-    if small:
+    points = None if small else split_points(df, order[0][0], chunks)
+    if small or not points and chunks is None:
         added = {out: _plain(spec, window) for out, spec in results.items()}
         kept = [F.col(f"`{c}`") for c in df.columns if c not in results]
         return df.select(*kept, *[c.alias(out) for out, c in added.items()])
@@ -230,7 +247,7 @@ def running(
         results = {out: spec for out, spec in results.items() if out not in peers_only}
         if not results:
             return df
-    base = with_chunks(df, order, chunks)
+    base = with_chunks(df, order, chunks, points if not peers_only else None)
     sort = sort_columns(order)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*sort)
     plain_types = df.select(*[_plain(spec, window).alias(out) for out, spec in results.items()]).schema
@@ -373,7 +390,7 @@ def sliding(
     small: bool = False,
 ) -> DataFrame:
     """Add ``make[name](window)`` columns block by block; ``position`` keeps the row number."""
-    if small:
+    if small or chunks is None and not split_points(df, order[0][0]):
         plain = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*sort_columns(order))
         added = [build(plain).alias(name) for name, build in make.items()]
         if position:
