@@ -266,15 +266,14 @@ def interval_annotations(t: Tables) -> DataFrame:
     """,
 )
 def interval_annotations_long(t: Tables) -> DataFrame:
-    """Errors within the whole time of every user, some years more for some, in slices of minutes and longer."""
+    """Errors within the whole time of every user, some years more for some, from totals of slices of the times."""
     notes = t("events").groupBy("user_id").agg(F.min("ts").alias("start_dttm"), F.max("ts").alias("last")).select(
         "start_dttm",
         (F.col("last") + F.make_ym_interval((F.col("user_id") % 3).cast("int"))).alias("end_dttm"),
         F.col("user_id").cast("string").alias("short_descr"),
     )
     rows = t("events").filter("event_type = 'error'").select("event_id", "ts")
-    found = ch.interval_annotations(rows, "ts", notes, "minute")
-    return found.groupBy("short_descr").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
+    return ch.interval_annotations(rows, "ts", notes, "minute", totals={"n": ("count", None), "first_event": ("min", "event_id")})
 
 
 @query(

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .ordered import Running, null_safe_join, running
 from .postprocess import OperatorError, col, total_row
 
@@ -278,8 +279,17 @@ def dyadic_slices(first: Column, last: Column, levels: int = 40) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), of))
 
 
+#: Salts, and the longest lengths of slices that are salted: few slices, looked up by very many notes.
+SALTS, SALTED_LEVELS = 32, 8
+
+
 def interval_annotations(
-    df: DataFrame, time: str, annotations: DataFrame, width: str = "day", columns: Sequence[str] = ("short_descr",)
+    df: DataFrame,
+    time: str,
+    annotations: DataFrame,
+    width: str = "day",
+    columns: Sequence[str] = ("short_descr",),
+    totals: dict[str, tuple[str, str | None]] | None = None,
 ) -> DataFrame:
     """Rows with the annotations whose interval holds their time.
 
@@ -289,24 +299,72 @@ def interval_annotations(
     So the range join is an equi-join, and a long note is not written out.  A
     note without an end lasts a moment; one that ends before it begins holds
     nothing.
+
+    With ``totals`` (name to ``count``, ``sum``, ``min`` or ``max`` and a
+    column) the rows themselves are not wanted but their totals per
+    ``columns``; these come from totals per slice, so no row meets a note.
     """
     if width not in SLICES:
         raise ValueError(f"unknown width of a slice: {width}")
     number = lambda t: F.floor(F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.date_trunc("second", t).cast("timestamp_ntz")) / SLICES[width])
     begin = F.col("start_dttm").cast("timestamp_ntz")
     end = F.coalesce(F.col("end_dttm").cast("timestamp_ntz"), begin)
-    spread = annotations.select(begin.alias("__begin"), end.alias("__end"), *columns).where("__end >= __begin").select(
-        "*", F.explode(dyadic_slices(number(F.col("__begin")), number(F.col("__end")))).alias("__slice")
-    )
+    notes = annotations.select(begin.alias("__begin"), end.alias("__end"), *columns).where("__end >= __begin")
+    t = col(time).cast("timestamp_ntz")
+    if totals is not None:
+        return _interval_totals(df.withColumn("__t", t), notes, list(columns), totals)
+    spread = notes.select("*", F.explode(dyadic_slices(number(F.col("__begin")), number(F.col("__end")))).alias("__slice"))
     # One number per length that occurs, 41 at most.
     used = sorted(r[0] for r in spread.select("__slice.level").distinct().collect())
-    t = col(time).cast("timestamp_ntz")
     own = F.array(*[F.struct(F.lit(k).alias("level"), F.floor(number(t) / (1 << k)).alias("place")) for k in used])
     sliced = df.withColumn("__of", F.explode(own)) if used else df.withColumn("__of", F.lit(None).cast("struct<level:int,place:bigint>"))
     hit = (F.col("__of") == F.col("__slice")) & (t >= F.col("__begin")) & (t <= F.col("__end"))
     return sliced.join(spread, hit, "inner").select(*[col(c) for c in df.columns], *columns)
 
 
+def _interval_totals(df: DataFrame, notes: DataFrame, columns: list[str], totals: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """Totals of the rows within the notes, per ``columns``.
+
+    Times that occur, as the time of a row or an end of a note, are numbered in
+    their order.  Then a note is a stretch of numbers and as such a few slices,
+    without a remainder at its ends, and every slice holds the totals of its rows.
+    """
+    merge = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+    if unknown := {how for how, _ in totals.values()} - set(merge):
+        raise ValueError(f"unknown totals: {sorted(unknown)}")
+    # Column names of the notes and the totals may be alike.
+    inner = {name: f"__total{i}" for i, name in enumerate(totals)}
+    first = [
+        {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}[how](F.lit(1) if c is None else col(c)).alias(inner[name])
+        for name, (how, c) in totals.items()
+    ]
+    again = [merge[how](inner[name]).alias(inner[name]) for name, (how, _) in totals.items()]
+    per_time = materialise(df.where("__t IS NOT NULL").groupBy("__t").agg(*first), "per-time")
+    notes = materialise(notes.groupBy("__begin", "__end", *[col(c) for c in columns]).agg(F.count(F.lit(1)).alias("__copies")), "notes")
+    times = per_time.select("__t").union(notes.select("__begin")).union(notes.select("__end")).distinct()
+    placed = materialise(running(materialise(times, "times"), [], [("__t", True)], {"__i": Running("row_number")}), "places")
+    a = placed.select(F.col("__t").alias("__begin"), F.col("__i").alias("__first"))
+    b = placed.select(F.col("__t").alias("__end"), F.col("__i").alias("__last"))
+    spread = materialise(
+        notes.join(a, "__begin").join(b, "__end").select(
+            *[col(c) for c in columns], "__copies", F.explode(dyadic_slices(F.col("__first"), F.col("__last"))).alias("__s")
+        ).select(*[col(c) for c in columns], "__copies", "__s.level", "__s.place", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("__salt")),
+        "slices",
+    )
+    used = sorted(r[0] for r in spread.select("level").distinct().collect())
+    salted = F.col("level") > max(used, default=0) - SALTED_LEVELS
+    own = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(F.col("__i"), k).alias("place")) for k in used or [0]])
+    cells = per_time.join(placed, "__t").select(*inner.values(), F.explode(own).alias("__of")).groupBy("__of").agg(*again)
+    cells = cells.select(*inner.values(), "__of.level", "__of.place").withColumn(
+        "__salt", F.explode(F.when(salted, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    )
+    held = spread.withColumn("__salt", F.when(salted, F.col("__salt")).otherwise(F.lit(0))).join(cells, ["level", "place", "__salt"])
+    times_over = lambda how, c: c * F.col("__copies") if how in ("count", "sum") else c
+    return held.groupBy(*[col(c) for c in columns]).agg(
+        *[merge[how](times_over(how, F.col(inner[name]))).alias(name) for name, (how, _) in totals.items()]
+    )
+
+
 def formula_series(df: DataFrame, x: str, formula: str, label: str) -> DataFrame:
     """``label`` = formula of ``x``, where x is epoch milliseconds for a time."""
     if dict(df.dtypes)[x].startswith("timestamp"):

@@ -10,7 +10,7 @@ from statistics import mean, median
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.operators import charts, pivots
+from marlstone.operators import charts, ordered, pivots
 
 START = datetime(2020, 1, 1)
 
@@ -99,3 +99,28 @@ def test_notes_without_rows(spark):
     assert charts.interval_annotations(spark.createDataFrame([(START,)], "t timestamp_ntz"), "t", notes, "hour").count() == 0
     with pytest.raises(ValueError, match="unknown width"):
         charts.interval_annotations(notes, "start_dttm", notes, "fortnight")
+
+
+@pytest.mark.parametrize("chunk_rows", [1_000_000, 50])
+def test_totals_of_the_rows_within_notes(spark, monkeypatch, chunk_rows):
+    """Totals per note without pairs: ends that fall on rows, between rows, on one another; notes that come twice."""
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", chunk_rows)
+    rng = random.Random(9)
+    times = [(i, START + timedelta(seconds=rng.randint(0, 5000), microseconds=rng.randint(0, 3))) for i in range(200)] + [(900, None)]
+    moments = [t for _, t in times if t] + [START + timedelta(seconds=k) for k in (-9, 777, 6000)]
+    notes = [(rng.choice(moments), rng.choice([*moments, None]), rng.choice([None, "a", "b", "c", f"n{k}"])) for k in range(60)]
+    notes += notes[:7] + [(None, moments[0], "none")]
+    got = charts.interval_annotations(
+        spark.createDataFrame(times, "id int, t timestamp_ntz"), "t",
+        spark.createDataFrame(notes, "start_dttm timestamp_ntz, end_dttm timestamp_ntz, short_descr string"), "minute",
+        totals={"n": ("count", None), "ids": ("sum", "id"), "low": ("min", "id"), "high": ("max", "id")},
+    )
+    want = defaultdict(list)
+    for b, e, n in notes:
+        want[n] += [i for i, t in times if t and b and b <= t <= (e or b)]
+    assert {r["short_descr"]: tuple(r)[1:] for r in got.collect()} == {n: (len(v), sum(v), min(v), max(v)) for n, v in want.items() if v}
+
+
+def test_totals_of_no_notes(spark):
+    notes = spark.createDataFrame([], "start_dttm timestamp_ntz, end_dttm timestamp_ntz, short_descr string")
+    assert charts.interval_annotations(spark.createDataFrame([(START,)], "t timestamp_ntz"), "t", notes, "hour", totals={"n": ("count", None)}).count() == 0
