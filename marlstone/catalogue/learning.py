@@ -357,8 +357,8 @@ def recommend(t: Tables) -> DataFrame:
         .agg(F.sum("l_quantity").cast("float").alias("rating"))
     )
     model = ALS(rank=4, maxIter=2, userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop", seed=2).fit(ratings)
-    best = model.recommendForAllUsers(3)
-    return best.select("user", F.explode("recommendations").alias("r")).select("user", "r.item", "r.rating")
+    best = ln.top_products(model.userFactors, model.itemFactors, 3)
+    return best.select(F.col("left").alias("user"), F.col("right").alias("item"), F.col("product").alias("rating"))
 
 
 @query("recommend_error")

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -287,6 +288,131 @@ def singular_values(df: DataFrame, column: str, k: int) -> tuple[DataFrame, np.n
     return df.sparkSession.createDataFrame(rows, "rank int, sigma double"), vectors[:, order]
 
 
+# --- products --------------------------------------------------------------
+
+#: Directions that left vectors are told apart by, and left vectors compared in one task.
+CONES, CONE_ROWS = 512, 20_000
+
+
+def _batch(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a batch of ``id, features``."""
+    vectors = batch.column(batch.schema.get_field_index("features"))
+    return batch.column(batch.schema.get_field_index("id")).to_numpy(zero_copy_only=False), vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+
+
+def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Inner products in single precision, with one rounding per term."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    for k in range(left.shape[1]):
+        out = (left[:, k, None].astype(float) * right[None, :, k].astype(float) + out).astype(np.float32)
+    return out
+
+
+def top_products(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+    """For every left vector the ``k`` right ones of the largest inner product: ``left, right, product``.
+
+    Both frames hold ``id, features``; equal products go by the smaller id.
+    Exact, without comparing all with all: left vectors fall to the nearest of
+    some directions.  The best right vectors of these directions give each left
+    vector a product that its k-th best reaches at least; a right vector is
+    compared with the left ones of a direction only if, within the box they
+    fill, it can come up to the least of these.
+    """
+    first = right.select(F.size("features").alias("d")).first()
+    if first is None:
+        return left.limit(0).select(F.col("id").alias("left"), F.col("id").alias("right"), F.lit(0.0).cast("float").alias("product"))
+    size = first["d"]
+    drawn = left.select("features").orderBy(F.xxhash64("id"), "id").limit(CONES).collect()
+    if not drawn:
+        return left.select(F.col("id").alias("left"), F.col("id").alias("right"), F.lit(0.0).cast("float").alias("product"))
+    axes = np.array([r["features"] for r in drawn], dtype=float)
+    axes = axes / np.maximum(np.linalg.norm(axes, axis=1, keepdims=True), 1e-300)
+
+    def strongest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {}
+        for batch in batches:
+            ids, x = _batch(batch, size)
+            if len(ids):
+                score = axes @ x.T.astype(float)
+                for c, row in enumerate(score):
+                    best = np.argpartition(-row, min(k, len(row)) - 1)[:k]
+                    held[c] = sorted([*held.get(c, []), *((float(row[i]), int(ids[i]), x[i].tolist()) for i in best)], key=lambda e: (-e[0], e[1]))[:k]
+        flat = [(c, *e) for c, found in held.items() for e in found]
+        if flat:
+            columns = [pa.array(list(v), t) for v, t in zip(zip(*flat), (pa.int32(), pa.float64(), pa.int64(), pa.list_(pa.float32())))]
+            yield pa.RecordBatch.from_arrays(columns, ["cone", "score", "id", "features"])
+
+    per_part = right.select("id", "features").mapInArrow(strongest, "cone int, score double, id long, features array<float>")
+    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "id", "features"))), 1, k)
+    best = per_part.groupBy("cone").agg(top.alias("b")).select(F.explode("b").alias("b")).select("b.id", "b.features").dropDuplicates(["id"])
+    champions = np.array([r["features"] for r in best.orderBy("id").collect()], dtype=float)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, u = _batch(batch, size)
+            norm = np.linalg.norm(u.astype(float), axis=1, keepdims=True)
+            unit = u.astype(float) / np.maximum(norm, 1e-300)
+            cone = np.argmax(unit @ axes.T, axis=1).astype(np.int32)
+            reached = np.full(len(ids), -np.inf)
+            if len(champions) >= k:
+                reached = np.partition(unit @ champions.T, len(champions) - k, axis=1)[:, len(champions) - k]
+            # All products of a vector of zeros are alike: it need not widen the box of others.
+            cone[norm[:, 0] == 0] = -1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), batch.column(batch.schema.get_field_index("features")).cast(pa.list_(pa.float32())), pa.array(cone), pa.array(reached), pa.array(unit.tolist(), pa.list_(pa.float64()))],
+                ["id", "features", "cone", "reached", "unit"],
+            )
+
+    lefts = materialise(left.select("id", "features").mapInArrow(placed, "id long, features array<float>, cone int, reached double, unit array<double>"), "cones")
+    sides = [f(F.col("unit")[i]).alias(f"{n}{i}") for n, f in (("low", F.min), ("high", F.max)) for i in range(size)]
+    boxes = lefts.groupBy("cone").agg(F.count(F.lit(1)).alias("n"), F.min("reached").alias("least"), *sides).collect()
+    pieces = {b["cone"]: -(-b["n"] // CONE_ROWS) for b in boxes}
+    boxes = [b for b in boxes if b["cone"] >= 0]
+    cones = np.array([b["cone"] for b in boxes], np.int32)
+    low, high = (np.array([[b[f"{n}{i}"] for i in range(size)] for b in boxes]).reshape(-1, size) for n in ("low", "high"))
+    least = np.array([b["least"] for b in boxes])
+
+    def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4096):
+                ids, x = _batch(whole.slice(start, 4096), size)
+                x = x.astype(float)
+                most = np.maximum(x, 0) @ high.T + np.minimum(x, 0) @ low.T
+                slack = 1e-5 * np.abs(x).sum(axis=1, keepdims=True)  # products are rounded
+                at, c = np.nonzero(~(most + slack < least - 1e-5 * np.abs(least)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cones[c]), pa.array(ids[at], pa.int64()), pa.array(list(x[at]), pa.list_(pa.float32()))], ["cone", "id", "features"]
+                )
+
+    chosen = right.select("id", "features").mapInArrow(fitting, "cone int, id long, features array<float>")
+    if -1 in pieces:
+        chosen = chosen.unionByName(right.select(F.lit(-1).alias("cone"), F.col("id").cast("long").alias("id"), F.col("features").cast("array<float>").alias("features")).orderBy("id").limit(k))
+    count = F.create_map(*[F.lit(int(v)) for pair in pieces.items() for v in pair])[F.col("cone")]
+    chosen = chosen.withColumn("piece", F.explode(F.sequence(F.lit(0), count - 1)))
+    lefts = lefts.select("id", "features", "cone", F.pmod(F.xxhash64("id"), count).cast("int").alias("piece"))
+
+    def compared(a: pa.Table, b: pa.Table) -> pa.Table:
+        out = []
+        if a.num_rows and b.num_rows:
+            b = b.sort_by("id")
+            (own, u), (ids, x) = ((t.column("id").to_numpy(), t.column("features").combine_chunks().flatten().to_numpy().reshape(-1, size)) for t in (a, b))
+            step = max(1, 4_000_000 // len(x))
+            for start in range(0, len(u), step):
+                product = _products(u[start : start + step], x)
+                rows = np.arange(len(product))
+                for _ in range(min(k, len(x))):
+                    place = np.argmax(product, axis=1)
+                    out.append((own[start : start + step], ids[place], product[rows, place]))
+                    product[rows, place] = -np.inf
+        columns = [np.concatenate(v) for v in zip(*out)] if out else [[], [], []]
+        return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(columns, (pa.int64(), pa.int64(), pa.float32()))], ["left", "right", "product"])
+
+    pairs = lefts.groupBy("cone", "piece").cogroup(chosen.groupBy("cone", "piece")).applyInArrow(compared, "left long, right long, product float")
+    return pairs.select(F.col("left").cast(left.schema["id"].dataType), F.col("right").cast(right.schema["id"].dataType), "product")
+
+
 # --- iterations ------------------------------------------------------------
 
 
