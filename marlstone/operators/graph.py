@@ -2,43 +2,65 @@
 
 Iterations write their state to the shared folder, so plans stay short and a
 lost executor costs one step.  Joins that follow edges out of a vertex are
-salted by the other end: a vertex with a third of all edges is spread over
-``SALTS`` tasks.
+salted by the other end where the vertex has very many: a vertex with a third
+of all edges is spread over ``SALTS`` tasks, the others are not repeated.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import count
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard, materialise
+from .ordered import null_safe_join
 
 SALTS = 8
+#: Rows of one key from which on they are salted.
+HOT_ROWS = 200_000
+#: Edges contracted at once within a part, and edges in which triangles are looked for at once.
+LOCAL_EDGES, TRIANGLE_EDGES = 1_000_000, 2_000_000
 
 
 def salt_of(c: Column) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(SALTS)).cast("int")
 
 
-def salted_edges(edges: DataFrame) -> DataFrame:
-    return edges.withColumn("salt", salt_of(F.col("dst")))
+def rows_per(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
 
 
-def per_salt(vertices: DataFrame) -> DataFrame:
-    """One copy of every vertex row per salt."""
-    return vertices.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+def hot_keys(counted: DataFrame, key: str) -> list:
+    """Keys of more than ``HOT_ROWS`` rows by the count ``__n``: few, as each stands for so many rows."""
+    return [r[0] for r in counted.filter((F.col("__n") > HOT_ROWS) & F.col(key).isNotNull()).select(key).collect()]
 
 
-def spread_join(many: DataFrame, few: DataFrame, key: str, other: str, how: str = "inner") -> DataFrame:
+def salted(many: DataFrame, key: str, other: str, hot: list) -> DataFrame:
+    """A column ``salt``: by ``other`` for rows of hot keys, 0 for all others."""
+    return many.withColumn("salt", F.when(F.col(key).isin(hot), salt_of(F.col(other))).otherwise(F.lit(0)))
+
+
+def per_salt(few: DataFrame, key: str, hot: list) -> DataFrame:
+    """A column ``salt``: one copy of every row of a hot key per salt, the others once."""
+    every = F.array(*[F.lit(i) for i in range(SALTS)])
+    return few.withColumn("salt", F.explode(F.when(F.col(key).isin(hot), every).otherwise(F.array(F.lit(0)))))
+
+
+def spread_join(many: DataFrame, few: DataFrame, key: str, other: str, how: str = "inner", hot: list | None = None) -> DataFrame:
     """Join on ``key`` where ``many`` may hold very many rows of one key.
 
-    Its rows are salted by ``other``; the rows of ``few`` are repeated per salt.
+    Rows of the ``hot`` keys (counted when not given) are salted by ``other``;
+    the rows of ``few`` are repeated per salt for these keys alone.
     """
-    left = many.withColumn("__salt", salt_of(F.col(other)))
-    right = few.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    return left.join(right, [key, "__salt"], how).drop("__salt")
+    hot = hot_keys(rows_per(many, key), key) if hot is None else hot
+    if not hot:
+        return many.join(few, key, how)
+    return salted(many, key, other, hot).join(per_salt(few, key, hot), [key, "salt"], how).drop("salt")
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
@@ -60,11 +82,11 @@ def pagerank(
     tolerance the rounds go on until it is kept; a given ``max_iterations``
     that does not suffice is an error.
     """
-    degrees = out_degrees(edges)
-    weighted = spread_join(edges.select("src", "dst"), degrees.withColumnRenamed("id", "src"), "src", "dst").select(
-        "src", "dst", (F.lit(1.0) / F.col("degree")).alias("part")
-    )
-    links = materialise(salted_edges(weighted), "links")
+    edges = materialise(edges.select("src", "dst"), "edges")
+    degrees = materialise(out_degrees(edges).withColumnRenamed("id", "src"), "degrees")
+    hot = hot_keys(degrees.withColumnRenamed("degree", "__n"), "src")
+    weighted = spread_join(edges, degrees, "src", "dst", hot=hot).select("src", "dst", (F.lit(1.0) / F.col("degree")).alias("part"))
+    links = materialise(salted(weighted, "src", "dst", hot), "links")
     vertices = materialise(links.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "vertices")
     begin = vertices if keep_all else links.select(F.col("src").alias("id")).distinct()
     ranks = materialise(begin.withColumn("rank", F.lit(1.0)), "rank-start")
@@ -75,7 +97,7 @@ def pagerank(
             return ranks
         if tolerance is not None and i == max_iterations:
             raise RuntimeError(f"ranks have not settled in {max_iterations} rounds")
-        copies = per_salt(ranks).withColumnRenamed("salt", "__salt")
+        copies = per_salt(ranks, "id", hot).withColumnRenamed("salt", "__salt")
         sent = links.join(copies, (F.col("src") == F.col("id")) & (F.col("salt") == F.col("__salt")))
         summed = sent.groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("part")).alias("got"))
         base = F.lit(1 - damping)
@@ -94,17 +116,58 @@ def pagerank(
         ranks = fresh
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges ``u, v`` of a part replaced by those to the smallest vertex each end reaches within ``LOCAL_EDGES`` of them.
+
+    Loops stay loops, so no vertex is lost.
+    """
+
+    def stars(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ends = np.concatenate([np.stack([b.column(c).drop_null().to_numpy() for c in (0, 1)], axis=1) for b in held])
+        ids, place = np.unique(ends, return_inverse=True)
+        u, v = place.reshape(-1, 2).T
+        root = np.arange(len(ids))
+        while len(u):
+            a, b = root[u], root[v]
+            apart = a != b
+            u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+            while True:
+                above = root[root]
+                if (above == root).all():
+                    break
+                root = above
+        joined = np.zeros(len(ids), bool)
+        joined[root[root != np.arange(len(ids))]] = True
+        keep = ~joined  # a root is named by its leaves
+        # the missing end of an open edge is a component by itself
+        missing = [None] * any(pa.compute.any(b.column(2)).as_py() for b in held)
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(column[keep], pa.int64()), pa.array(missing, pa.int64())]) for column in (ids, ids[root])], ["u", "v"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= LOCAL_EDGES:
+            yield stars(held)
+            held, rows = [], 0
+    if rows:
+        yield stars(held)
+
+
 def connected_components(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """Smallest vertex of every component, by alternating stars (few rounds even for long chains).
 
-    Rounds go on until nothing changes; a given ``max_rounds`` that does not
-    suffice is an error.
+    Edges that lie in one part are contracted there before anything is
+    shuffled.  Rounds go on until nothing changes; a given ``max_rounds`` that
+    does not suffice is an error.
     """
-    both = edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
-    alone = both.filter("u = v").select(F.col("u").alias("id"))
-    pairs = materialise(both.filter("u <> v").distinct(), "pairs")
-    seen = materialise(edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "vertices")
-    mark = None
+    ends = edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+    both = ends.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"), (F.col("src").isNull() | F.col("dst").isNull()).alias("open"))
+    begin = materialise(both.mapInArrow(_contracted, "u long, v long").distinct(), "contracted")
+    pairs = begin.filter("u <> v")
+    first = True
+    mark = _state(pairs)
     for i in count():
         if i == max_rounds:
             raise RuntimeError(f"components have not settled in {max_rounds} rounds")
@@ -112,9 +175,9 @@ def connected_components(edges: DataFrame, max_rounds: int | None = None) -> Dat
         around = pairs.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(
             pairs.select(F.col("v").alias("a"), F.col("u").alias("b"))
         )
-        least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = materialise(around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("__n")), f"least-{i}")
         large = (
-            spread_join(around, least, "a", "b")
+            spread_join(around, least.select("a", "m"), "a", "b", hot=hot_keys(least, "a"))
             .filter(F.col("b") > F.col("a"))
             .select(F.col("b").alias("u"), F.col("m").alias("v"))
             .filter("u <> v")
@@ -122,26 +185,33 @@ def connected_components(edges: DataFrame, max_rounds: int | None = None) -> Dat
         )
         large = materialise(large, f"large-{i}")
         # small star: smaller neighbours and the vertex itself move to the smallest one
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        lowest = materialise(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("__n")), f"lowest-{i}")
         small = (
-            spread_join(large, lowest, "u", "v")
+            spread_join(large, lowest.select("u", "m"), "u", "v", hot=hot_keys(lowest, "u"))
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .filter("u <> v")
             .distinct()
         )
         before, pairs = pairs, materialise(small, f"small-{i}")
-        discard(before)
-        discard(large)
-        state = pairs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if mark == (state["n"], state["h"]):
+        if not first:
+            discard(before)
+        first = False
+        for used in (least, large, lowest):
+            discard(used)
+        state = _state(pairs)
+        if mark == state:
             break
-        mark = (state["n"], state["h"])
+        mark = state
     roots = pairs.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    out = seen.join(roots, "id", "left")
-    return out.unionByName(alone.join(seen, "id", "left_anti").withColumn("component", F.lit(None).cast("long"))).select(
-        "id", F.coalesce("component", "id").alias("component")
-    )
+    # Every vertex that is not a root is the larger end of one pair.
+    tops = roots.select(F.col("component").alias("id")).unionByName(begin.filter("u = v OR u IS NULL").select(F.col("u").alias("id"))).distinct()
+    alone = null_safe_join(tops, roots.select("id", F.lit(True).alias("has")), ["id"]).filter("has IS NULL")
+    return roots.unionByName(alone.select("id", F.col("id").alias("component")))
+
+
+def _state(pairs: DataFrame) -> tuple:
+    return tuple(pairs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first())
 
 
 def triangle_counts(edges: DataFrame) -> DataFrame:
@@ -173,14 +243,16 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
 
 def shortest_paths(edges: DataFrame, source: int, weight: str = "weight", max_rounds: int | None = None) -> DataFrame:
     """Distance from one vertex along weighted edges; unreached vertices are absent."""
-    links = materialise(salted_edges(edges.select("src", "dst", F.col(weight).cast("double").alias("w"))), "weighted")
+    links = materialise(edges.select("src", "dst", F.col(weight).cast("double").alias("w")), "weighted")
+    hot = hot_keys(rows_per(links, "src"), "src")
+    links = salted(links, "src", "dst", hot)
     spark = edges.sparkSession
     dist = materialise(spark.createDataFrame([(source, 0.0)], "id long, distance double"), "dist")
     frontier = dist
     for i in count():
         if i == max_rounds:
             raise RuntimeError(f"paths have not ended in {max_rounds} rounds")
-        copies = per_salt(frontier).withColumnRenamed("salt", "__salt")
+        copies = per_salt(frontier, "id", hot).withColumnRenamed("salt", "__salt")
         reached = (
             links.join(copies, (F.col("src") == F.col("id")) & (F.col("salt") == F.col("__salt")))
             .groupBy(F.col("dst").alias("id"))
@@ -224,7 +296,9 @@ def older_neighbours(vertices: DataFrame, edges: DataFrame, age: str = "age") ->
     """Count and mean age of the followers that are older than the vertex itself."""
     a = vertices.select(F.col("id").alias("src"), F.col(age).alias("src_age"))
     b = vertices.select(F.col("id").alias("dst"), F.col(age).alias("dst_age"))
-    ends = spread_join(spread_join(edges.select("src", "dst"), a, "src", "dst"), b, "dst", "src")
+    edges = materialise(edges.select("src", "dst"), "edges")
+    hot = hot_keys(rows_per(edges, "dst"), "dst")
+    ends = spread_join(spread_join(edges, a, "src", "dst"), b, "dst", "src", hot=hot)
     sent = ends.filter("src_age > dst_age")
     return sent.groupBy(F.col("dst").alias("id")).agg(
         F.count(F.lit(1)).alias("older"), F.avg("src_age").alias("mean_age")
