@@ -19,6 +19,30 @@ def _pairs(seed, n, vertices):
     return [(0 if rng.random() < 0.33 else rng.randrange(vertices), rng.randrange(vertices)) for _ in range(n)]
 
 
+@pytest.mark.parametrize("most", [3, 40, 2_000_000])
+def test_triangles_of_every_colour(spark, monkeypatch, most):
+    monkeypatch.setattr(graph, "TRIANGLE_EDGES", most)
+    pairs = _pairs(2, 150, 24)
+    around = {}
+    for a, b in pairs:
+        around.setdefault(a, set())
+        around.setdefault(b, set())
+        if a != b:
+            around[a].add(b)
+            around[b].add(a)
+    want = {v: sum(c in around[b] for b, c in combinations(sorted(near), 2)) for v, near in around.items()}
+    if most == 3:  # 18 colours
+        pairs = pairs + pairs[:9]
+    got = graph.triangle_counts(spark.createDataFrame(pairs, EDGES))
+    assert {r["id"]: r["triangles"] for r in got.collect()} == want and sum(want.values()) > 100
+
+
+def test_no_path_of_two_edges_is_shuffled(spark):
+    """The only joins bring the counts to the vertices."""
+    plan = graph.triangle_counts(spark.createDataFrame(_pairs(1, 40, 9), EDGES))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+
+
 @pytest.mark.parametrize("local, hot", [(1, 2), (5, 10), (1_000_000, 200_000)])
 def test_components_from_contracted_parts(spark, monkeypatch, local, hot):
     monkeypatch.setattr(graph, "LOCAL_EDGES", local)
