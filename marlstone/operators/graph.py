@@ -349,8 +349,10 @@ def older_neighbours(vertices: DataFrame, edges: DataFrame, age: str = "age") ->
 def subgraph(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges whose two ends are among the vertices."""
     ids = vertices.select("id")
+    edges = materialise(edges, "edges")
+    hot = hot_keys(rows_per(edges, "dst"), "dst")
     inside = spread_join(edges, ids.withColumnRenamed("id", "src"), "src", "dst", "left_semi")
-    return spread_join(inside, ids.withColumnRenamed("id", "dst"), "dst", "src", "left_semi")
+    return spread_join(inside, ids.withColumnRenamed("id", "dst"), "dst", "src", "left_semi", hot)
 
 
 def degrees(edges: DataFrame) -> DataFrame:
