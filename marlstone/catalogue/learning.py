@@ -527,8 +527,8 @@ def stat_summary(t: Tables) -> DataFrame:
 )
 def stat_spearman(t: Tables) -> DataFrame:
     df = ln.assembled(t("lineitem"), ["l_quantity", "l_extendedprice"])
-    matrix = ms.Correlation.corr(df, "features", "spearman").first()[0]
-    return t.spark.createDataFrame([(round(float(matrix[0, 1]), 6),)], "spearman double")
+    v = vector_to_array("features")
+    return rounded(ln.rank_correlation(df.select(v[0].alias("a"), v[1].alias("b")), "a", "b"), 6)
 
 
 @query(

@@ -208,6 +208,24 @@ def chi_square_fit(df: DataFrame, column: str, expected: DataFrame | None = None
     return found.select("statistic", "freedom", certain.alias("p_value"))
 
 
+def rank_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Spearman's correlation of two columns as ``spearman``: equal values share their mean rank.
+
+    Equal pairs are counted first, ranks belong to values and not to rows.
+    """
+    pairs = materialise(df.groupBy(F.col(f"`{a}`").alias("a"), F.col(f"`{b}`").alias("b")).agg(F.count(F.lit(1)).alias("n")), "pairs")
+    joined = pairs
+    for name in ("a", "b"):
+        counted = pairs.groupBy(name).agg(F.sum("n").alias("copies"))
+        placed = running(counted, [], [(name, True)], {"upto": Running("sum", "copies")})
+        joined = joined.join(placed.select(name, (F.col("upto") - (F.col("copies") - 1) / 2).alias(f"{name}_rank")), name)
+    middle = (pairs.agg(F.sum("n").alias("n")).scalar() + 1) / 2
+    x, y, n = F.col("a_rank") - middle, F.col("b_rank") - middle, F.col("n")
+    sums = joined.agg(F.sum(n * x * y).alias("xy"), F.sum(n * x * x).alias("xx"), F.sum(n * y * y).alias("yy"))
+    scale = F.sqrt("xx") * F.sqrt("yy")
+    return sums.select(F.when(scale > 0, F.col("xy") / scale).otherwise(F.lit(math.nan)).alias("spearman"))
+
+
 def normal_share(column: Column, mean: Column, deviation: Column) -> Column:
     """Share of a normal distribution up to a value, by the series of the error function."""
     z = (column - mean) / (deviation * math.sqrt(2))

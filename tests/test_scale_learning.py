@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.operators import learning
+from marlstone.operators import learning, ordered
 
 
 @pytest.mark.parametrize("rows", [7, 100_000])
@@ -42,3 +42,19 @@ def test_top_products_leaves_most_pairs_out(spark, monkeypatch):
     left, right = (spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(3, 1, size=(n, 4)))], "id int, features array<float>") for n in (2000, 5000))
     assert learning.top_products(left, right, 3).count() == 6000
     assert compared.value < 0.1 * 2000 * 5000
+
+
+@pytest.mark.parametrize("chunk_rows", [1_000_000, 20])
+def test_rank_correlation(spark, monkeypatch, chunk_rows):
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", chunk_rows)
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 7, 300) / 2
+    b = np.round(a + rng.normal(0, 2, 300), 1)
+
+    def ranks(v):
+        return np.array([(v < x).sum() + ((v == x).sum() + 1) / 2 for x in v])
+
+    rows = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "x double, y double")
+    got = learning.rank_correlation(rows, "x", "y")
+    assert got.first()["spearman"] == pytest.approx(np.corrcoef(ranks(a), ranks(b))[0, 1], abs=1e-9)
+    assert np.isnan(learning.rank_correlation(rows.withColumn("y", F.lit(1.0)), "x", "y").first()["spearman"])
