@@ -66,11 +66,7 @@ def feat_hashed(t: Tables) -> DataFrame:
 @query("feat_word2vec")
 def feat_word2vec(t: Tables) -> DataFrame:
     df = ln.tokens(t("documents").select("text"), "text")
-    parts = t.spark.sparkContext.defaultParallelism
-    model = mf.Word2Vec(
-        vectorSize=16, minCount=1, maxIter=1, numPartitions=parts, seed=3, inputCol="tokens", outputCol="v"
-    ).fit(df)
-    return model.getVectors().select("word", F.size(vector_to_array("vector")).alias("size"))
+    return ln.word_vectors(df, "tokens", size=16, seed=3).select("word", F.size("vector").alias("size"))
 
 
 @query(

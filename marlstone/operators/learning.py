@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Callable, Iterator, Sequence
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -306,6 +310,166 @@ def singular_values(df: DataFrame, column: str, k: int) -> tuple[DataFrame, np.n
     return df.sparkSession.createDataFrame(rows, "rank int, sigma double"), vectors[:, order]
 
 
+# --- word vectors ----------------------------------------------------------
+
+#: Words trained in one task, centres of one step, and the most that a vector moves in a step, in single moves.
+BLOCK_WORDS, STEP_CENTRES, MOST_MOVES = 400_000, 512, 64
+#: Words of one sentence at most; the rest of a text begins another one.
+SENTENCE = 1000
+
+
+def huffman_runs(classes: Sequence[tuple[int, int]]) -> tuple[dict[int, int], dict[str, np.ndarray]]:
+    """Huffman's tree of ``(weight, number of leaves)`` classes, by runs of nodes of one weight.
+
+    Returns the number of each class's first leaf, and stretches of nodes:
+    from ``low`` on, node i is at ``off + i - low`` in a row whose nodes 2j and
+    2j + 1 have the parent ``base + j``.  The root lies in none.
+    """
+    heap, first, nodes, order = [], {}, 0, count()
+    for weight, n in sorted(classes):
+        first[weight] = nodes
+        heap.append((weight, next(order), nodes, nodes + n))
+        nodes += n
+    heapq.heapify(heap)
+    stretches = []  # (low, off, base)
+    while heap:
+        weight, _, low, high = heapq.heappop(heap)
+        row = [(low, high)]
+        while heap and heap[0][0] == weight:
+            row.append(heapq.heappop(heap)[2:])
+        total, off = sum(b - a for a, b in row), 0
+        for a, b in row:
+            stop = min(b, a + max(0, total - total % 2 - off))
+            if stop > a:
+                stretches.append((a, off, nodes))
+            off += b - a
+        if total > 1:
+            heapq.heappush(heap, (2 * weight, next(order), nodes, nodes + total // 2))
+            nodes += total // 2
+        if total % 2 and heap:
+            last = row[-1][1] - 1
+            other, _, low, high = heapq.heappop(heap)
+            stretches += [(last, 0, nodes), (low, 1, nodes)]
+            if high > low + 1:
+                heapq.heappush(heap, (other, next(order), low + 1, high))
+            heapq.heappush(heap, (weight + other, next(order), nodes, nodes + 1))
+            nodes += 1
+    columns = np.array(sorted(stretches), np.int64).reshape(-1, 3).T
+    return first, {"low": columns[0], "off": columns[1], "base": columns[2], "root": np.int64(nodes - 1)}
+
+
+def _paths(leaves: np.ndarray, tree: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Inner nodes above every leaf, up to the root, and the side taken at each (-1 beyond the root)."""
+    at, points, sides = leaves.astype(np.int64), [], []
+    while (below := at != tree["root"]).any():
+        i = np.maximum(np.searchsorted(tree["low"], at, side="right") - 1, 0)
+        place = tree["off"][i] + at - tree["low"][i]
+        at = np.where(below, tree["base"][i] + place // 2, at)
+        points.append(at)
+        sides.append(np.where(below, place % 2, -1))
+    shape = (len(leaves), -1)
+    return np.stack(points, axis=1) if points else np.zeros((len(leaves), 0), np.int64), np.stack(sides, axis=1).reshape(shape) if sides else np.zeros((len(leaves), 0), np.int64)
+
+
+def _add_rows(target: np.ndarray, rows: np.ndarray, moves: np.ndarray, times: np.ndarray) -> None:
+    """Add moves, sums of ``times`` single ones, to rows that may come repeatedly; a row's count as ``MOST_MOVES`` at most."""
+    if not len(rows):
+        return
+    order = np.argsort(rows)
+    own = rows[order]
+    start = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    share = np.minimum(1.0, MOST_MOVES / np.add.reduceat(times[order], start)).astype(np.float32)
+    target[own[start]] += np.add.reduceat(moves[order], start) * share[:, None]
+
+
+def _trained(sentences: list[np.ndarray], vectors: np.ndarray, points: np.ndarray, sides: np.ndarray, window: int, rate: float, rng: np.random.Generator) -> np.ndarray:
+    """One pass of skip-gram with hierarchical softmax over sentences of word numbers."""
+    inner, points = np.unique(points, return_inverse=True)
+    points, sides = points.reshape(sides.shape).astype(np.int32), sides.astype(np.float32)
+    lengths = (sides >= 0).sum(axis=1)
+    weights = np.zeros((len(inner), vectors.shape[1]), np.float32)
+    words = np.concatenate(sentences)
+    sentence = np.repeat(np.arange(len(sentences)), [len(x) for x in sentences])
+    offsets = np.array([d for d in range(-window, window + 1) if d])
+    step = min(STEP_CENTRES, max(16, len(vectors) // 4))  # few words would meet one another too often in a long step
+    for start in range(0, len(words), step):
+        centre = np.arange(start, min(start + step, len(words)))
+        near = centre[:, None] + offsets
+        inside = (near >= 0) & (near < len(words)) & (np.abs(offsets) <= rng.integers(1, window + 1, len(centre))[:, None])
+        inside &= sentence[np.clip(near, 0, len(words) - 1)] == sentence[centre][:, None]
+        # All pairs of a centre share its path, so they are worked on together: centre, neighbour or node, dimension.
+        told = words[centre]
+        given = words[np.clip(near, 0, len(words) - 1)]
+        alpha = np.float32(rate * max(1e-4, 1 - start / len(words)))
+        longest = lengths[told].max()
+        path, side = points[told, :longest], sides[told, :longest]
+        own, above = vectors[given], weights[path]
+        score = own @ above.transpose(0, 2, 1)
+        # as in the library, nothing is learned beyond a score of 6
+        known = inside[:, :, None] & (side >= 0)[:, None, :] & (np.abs(score) < 6)
+        pull = np.where(known, (1 - side[:, None, :] - 1 / (1 + np.exp(-np.clip(score, -6, 6)))) * alpha, np.float32(0))
+        up, down = pull.transpose(0, 2, 1) @ own, pull @ above
+        used = side >= 0
+        _add_rows(weights, path[used], up[used], known.sum(axis=1)[used])
+        _add_rows(vectors, given[inside], down[inside], np.ones(int(inside.sum()), np.int64))
+    return vectors
+
+
+def word_vectors(df: DataFrame, column: str, size: int, window: int = 5, rate: float = 0.025, seed: int = 0) -> DataFrame:
+    """A vector per word of an array column, as ``word, vector``: skip-gram with hierarchical softmax, one pass.
+
+    As in the library, parts of the texts are trained apart from the same
+    beginning and a word's vectors are averaged.  The vocabulary stays in
+    DataFrames: a part holds the words that occur in it, and Huffman's tree is
+    made from the counts of counts, of which there are few.
+    """
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, room = TaskContext.get().partitionId(), 0, BLOCK_WORDS
+        for batch in batches:
+            own = []
+            for n in pc.fill_null(pc.list_value_length(batch.column(0)), 0).to_pylist():
+                if n > room:
+                    number, room = number + 1, BLOCK_WORDS
+                room -= n
+                own.append((part << 32) + number)
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), batch.column(0)], ["block", "words"])
+
+    texts = materialise(df.select(F.col(column).alias("words")).mapInArrow(blocks, "block long, words array<string>"), "blocks")
+    # Counted per block once; a word comes once per block from here on.
+    occurring = materialise(
+        texts.select("block", F.explode("words").alias("word")).where("word IS NOT NULL").groupBy("block", "word").agg(F.count(F.lit(1)).alias("n")), "block-words"
+    )
+    vocabulary = materialise(occurring.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
+    first, tree = huffman_runs([(r["n"], r["c"]) for r in vocabulary.groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()])
+    numbered = running(vocabulary, ["n"], [("word", True)], {"place": Running("row_number")}).select("word", F.col("n").alias("total"), "place")
+    known = occurring.join(numbered, "word").select("block", "word", "total", "place", F.xxhash64(F.lit(seed), "word").alias("h"))
+
+    def train(key: tuple, held: pa.Table, words: pa.Table) -> pa.Table:
+        if not words.num_rows:
+            return pa.table({"word": pa.array([], pa.string()), "vector": pa.array([], pa.list_(pa.float32()))})
+        words = words.sort_by("word")
+        own = words.column("word").combine_chunks()
+        leaves = np.array([first[n] for n in words.column("total").to_pylist()], np.int64) + words.column("place").to_numpy() - 1
+        points, sides = _paths(leaves, tree)
+        state = words.column("h").to_numpy().astype(np.uint64)[:, None] + np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            state = (state ^ (state >> np.uint64(shift))) * np.uint64(factor)
+        vectors = (((state >> np.uint64(40)).astype(np.float32) / (1 << 24) - 0.5) / size).astype(np.float32)
+        texts = [t for t in held.column("words").to_pylist() if t]
+        # Texts of a block may come in any order.
+        texts.sort()
+        numbers = [pc.index_in(pa.array([w for w in t if w is not None], pa.string()), own).to_numpy() for t in texts]
+        sentences = [x[i : i + SENTENCE] for x in numbers for i in range(0, len(x), SENTENCE)]
+        if sides.shape[1] and sentences:
+            vectors = _trained(sentences, vectors, points, sides, window, rate, np.random.default_rng(seed))
+        return pa.table({"word": own, "vector": pa.array(list(vectors), pa.list_(pa.float32()))})
+
+    parts = texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(train, "word string, vector array<float>")
+    means = parts.groupBy("word").agg(*[F.avg(F.col("vector")[i]).alias(f"v{i}") for i in range(size)])
+    return materialise(means.select("word", F.array(*[F.col(f"v{i}").cast("float") for i in range(size)]).alias("vector")), "word-vectors")
+
+
 # --- products --------------------------------------------------------------
 
 #: Directions that left vectors are told apart by, and left vectors compared in one task.
@@ -407,9 +571,9 @@ def top_products(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
     chosen = right.select("id", "features").mapInArrow(fitting, "cone int, id long, features array<float>")
     if -1 in pieces:
         chosen = chosen.unionByName(right.select(F.lit(-1).alias("cone"), F.col("id").cast("long").alias("id"), F.col("features").cast("array<float>").alias("features")).orderBy("id").limit(k))
-    count = F.create_map(*[F.lit(int(v)) for pair in pieces.items() for v in pair])[F.col("cone")]
-    chosen = chosen.withColumn("piece", F.explode(F.sequence(F.lit(0), count - 1)))
-    lefts = lefts.select("id", "features", "cone", F.pmod(F.xxhash64("id"), count).cast("int").alias("piece"))
+    number = F.create_map(*[F.lit(int(v)) for pair in pieces.items() for v in pair])[F.col("cone")]
+    chosen = chosen.withColumn("piece", F.explode(F.sequence(F.lit(0), number - 1)))
+    lefts = lefts.select("id", "features", "cone", F.pmod(F.xxhash64("id"), number).cast("int").alias("piece"))
 
     def compared(a: pa.Table, b: pa.Table) -> pa.Table:
         out = []

@@ -58,3 +58,38 @@ def test_rank_correlation(spark, monkeypatch, chunk_rows):
     got = learning.rank_correlation(rows, "x", "y")
     assert got.first()["spearman"] == pytest.approx(np.corrcoef(ranks(a), ranks(b))[0, 1], abs=1e-9)
     assert np.isnan(learning.rank_correlation(rows.withColumn("y", F.lit(1.0)), "x", "y").first()["spearman"])
+
+
+def test_huffman_runs_are_a_huffman_tree():
+    rng = np.random.default_rng(8)
+    for trial in range(60):
+        counts = rng.integers(1, 30, rng.integers(1, 40)) ** (1 + trial % 2)
+        classes = sorted((int(w), int((counts == w).sum())) for w in set(counts.tolist()))
+        first, tree = learning.huffman_runs(classes)
+        leaves = np.concatenate([first[w] + np.arange(n) for w, n in classes])
+        weights = np.concatenate([[w] * n for w, n in classes])
+        points, sides = learning._paths(leaves, tree)
+        codes = ["".join(str(b) for b in row[::-1] if b >= 0) for row in sides]
+        assert len(set(codes)) == len(codes) or len(codes) == 1
+        assert not any(a != b and b.startswith(a) for a in codes for b in codes)
+        heap, cost = sorted(weights.tolist()), 0
+        while len(heap) > 1:
+            both = heap.pop(0) + heap.pop(0)
+            cost += both
+            heap = sorted([*heap, both])
+        assert sum(w * len(c) for w, c in zip(weights.tolist(), codes)) == cost
+
+
+@pytest.mark.parametrize("words", [4_000, 400_000])
+def test_word_vectors_tell_topics_apart(spark, monkeypatch, words):
+    monkeypatch.setattr(learning, "BLOCK_WORDS", words)
+    rng = np.random.default_rng(2)
+    topics = [[f"{t}{i}" for i in range(12)] for t in "ab"]
+    texts = [([str(w) for w in rng.choice(topics[i % 2], 40)],) for i in range(600)] + [(["alone"],), ([],), (None,)]
+    out = learning.word_vectors(spark.createDataFrame(texts, "tokens array<string>").coalesce(1), "tokens", 8, rate=0.1, seed=1)
+    got = {r["word"]: np.array(r["vector"]) for r in out.collect()}
+    assert set(got) == {*topics[0], *topics[1], "alone"} and all(len(v) == 8 for v in got.values())
+    unit = {w: v / np.linalg.norm(v) for w, v in got.items()}
+    near = np.mean([unit[a] @ unit[b] for t in topics for a in t for b in t if a != b])
+    far = np.mean([unit[a] @ unit[b] for a in topics[0] for b in topics[1]])
+    assert near > far + 0.3
