@@ -483,10 +483,11 @@ def _batch(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Inner products in single precision, with one rounding per term."""
+    """Inner products in single precision, added from left to right as the library does."""
+    left, right = left.astype(np.float32), right.astype(np.float32)
     out = np.zeros((len(left), len(right)), np.float32)
     for k in range(left.shape[1]):
-        out = (left[:, k, None].astype(float) * right[None, :, k].astype(float) + out).astype(np.float32)
+        out += left[:, k, None] * right[None, :, k]
     return out
 
 
