@@ -88,6 +88,45 @@ def test_many_pairs_at_a_time(monkeypatch):
     assert near.tolist() == [brute.levenshtein(long[i], long[j]) <= 200 for i, j in pairs] and 4 <= near.sum() < len(x)
 
 
+def test_one_pair_works_on_what_is_in_reach(monkeypatch):
+    """Numbers as long as the way may leave the diagonal, not as the text; the answer turns at the real distance."""
+    sizes, look = [], edits._too_far
+    monkeypatch.setattr(edits, "_too_far", lambda up, down, size, *rest: sizes.append(size) or look(up, down, size, *rest))
+    rng = random.Random(8)
+    for n, most in ((1500, 60), (3000, 300)):
+        a = "".join(rng.choices("abcdé", k=n))
+        b = list(a)
+        for k in rng.sample(range(0, n, 4), most - 3):
+            b[k] = "z"
+        for moved in ("".join(b) + "zzz", "zzz" + "".join(b), "".join(b)[3:]):
+            assert edits.edits_at_most(a, moved, most) and not edits.edits_at_most(a, moved, most - 1)
+            assert edits.edits_at_most(moved, a, most) and not edits.edits_at_most(moved, a, most - 1)
+    assert 0 < len(sizes) and max(sizes) < 700
+
+
+def test_many_pairs_with_shifted_parts(monkeypatch):
+    """Pairs of unlike sizes, whose way leaves the diagonal as far as it may."""
+    monkeypatch.setattr(edits, "_FEW", 0)
+    rng = random.Random(9)
+    texts = []
+    for _ in range(120):
+        a = "".join(rng.choices("abc ", k=rng.choice([60, 64, 130, 200, 260])))
+        cut, more = rng.randint(0, len(a) // 4), "".join(rng.choices("abc", k=rng.randint(0, len(a) // 4)))
+        texts += [a, rng.choice([a[cut:], a[cut:] + more, more + a[: len(a) - cut], more + a])]
+    x = np.arange(0, len(texts), 2)
+    far = np.array([brute.levenshtein(texts[i], texts[i + 1]) for i in x])
+    for d in (-1, 0, 1):
+        most = np.maximum(far + d, 0)
+        assert (edits.pairs_within(texts, x, x + 1, most) == (far <= most)).all()
+
+
+def test_smallest_keys_whose_first_bits_agree():
+    line = np.repeat(np.arange(3), 6)
+    keys = np.tile(np.array([1 << 40 | 5, 7, 1 << 40 | 3, 1 << 40 | 5, 9, 1 << 40 | 3], dtype=np.uint64), 3)
+    got = line_dedup._smallest(line, keys, 3)
+    assert got[0].tolist() == [0, 0, 0, 1, 1, 1, 2, 2, 2] and got[1].tolist() == [7, 9, 1 << 40 | 3] * 3
+
+
 def test_line_dedup_odd(odd, nothing):
     assert line_dedup.clean(odd, count="gone").count() == odd.count()
     assert line_dedup.clean(nothing).count() == 0
