@@ -314,6 +314,8 @@ def singular_values(df: DataFrame, column: str, k: int) -> tuple[DataFrame, np.n
 
 #: Words trained in one task, centres of one step, and the most that a vector moves in a step, in single moves.
 BLOCK_WORDS, STEP_CENTRES, MOST_MOVES = 400_000, 512, 64
+#: Pieces of a step, by length of the paths.
+PIECES = 3
 #: Words of one sentence at most; the rest of a text begins another one.
 SENTENCE = 1000
 
@@ -375,17 +377,18 @@ def _add_rows(target: np.ndarray, rows: np.ndarray, moves: np.ndarray, times: np
     """Add moves, sums of ``times`` single ones, to rows that may come repeatedly; a row's count as ``MOST_MOVES`` at most."""
     if not len(rows):
         return
-    order = np.argsort(rows)
-    own = rows[order]
+    # Rows and their places sorted as one number each, which costs a third of an argsort.
+    named = np.sort(rows.astype(np.int64) << 32 | np.arange(len(rows)))
+    own, order = named >> 32, named & 0xFFFFFFFF
     start = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    share = np.minimum(1.0, MOST_MOVES / np.add.reduceat(times[order], start)).astype(np.float32)
-    target[own[start]] += np.add.reduceat(moves[order], start) * share[:, None]
+    share = np.minimum(1.0, MOST_MOVES / np.maximum(np.add.reduceat(times.take(order), start), 1)).astype(np.float32)
+    target[own[start]] += np.add.reduceat(moves.take(order, axis=0), start) * share[:, None]
 
 
 def _trained(sentences: list[np.ndarray], vectors: np.ndarray, points: np.ndarray, sides: np.ndarray, window: int, rate: float, rng: np.random.Generator) -> np.ndarray:
     """One pass of skip-gram with hierarchical softmax over sentences of word numbers."""
-    inner, points = np.unique(points, return_inverse=True)
-    points, sides = points.reshape(sides.shape).astype(np.int32), sides.astype(np.float32)
+    inner = np.unique(points)
+    points, sides = np.searchsorted(inner, points).astype(np.int32), sides.astype(np.float32)
     lengths = (sides >= 0).sum(axis=1)
     weights = np.zeros((len(inner), vectors.shape[1]), np.float32)
     words = np.concatenate(sentences)
@@ -399,19 +402,39 @@ def _trained(sentences: list[np.ndarray], vectors: np.ndarray, points: np.ndarra
         inside &= sentence[np.clip(near, 0, len(words) - 1)] == sentence[centre][:, None]
         # All pairs of a centre share its path, so they are worked on together: centre, neighbour or node, dimension.
         told = words[centre]
-        given = words[np.clip(near, 0, len(words) - 1)]
+        places = words[np.clip(np.arange(start - window, centre[-1] + window + 1), 0, len(words) - 1)]
+        there, slots = vectors.take(places, axis=0), np.arange(len(centre))[:, None] + offsets + window
         alpha = np.float32(rate * max(1e-4, 1 - start / len(words)))
-        longest = lengths[told].max()
-        path, side = points[told, :longest], sides[told, :longest]
-        own, above = vectors[given], weights[path]
-        score = own @ above.transpose(0, 2, 1)
-        # as in the library, nothing is learned beyond a score of 6
-        known = inside[:, :, None] & (side >= 0)[:, None, :] & (np.abs(score) < 6)
-        pull = np.where(known, (1 - side[:, None, :] - 1 / (1 + np.exp(-np.clip(score, -6, 6)))) * alpha, np.float32(0))
-        up, down = pull.transpose(0, 2, 1) @ own, pull @ above
-        used = side >= 0
-        _add_rows(weights, path[used], up[used], known.sum(axis=1)[used])
-        _add_rows(vectors, given[inside], down[inside], np.ones(int(inside.sum()), np.int64))
+        above_moves, moved = [], np.empty((len(centre), len(offsets), vectors.shape[1]), np.float32)
+        # Centres with paths of like lengths together, so that little is worked out beyond a path's end.
+        for some in np.array_split(np.argsort(lengths[told]), min(PIECES, len(centre))):
+            longest = lengths[told[some]].max()
+            path, side = points[told[some], :longest], sides[told[some], :longest]
+            used = side >= 0
+            own, above = there.take(slots[some], axis=0), weights.take(path, axis=0)
+            pull = own @ above.transpose(0, 2, 1)
+            # as in the library, nothing is learned beyond a score of 6
+            known = np.abs(pull) < 6
+            known &= inside[some][:, :, None]
+            known &= used[:, None, :]
+            np.negative(pull, out=pull)
+            with np.errstate(over="ignore"):
+                np.exp(pull, out=pull)
+            pull += 1
+            np.divide(alpha, pull, out=pull)
+            np.subtract(((1 - side) * alpha)[:, None, :], pull, out=pull)
+            pull *= known
+            moved[some] = pull @ above
+            # as numbers of a byte, of which there is one for each neighbour
+            times = known.view(np.uint8).sum(axis=1, dtype=np.uint8) if len(offsets) < 256 else known.sum(axis=1)
+            above_moves.append((path[used], (pull.transpose(0, 2, 1) @ own)[used], times[used].astype(np.int64)))
+        _add_rows(weights, *map(np.concatenate, zip(*above_moves, strict=True)))
+        # What the neighbours of all centres add to a place first, then what places add to a word.
+        sums, times = np.zeros_like(there), np.zeros(len(places), np.int64)
+        for k, off in enumerate(offsets + window):
+            sums[off : off + len(centre)] += moved[:, k]
+            times[off : off + len(centre)] += inside[:, k]
+        _add_rows(vectors, places[times > 0], sums[times > 0], times[times > 0])
     return vectors
 
 
@@ -456,18 +479,22 @@ def word_vectors(df: DataFrame, column: str, size: int, window: int = 5, rate: f
         for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
             state = (state ^ (state >> np.uint64(shift))) * np.uint64(factor)
         vectors = (((state >> np.uint64(40)).astype(np.float32) / (1 << 24) - 0.5) / size).astype(np.float32)
-        texts = [t for t in held.column("words").to_pylist() if t]
-        # Texts of a block may come in any order.
-        texts.sort()
-        numbers = [pc.index_in(pa.array([w for w in t if w is not None], pa.string()), own).to_numpy() for t in texts]
+        # All words are looked up at once: a lookup first takes in the words it is to know.
+        texts = held.column("words").combine_chunks()
+        sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy()
+        numbers = pc.fill_null(pc.index_in(texts.flatten(), own), -1).to_numpy()
+        numbers = [x[x >= 0] for x in np.split(numbers, np.cumsum(sizes)[:-1])]
+        # Texts of a block may come in any order; by number is by word.
+        numbers.sort(key=lambda x: x.astype(">i4").tobytes())
         sentences = [x[i : i + SENTENCE] for x in numbers for i in range(0, len(x), SENTENCE)]
         if sides.shape[1] and sentences:
             vectors = _trained(sentences, vectors, points, sides, window, rate, np.random.default_rng(seed))
         return pa.table({"word": own, "vector": pa.array(list(vectors), pa.list_(pa.float32()))})
 
     parts = texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(train, "word string, vector array<float>")
-    means = parts.groupBy("word").agg(*[F.avg(F.col("vector")[i]).alias(f"v{i}") for i in range(size)])
-    return materialise(means.select("word", F.array(*[F.col(f"v{i}").cast("float") for i in range(size)]).alias("vector")), "word-vectors")
+    # One count for all dimensions: averages would shuffle one for each.
+    sums = parts.groupBy("word").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("vector")[i]).alias(f"v{i}") for i in range(size)])
+    return materialise(sums.select("word", F.array(*[(F.col(f"v{i}") / F.col("n")).cast("float") for i in range(size)]).alias("vector")), "word-vectors")
 
 
 # --- products --------------------------------------------------------------
